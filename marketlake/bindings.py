@@ -373,3 +373,32 @@ class TestLake:
     def curated_fundamentals(self) -> DataFrame:
         from .operators.curate import curate_fundamentals
         return curate_fundamentals(self.fundamentals_raw)
+
+    # ------------------------------------------------------------ derived raw
+    @cached_property
+    def tick_bars(self) -> DataFrame:
+        """Vendor-style daily bars built from the raw (re-delivered) tick feed."""
+        k = F.col("seq") * 1000000 + F.col("price")
+        return (self.ticks_raw.groupBy("date", "symbol")
+                .agg(F.min_by("price", k).alias("open"), F.max("price").alias("high"),
+                     F.min("price").alias("low"), F.max_by("price", k).alias("close"),
+                     F.sum("volume").alias("volume"), F.sum(F.col("price") * F.col("volume")).alias("value"))
+                .select("date", "symbol", F.lit("equity").alias("asset_class"), F.lit("HOSE").alias("exchange"),
+                        "open", "high", "low", "close", "volume", "value"))
+
+    @cached_property
+    def equity_curve(self) -> DataFrame:
+        return self.curated_daily.select(F.col("symbol").alias("strategy"), "date",
+                                         F.col("adj_close").cast("double").alias("equity"))
+
+    @cached_property
+    def universe_lines(self) -> DataFrame:
+        """Symbol list lines: JSON strings (lower case) or objects, with repeats and blanks."""
+        s = self.table("supplier")
+        k = F.col("s_suppkey")
+        as_text = F.concat(F.lit('"s'), k.cast("string"), F.lit('"'))
+        as_obj = F.to_json(F.struct(F.concat(F.lit("S"), k.cast("string")).alias("symbol")))
+        first = s.select(F.when(k % 2 == 0, as_text).otherwise(as_obj).alias("value"))
+        again = s.where(k % 5 == 0).select(as_obj.alias("value"))
+        blank = s.where(k % 9 == 0).select(F.lit("").alias("value"))
+        return first.unionByName(again).unionByName(blank)

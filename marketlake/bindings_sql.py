@@ -257,6 +257,21 @@ view("curated_fundamentals", _first("fundamentals_raw", "symbol, period", "as_of
                                     "as_of_date, symbol, period, pe, pb, eps, bvps, roe, roa, debt_to_equity, "
                                     "market_cap, revenue, net_income, total_assets, total_equity"))
 
+view("tick_bars", """
+SELECT date, symbol, 'equity' AS asset_class, 'HOSE' AS exchange,
+       arg_min(price, seq * 1000000 + price) AS open, max(price) AS high, min(price) AS low,
+       arg_max(price, seq * 1000000 + price) AS close, CAST(sum(volume) AS BIGINT) AS volume,
+       CAST(sum(price * volume) AS BIGINT) AS value
+FROM ticks_raw GROUP BY date, symbol
+""")
+view("equity_curve", "SELECT symbol AS strategy, date, CAST(adj_close AS DOUBLE) AS equity FROM curated_daily")
+view("universe_lines", """
+SELECT CASE WHEN s_suppkey % 2 = 0 THEN '"s' || CAST(s_suppkey AS VARCHAR) || '"'
+            ELSE json_object('symbol', 'S' || CAST(s_suppkey AS VARCHAR))::VARCHAR END AS value FROM supplier
+UNION ALL SELECT json_object('symbol', 'S' || CAST(s_suppkey AS VARCHAR))::VARCHAR FROM supplier WHERE s_suppkey % 5 = 0
+UNION ALL SELECT '' FROM supplier WHERE s_suppkey % 9 = 0
+""")
+
 
 def with_views(sql: str) -> str:
     """Prefix `sql` with the CTEs it references, dependencies first."""
