@@ -402,3 +402,10 @@ class TestLake:
         again = s.where(k % 5 == 0).select(as_obj.alias("value"))
         blank = s.where(k % 9 == 0).select(F.lit("").alias("value"))
         return first.unionByName(again).unionByName(blank)
+
+    @cached_property
+    def accepted_ticks(self) -> DataFrame:
+        from .operators import ingest
+        v = ingest.validate_rows(ingest.parse_ticks(self.messages_raw), "ticks")
+        ok, _ = ingest.split_rejects(v)
+        return ok.withColumn("date", F.to_date("ts_event"))

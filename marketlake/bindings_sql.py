@@ -182,7 +182,7 @@ FROM (
          'CP', (value - 50.0::DOUBLE) * 2.0::DOUBLE, 'TVO', event_id * 10, 'TVA', event_id * 1000,
          'ADV', event_id % 300, 'DEC', (event_id * 7) % 300, 'UNC', (event_id * 3) % 50)::VARCHAR
     END AS payload
-  FROM (SELECT *, epoch_ms(ts_event) AS ms,
+  FROM (SELECT *, epoch_us(ts_event) // 1000 AS ms,
                CASE WHEN event_id % 19 = 0 THEN CAST(-1 AS BIGINT) ELSE p END AS price,
                CASE event_id % 4 WHEN 0 THEN 'tick' WHEN 1 THEN 'l1' WHEN 2 THEN 'l2' ELSE 'index' END AS ch
         FROM events_base))
@@ -272,6 +272,82 @@ UNION ALL SELECT json_object('symbol', 'S' || CAST(s_suppkey AS VARCHAR))::VARCH
 UNION ALL SELECT '' FROM supplier WHERE s_suppkey % 9 = 0
 """)
 
+view("gap_lines", """
+SELECT CASE WHEN event_id % 150 = 0 THEN '{not json' WHEN event_id % 350 = 0 THEN '   '
+            WHEN event_id % 250 = 0 THEN '{"stream": "ticks", "start": "soon", "end": "2024-13-45"}'
+       ELSE json_object('stream', CASE WHEN event_id % 100 = 0 THEN 'ticks' ELSE 'quotes_l1' END,
+                        'start', strftime(CAST(ts AS DATE), '%Y-%m-%d'),
+                        'end', CASE WHEN event_id % 200 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                                    ELSE strftime(CAST(ts AS DATE) + 1, '%Y-%m-%d') END,
+                        'reason', 'source_unavailable', 'recorded_at', strftime(ts, '%Y-%m-%dT%H:%M:%S'))::VARCHAR
+       END AS value
+FROM events WHERE event_id % 50 = 0
+""")
+view("dead_letter_lines", """
+SELECT json_object('data', props,
+                   'attributes', json_object('topic', CASE WHEN event_type IN ('click', 'view') THEN 'ticks' ELSE 'quotes-l1' END,
+                                             'symbol', 'U' || CAST(user_id % 20 AS VARCHAR)),
+                   'publish_time', strftime(ts, '%Y-%m-%dT%H:%M:%S'))::VARCHAR AS value
+FROM events WHERE event_id % 23 = 0
+""")
+
+
+def _json_fields(fields: dict[str, str]) -> str:
+    return ", ".join(f"CASE WHEN ok THEN TRY_CAST(json_extract_string(payload, '$.{f}') AS {t}) END AS \"{f}\""
+                     for f, t in fields.items())
+
+
+def decode_sql(channel: str, fields: dict[str, str], required: list[str]) -> str:
+    """Messages of one channel with typed wire fields and a parse_error text."""
+    miss = ", ".join(f"CASE WHEN \"{f}\" IS NULL THEN '{f}' END" for f in required)
+    return f"""
+SELECT *, CASE WHEN NOT ok THEN 'unparsable'
+               WHEN concat_ws(',', {miss}) <> '' THEN 'missing:' || concat_ws(',', {miss}) END AS parse_error
+FROM (SELECT *, {_json_fields(fields)} FROM (
+  SELECT msg_id, channel, payload, ts_received,
+         coalesce(CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT' END, false) AS ok
+  FROM messages_raw WHERE channel = '{channel}'))"""
+
+
+L2_FIELDS = {}
+for _side, _k in (("bid", "B"), ("ask", "A")):
+    for _i in range(schemas.BOOK_LEVELS):
+        for _w, _f in (("px", "P"), ("sz", "V"), ("n", "N")):
+            L2_FIELDS[f"{_k}[{_i}].{_f}"] = "BIGINT"
+WIRE = {
+    "tick": ({"S": "VARCHAR", "P": "BIGINT", "V": "BIGINT", "T": "BIGINT", "MT": "VARCHAR", "TID": "VARCHAR",
+              "SEQ": "BIGINT", "EX": "VARCHAR", "SD": "VARCHAR"}, ["S", "P", "V", "T", "TID", "SEQ"]),
+    "l1": ({"S": "VARCHAR", "T": "BIGINT", "EX": "VARCHAR", "BP": "BIGINT", "BV": "BIGINT", "AP": "BIGINT",
+            "AV": "BIGINT"}, ["S", "T"]),
+    "l2": ({"S": "VARCHAR", "T": "BIGINT", "EX": "VARCHAR", **L2_FIELDS}, ["S", "T"]),
+    "index": ({"IC": "VARCHAR", "T": "BIGINT", "EX": "VARCHAR", "V": "DOUBLE", "C": "DOUBLE", "CP": "DOUBLE",
+               "TVO": "BIGINT", "TVA": "BIGINT", "ADV": "INTEGER", "DEC": "INTEGER", "UNC": "INTEGER"},
+              ["IC", "T", "V", "C", "CP", "TVO", "TVA", "ADV", "DEC", "UNC"]),
+}
+for _ch, (_fields, _req) in WIRE.items():
+    view(f"decoded_{_ch}", decode_sql(_ch, _fields, _req))
+
+CLASSIFY = "CASE WHEN starts_with(S, 'VN30F') OR starts_with(S, 'GB') THEN 'future' ELSE 'equity' END"
+view("parsed_ticks", f"""
+SELECT msg_id, epoch_ms(T) AS ts_event, ts_received, S AS symbol, {CLASSIFY} AS asset_class,
+       coalesce(EX, 'HOSE') AS exchange, P AS price, V AS volume, coalesce(MT, 'continuous') AS match_type,
+       coalesce(SD, '?') AS side, TID AS trade_id, SEQ AS seq
+FROM decoded_tick WHERE parse_error IS NULL
+""")
+view("validated_ticks", """
+SELECT *, NULLIF(concat_ws(',',
+  CASE WHEN ts_event IS NULL THEN 'ts_event:missing' END, CASE WHEN symbol IS NULL THEN 'symbol:missing' END,
+  CASE WHEN trade_id IS NULL THEN 'trade_id:missing' END, CASE WHEN price IS NULL THEN 'price:missing' END,
+  CASE WHEN volume IS NULL THEN 'volume:missing' END, CASE WHEN seq IS NULL THEN 'seq:missing' END,
+  CASE WHEN price < 0 THEN 'price<0' END, CASE WHEN volume < 0 THEN 'volume<0' END, CASE WHEN seq < 0 THEN 'seq<0' END,
+  CASE WHEN exchange NOT IN ('HOSE', 'HNX', 'UPCoM', 'HNX-DERIV') THEN 'exchange:invalid' END,
+  CASE WHEN match_type NOT IN ('ATO', 'continuous', 'ATC', 'put-through') THEN 'match_type:invalid' END,
+  CASE WHEN side NOT IN ('B', 'S', '?') THEN 'side:invalid' END,
+  CASE WHEN asset_class NOT IN ('equity', 'future', 'index') THEN 'asset_class:invalid' END), '') AS reject_reason
+FROM parsed_ticks
+""")
+view("accepted_ticks", "SELECT * EXCLUDE (reject_reason), CAST(ts_event AS DATE) AS date FROM validated_ticks WHERE reject_reason IS NULL")
+
 
 def with_views(sql: str) -> str:
     """Prefix `sql` with the CTEs it references, dependencies first."""
