@@ -409,3 +409,65 @@ class TestLake:
         v = ingest.validate_rows(ingest.parse_ticks(self.messages_raw), "ticks")
         ok, _ = ingest.split_rejects(v)
         return ok.withColumn("date", F.to_date("ts_event"))
+
+    # ------------------------------------------------------- vendor pulls
+    @cached_property
+    def vendor_daily(self) -> DataFrame:
+        """Vendor-shaped daily rows (prices in thousands, float volume), one per lineitem."""
+        li = self.table("lineitem")
+        c = F.col("l_extendedprice") / F.col("l_quantity")
+        n = F.col("l_linenumber")
+        return li.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"),
+                         F.col("l_shipdate").alias("time"), (c - n * 0.5).alias("open"), (c + n).alias("high"),
+                         (c - n).alias("low"), c.alias("close"), F.col("l_quantity").alias("volume"))
+
+    @cached_property
+    def vendor_fundamentals(self) -> DataFrame:
+        """Vendor fundamentals: report_date alias, year/quarter ints, three ratios only."""
+        n = self.n_suppliers
+        o = self.table("orders")
+        return o.select(F.concat(F.lit("S"), (F.col("o_custkey") % n).cast("string")).alias("symbol"),
+                        F.to_date("o_orderdate").alias("report_date"), F.year("o_orderdate").alias("year"),
+                        F.quarter("o_orderdate").alias("quarter"), (F.col("o_totalprice") / 10000.0).alias("pe"),
+                        (F.col("o_totalprice") / 100000.0).alias("pb"), (F.col("o_totalprice") / 100.0).alias("eps"))
+
+    @cached_property
+    def vendor_corp_actions(self) -> DataFrame:
+        """Vendor actions with `exDate` as the ex-date column and no payment_date."""
+        a = self.corp_actions_raw
+        return a.select(F.col("ex_date").alias("exDate"), "symbol", "action_type", "ratio", "amount",
+                        "record_date")
+
+    @cached_property
+    def vendor_tickers(self) -> DataFrame:
+        s = self.table("supplier")
+        k = F.col("s_suppkey")
+        return s.select(F.concat(F.lit("S"), k.cast("string")).alias("symbol"), F.col("s_name").alias("name"),
+                        F.when(k % 6 == 0, F.lit("N/A"))
+                         .otherwise(F.date_format(F.date_add(F.lit("2000-01-01").cast("date"),
+                                                             (k % 3650).cast("int")), "yyyy-MM-dd"))
+                         .alias("listed_date"),
+                        F.lit(100).cast("long").alias("lot_size"))
+
+    @cached_property
+    def vendor_futures(self) -> DataFrame:
+        f = self.futures_contracts.where(F.col("snapshot") == F.lit("2024-02-01").cast("date"))
+        return f.select("symbol", "underlying_index",
+                        F.date_format("expiry_date", "yyyy-MM-dd").alias("expiry_date"), "contract_size")
+
+    @cached_property
+    def pull_results(self) -> DataFrame:
+        """Outcome of each source per symbol: (source, rank, symbol, status)."""
+        s = self.table("supplier")
+        k = F.col("s_suppkey")
+        src = F.explode(F.array(F.struct(F.lit("tcbs").alias("source"), F.lit(1).alias("rank"),
+                                         F.when(k % 4 == 0, "error").otherwise("ok").alias("status")),
+                                F.struct(F.lit("vci").alias("source"), F.lit(2).alias("rank"),
+                                         F.when(k % 8 == 0, "error").otherwise("ok").alias("status"))))
+        return s.select(F.concat(F.lit("S"), k.cast("string")).alias("symbol"), src.alias("r")).select(
+            "r.source", "r.rank", "symbol", "r.status")
+
+    @cached_property
+    def billing(self) -> DataFrame:
+        e = self.table("events").where(F.col("event_type") == "purchase")
+        return e.select(F.to_date("ts").alias("date"), F.col("value").alias("cost"))

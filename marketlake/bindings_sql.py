@@ -291,6 +291,39 @@ SELECT json_object('data', props,
 FROM events WHERE event_id % 23 = 0
 """)
 
+view("vendor_daily", """
+SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS symbol, l_shipdate AS time,
+       l_extendedprice / l_quantity - l_linenumber * 0.5::DOUBLE AS open,
+       l_extendedprice / l_quantity + l_linenumber AS high, l_extendedprice / l_quantity - l_linenumber AS low,
+       l_extendedprice / l_quantity AS close, l_quantity AS volume
+FROM lineitem
+""")
+view("vendor_fundamentals", f"""
+SELECT 'S' || CAST(o_custkey % {N_SUP} AS VARCHAR) AS symbol, CAST(o_orderdate AS DATE) AS report_date,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter,
+       o_totalprice / 10000.0::DOUBLE AS pe, o_totalprice / 100000.0::DOUBLE AS pb, o_totalprice / 100.0::DOUBLE AS eps
+FROM orders
+""")
+view("vendor_corp_actions", "SELECT ex_date AS exDate, symbol, action_type, ratio, amount, record_date FROM corp_actions_raw")
+view("vendor_tickers", """
+SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol, s_name AS name,
+       CASE WHEN s_suppkey % 6 = 0 THEN 'N/A'
+            ELSE strftime(DATE '2000-01-01' + CAST(s_suppkey % 3650 AS INTEGER), '%Y-%m-%d') END AS listed_date,
+       CAST(100 AS BIGINT) AS lot_size
+FROM supplier
+""")
+view("vendor_futures", """
+SELECT symbol, underlying_index, strftime(expiry_date, '%Y-%m-%d') AS expiry_date, contract_size
+FROM futures_contracts WHERE snapshot = DATE '2024-02-01'
+""")
+view("pull_results", """
+SELECT 'tcbs' AS source, 1 AS rank, 'S' || CAST(s_suppkey AS VARCHAR) AS symbol,
+       CASE WHEN s_suppkey % 4 = 0 THEN 'error' ELSE 'ok' END AS status FROM supplier
+UNION ALL
+SELECT 'vci', 2, 'S' || CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 8 = 0 THEN 'error' ELSE 'ok' END FROM supplier
+""")
+view("billing", "SELECT CAST(ts AS DATE) AS date, value AS cost FROM events WHERE event_type = 'purchase'")
+
 
 def _json_fields(fields: dict[str, str]) -> str:
     return ", ".join(f"CASE WHEN ok THEN TRY_CAST(json_extract_string(payload, '$.{f}') AS {t}) END AS \"{f}\""
@@ -365,6 +398,8 @@ def with_views(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n]}\n)" for n in names if n in needed)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

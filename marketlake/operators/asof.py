@@ -66,10 +66,13 @@ def asof_backward(
     w = Window.partitionBy(*part).orderBy(*ords).rowsBetween(Window.unboundedPreceding, 0)
     found = u.withColumn("_m", F.last("_v", ignorenulls=True).over(w)).where("_is_left")
     if bucket is not None:
-        rb = r.withColumn("_b", bucket(F.col("_k")))
+        # one row per (by, bucket) present on either side: the bucket's
+        # boundary right row (null when it has none), then the nearest
+        # earlier (forward: later) bucket's value carried over
         pick = F.min_by if forward else F.max_by
-        order_key = F.struct(F.col("_k"), *[F.col(f"_o{i}") for i in range(len(right_order))])
-        per_bucket = rb.groupBy(*by, "_b").agg(pick("_v", order_key).alias("_bv"))
+        order_key = F.when(~F.col("_is_left"),
+                           F.struct(F.col("_k"), *[F.col(f"_o{i}") for i in range(len(right_order))]))
+        per_bucket = u.groupBy(*by, "_b").agg(pick("_v", order_key).alias("_bv"))
         wb = Window.partitionBy(*by).orderBy(F.col("_b").desc() if forward else F.col("_b"))
         carry = per_bucket.select(
             *by, "_b",

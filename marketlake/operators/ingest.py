@@ -36,7 +36,11 @@ def decode(messages: DataFrame, channel: str, payload: str = "payload") -> DataF
         *[F.when(F.col("m")[f].isNull(), F.lit(f)) for f in REQUIRED[channel]])))
     err = (F.when(F.col("m").isNull(), F.lit("unparsable"))
            .when(missing != "", F.concat(F.lit("missing:"), missing)))
-    return messages.where(F.col("channel") == channel).withColumn("m", m).withColumn("parse_error", err)
+    # `explode(array(m))` yields exactly one row per message; filters on the
+    # parse result then stay above the generator instead of being pushed
+    # below it, so from_json runs once per message rather than once per use.
+    parsed = messages.where(F.col("channel") == channel).select("*", F.explode(F.array(m)).alias("m"))
+    return parsed.withColumn("parse_error", err)
 
 
 def _header(sym: Column) -> list[Column]:
