@@ -1,0 +1 @@
+"""Job plans: compositions of operators, sources and sinks."""

@@ -20,7 +20,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-_MODULES = ["curated", "market", "research", "calendar", "quality", "raw", "ops", "streams"]
+_MODULES = ["curated", "market", "research", "calendar", "raw", "ops", "analytics"]
 _lakes: dict[tuple[int, str], TestLake] = {}
 
 

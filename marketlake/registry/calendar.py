@@ -44,19 +44,24 @@ SQL_SESSIONS = "SELECT * FROM (VALUES " + ", ".join(
     for i, (s, e) in enumerate(ivs)) + ") AS s(cls, session_no, s0, s1)"
 
 # Vietnam keeps a fixed UTC+7 offset, so the oracle shifts by seven hours.
-SQL_IN_SESSION = f"""
-WITH t AS (SELECT symbol, ts_event, trade_id, asset_class, ts_event + INTERVAL 7 HOUR AS lt FROM curated_ticks),
+def sql_in_session(src: str = "curated_ticks", cols: str = "symbol, ts_event, trade_id, asset_class",
+                   extra: str = "") -> str:
+    return f"""
+WITH t AS (SELECT {cols}{extra}, ts_event + INTERVAL 7 HOUR AS lt FROM {src}),
 t2 AS (SELECT *, CAST(lt AS DATE) AS local_date, epoch_us(lt) - epoch_us(date_trunc('day', lt)) AS us,
               CASE WHEN asset_class = 'future' THEN 'derivative' ELSE 'equity' END AS cls FROM t),
 ses AS ({SQL_SESSIONS}),
 cal AS ({sql_trading_days(sql_days('t2', 'local_date'))})
-SELECT t2.symbol, t2.ts_event, t2.trade_id, t2.asset_class, t2.local_date,
+SELECT {', '.join('t2.' + c.strip() for c in (cols + extra).split(','))}, t2.local_date,
        CASE WHEN c.date IS NOT NULL AND s.session_no IS NOT NULL THEN CAST(s.session_no AS INTEGER) END AS session_no,
        (c.date IS NOT NULL AND s.session_no IS NOT NULL) AS in_session
 FROM t2 LEFT JOIN ses s ON t2.cls = s.cls AND t2.us BETWEEN s.s0 AND s.s1
 LEFT JOIN cal c ON t2.local_date = c.date
 """
 
+
+SQL_IN_SESSION = sql_in_session()
+
 DAILY_DAYS = sql_days("curated_daily", "date")
 
 
