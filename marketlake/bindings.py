@@ -33,6 +33,8 @@ def _plus_seconds(ts: Column, secs: Column) -> Column:
 
 
 class TestLake:
+    __test__ = False  # not a pytest class
+
     """Lazy entity frames over one scale-factor directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
