@@ -8,9 +8,12 @@ suppressed.  So within a key the sent alerts form a chain
 
 A per-key sorted scan would put a hot key in one task.  Instead every alert
 gets its successor `next(i)` by a bucketed forward as-of join (skew-safe),
-and the chain from each key's first alert is found by pointer doubling:
-round k follows 2^k hops at once, so log2(chain length) rounds of joins on
-unique alert ids, each cut from the previous lineage by a checkpoint.
+and the chain is found by pointer doubling: round k follows 2^k hops at
+once, each round a join on unique alert ids cut from the previous lineage by
+a checkpoint.  The doubling starts from every *anchor* -- an alert whose gap
+to the previous alert of its key is at least the TTL, which no window can
+cover, so it is always sent and lies on the chain.  Rounds are then
+log2(longest run between anchors), not log2(alerts per key).
 """
 
 from __future__ import annotations
@@ -68,12 +71,14 @@ def alert_key(name: Column, severity: Column, scope: Column) -> Column:
 
 
 def suppress(alerts: DataFrame, id_col: str = "alert_id", key: str = "alert_key", ts: str = "ts",
-             severity: str = "severity", max_rounds: int = 64) -> DataFrame:
-    """Add `sent` (bool) to every alert following the suppression rule."""
+             severity: str = "severity", max_rounds: int = 64, stats: dict | None = None) -> DataFrame:
+    """Add `sent` (bool) to every alert following the suppression rule.
+    `stats`, when given, receives the anchor count and the number of rounds."""
     spark = alerts.sparkSession
     checkpoint_dir(spark)
     a = alerts.withColumn("_ttl", ttl_seconds(F.col(severity)))
-    windowed = a.where(F.col("_ttl") > 0).select(id_col, key, ts, "_ttl")
+    # materialised once: every round below re-reads it
+    windowed = a.where(F.col("_ttl") > 0).select(id_col, key, ts, "_ttl").checkpoint()
     probes = windowed.select(key, F.col(id_col).alias("node"),
                              F.timestamp_add("SECOND", F.col("_ttl"), F.col(ts)).alias("_due"))
     targets = windowed.select(key, F.col(ts).alias("_t"), F.col(id_col).alias("jump"))
@@ -81,14 +86,26 @@ def suppress(alerts: DataFrame, id_col: str = "alert_id", key: str = "alert_key"
                           strict=False, forward=True, right_order=["jump"],
                           bucket=lambda c: F.date_trunc("DAY", c)).select("node", "jump")
     edges = edges.checkpoint()
-    heads = windowed.groupBy(key).agg(F.min_by(id_col, F.struct(ts, id_col)).alias("node"))
-    reached = heads.select("node").checkpoint()
+    # anchors: first alert at its timestamp, and nothing earlier within the TTL
+    prev = asof_backward(windowed.select(key, id_col, ts, "_ttl"),
+                         windowed.select(key, F.col(ts).alias("_pt")), by=[key], left_key=ts, right_key="_pt",
+                         values=["_pt"], strict=True, bucket=lambda c: F.date_trunc("DAY", c))
+    first_at_ts = windowed.groupBy(key, ts).agg(F.min(id_col).alias("node"))
+    anchors = (prev.join(first_at_ts, [key, ts])
+               .where(F.col(id_col) == F.col("node"))
+               .where(F.col("_pt").isNull()
+                      | (F.col("_pt") <= F.timestamp_add("SECOND", -F.col("_ttl"), F.col(ts)))))
+    reached = anchors.select("node").checkpoint()
     n = reached.count()
-    for _ in range(max_rounds):
+    if stats is not None:
+        stats["anchors"] = n
+    for rnd in range(max_rounds):
         hop = reached.join(edges, "node").where(F.col("jump").isNotNull()).select(F.col("jump").alias("node"))
         grown = reached.unionByName(hop).distinct().checkpoint()
         m = grown.count()
         if m == n:
+            if stats is not None:
+                stats["rounds"] = rnd + 1
             break
         reached, n = grown, m
         e1, e2 = edges.alias("e1"), edges.alias("e2")
