@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .asof import asof_backward
@@ -76,15 +76,26 @@ def corp_actions_applied_fixed(daily: DataFrame, factors: DataFrame, days: int |
             .select("symbol", "ex_date", "action_type", "prev_date"))
 
 
-def dq_summary(findings: dict[str, DataFrame]) -> DataFrame:
-    """One row per validator: findings and whether to alert (G13).  A
-    validator that cannot be planned reports -1."""
+def dq_summary(findings: dict) -> DataFrame:
+    """One row per validator: findings and whether to alert.
+
+    Values are DataFrames or zero-argument callables building them; a
+    validator that fails to plan reports -1, as the reference does."""
     parts = []
     spark = None
-    for name, df in findings.items():
+    failed = []
+    for name, v in findings.items():
+        try:
+            df = v() if callable(v) else v
+            df.schema  # noqa: B018 - forces analysis
+        except Exception:  # noqa: BLE001
+            failed.append(name)
+            continue
         spark = spark or df.sparkSession
         parts.append(df.agg(F.count(F.lit(1)).alias("findings")).select(F.lit(name).alias("validator"),
                                                                            "findings"))
+    if failed:
+        parts.append(spark.createDataFrame([(n, -1) for n in failed], "validator string, findings long"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -110,12 +121,18 @@ def ack_lag(streams: dict[str, DataFrame], threshold_s: int = 180) -> DataFrame:
 
 def stream_silence(flagged: DataFrame, threshold_s: int = 120) -> DataFrame:
     """Gaps longer than `threshold_s` between consecutive in-session messages of
-    a symbol within the same session (X7).  `flagged` comes from `in_session`."""
-    s = flagged.where("in_session")
-    w = Window.partitionBy("symbol", "local_date", "session_no").orderBy("ts_event")
-    prev = F.lag("ts_event").over(w)
-    g = s.select("symbol", "local_date", "session_no", prev.alias("gap_start"),
-                 F.col("ts_event").alias("gap_end"))
+    a symbol within the same session (X7).  `flagged` comes from `in_session`.
+
+    The previous message is a strict self as-of join bucketed by hour (with a
+    carry across hours), so one busy symbol-session is spread over many tasks
+    instead of one `lag` window; ticks sharing a timestamp yield the same gap,
+    kept once.
+    """
+    s = flagged.where("in_session").select("symbol", "local_date", "session_no", "ts_event")
+    prev = asof_backward(s, s.select("symbol", "local_date", "session_no", F.col("ts_event").alias("_pts")),
+                         by=["symbol", "local_date", "session_no"], left_key="ts_event", right_key="_pts",
+                         values=["_pts"], strict=True, bucket=lambda c: F.date_trunc("HOUR", c))
+    g = prev.where(F.col("_pts").isNotNull()).select(
+        "symbol", "local_date", "session_no", F.col("_pts").alias("gap_start"), F.col("ts_event").alias("gap_end"))
     secs = (F.unix_micros("gap_end") - F.unix_micros("gap_start")) / 1000000.0
-    return (g.where(F.col("gap_start").isNotNull()).withColumn("gap_seconds", secs)
-            .where(F.col("gap_seconds") > threshold_s))
+    return g.withColumn("gap_seconds", secs).where(F.col("gap_seconds") > threshold_s).distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 
 from ..operators import factors, research
 from ..sources.universe import distinct_symbols, load_universe
@@ -221,3 +223,15 @@ def q_load_universe(lk):
     return load_universe(lk.universe_lines)
 
 
+
+
+@query("sql", """
+SELECT symbol, count(*) AS days, max(close) AS max_close FROM curated_daily
+WHERE date >= DATE '1998-01-01' GROUP BY symbol
+""")
+def q_sql(lk):
+    """User SQL over the session's views, with bound parameters (no string pasting)."""
+    from ..sources.lake import run_sql
+    lk.curated_daily.createOrReplaceTempView("curated_daily")
+    return run_sql(lk.spark, "SELECT symbol, count(*) AS days, max(close) AS max_close FROM curated_daily "
+                             "WHERE date >= :start GROUP BY symbol", start=dt.date(1998, 1, 1))

@@ -71,3 +71,8 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
     return made
 
 
+
+
+def run_sql(spark: SparkSession, query: str, **params) -> DataFrame:
+    """User SQL with named parameters bound by Spark (A13): `:name` markers."""
+    return spark.sql(query, args=params)
