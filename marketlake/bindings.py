@@ -342,10 +342,20 @@ class TestLake:
 
     # ------------------------------------------------------------- curated
     @cached_property
-    def curated_daily(self) -> DataFrame:
+    def curated_daily_plan(self) -> DataFrame:
+        """Curation of the daily bars from the raw tables (lazy plan)."""
         from .operators.curate import curate_daily_ohlcv
         return curate_daily_ohlcv(self.daily_raw, self.corp_actions_raw)
 
+    @cached_property
+    def curated_daily(self) -> DataFrame:
+        """The curated daily table as downstream queries read it: written once
+        (reliable checkpoint into spark.checkpoint.dir), as the nightly job writes
+        the curated layer that research queries and views scan."""
+        from .session import checkpoint_dir
+        checkpoint_dir(self.spark)
+        return self.curated_daily_plan.checkpoint()
+
     @cached_property
     def curated_corp_actions(self) -> DataFrame:
         from .operators.curate import curate_corp_actions

@@ -10,8 +10,8 @@ from . import query
 
 @query("curate_daily_ohlcv", "SELECT * FROM curated_daily")
 def q_curate_daily_ohlcv(lk):
-    """Flagship: deduplicated daily bars with backward-adjusted close."""
-    return lk.curated_daily
+    """Flagship: deduplicated daily bars with backward-adjusted close, from raw."""
+    return lk.curated_daily_plan
 
 
 @query("dedup_first", "SELECT * FROM daily_dedup")
@@ -75,7 +75,7 @@ def q_action_factor(lk):
 @query("adjust_prices", "SELECT symbol, date, close, adj_close FROM curated_daily")
 def q_adjust_prices(lk):
     """Range product of later factors, one output row per bar."""
-    return lk.curated_daily.select("symbol", "date", "close", "adj_close")
+    return lk.curated_daily_plan.select("symbol", "date", "close", "adj_close")
 
 
 @query("l1_derived", """

@@ -73,10 +73,13 @@ def land_batch(batch: DataFrame, root: str) -> dict:
 
 
 def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
-                 available_now: bool = False, interval: str = "60 seconds"):
+                 available_now: bool = False, interval: str = "60 seconds",
+                 max_files_per_trigger: int | None = None):
     """Continuous landing.  Production triggers every 60 s (the
-    reference's flush deadline); `available_now` drains what exists and stops."""
-    w = (message_stream(spark, source).writeStream
+    reference's flush deadline) and bounds a micro-batch by files per trigger
+    (the reference's 50 MB flush size maps to source-side batch limits);
+    `available_now` drains what exists and stops."""
+    w = (message_stream(spark, source, max_files_per_trigger).writeStream
          .foreachBatch(lambda df, _epoch: land_batch(df, root))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)

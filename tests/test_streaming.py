@@ -61,3 +61,19 @@ def test_stream_suppression_equals_batch(spark):
     got = {r.alert_id: r.sent for r in spark.table("supp_out").collect()}
     exp = {r.alert_id: r.sent for r in al.suppress(spark.read.parquet(d)).collect()}
     assert got == exp
+
+
+def test_coverage_stream_counts_receipts(spark):
+    from marketlake.operators import ingest
+    from marketlake.operators.ops import coverage_windows
+    lk = TestLake(spark, SF_SMALL)
+    rc = ingest.receipts(lk.accepted_ticks, "ticks", ["date", "asset_class", "symbol"])
+    d = tempfile.mkdtemp(prefix="receipts-")
+    rc.write.mode("overwrite").parquet(d)
+    s = spark.readStream.schema(spark.read.parquet(d).schema).parquet(d)
+    q = (st.coverage_stream(s).writeStream.format("memory").queryName("cov_out").outputMode("complete")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    got = sorted((r.stream, r.window_start, r.files) for r in spark.table("cov_out").collect())
+    exp = sorted((r.stream, r.window_start, r.files) for r in coverage_windows(spark.read.parquet(d)).collect())
+    assert got == exp
