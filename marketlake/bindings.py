@@ -347,45 +347,72 @@ class TestLake:
         from .operators.curate import curate_daily_ohlcv
         return curate_daily_ohlcv(self.daily_raw, self.corp_actions_raw)
 
-    @cached_property
-    def curated_daily(self) -> DataFrame:
-        """The curated daily table as downstream queries read it: written once
-        (reliable checkpoint into spark.checkpoint.dir), as the nightly job writes
-        the curated layer that research queries and views scan."""
+    def _written(self, plan: DataFrame) -> DataFrame:
+        """A curated table as downstream queries read it: written once (reliable
+        checkpoint into spark.checkpoint.dir), as the curation jobs write the
+        curated layer that research queries and views scan."""
         from .session import checkpoint_dir
         checkpoint_dir(self.spark)
-        return self.curated_daily_plan.checkpoint()
+        return plan.checkpoint()
 
     @cached_property
-    def curated_corp_actions(self) -> DataFrame:
+    def curated_daily(self) -> DataFrame:
+        return self._written(self.curated_daily_plan)
+
+    @cached_property
+    def curated_corp_actions_plan(self) -> DataFrame:
         from .operators.curate import curate_corp_actions
         return curate_corp_actions(self.corp_actions_raw)
 
     @cached_property
-    def curated_ticks(self) -> DataFrame:
+    def curated_corp_actions(self) -> DataFrame:
+        return self._written(self.curated_corp_actions_plan)
+
+    @cached_property
+    def curated_ticks_plan(self) -> DataFrame:
         from .operators.curate import curate_ticks
         return curate_ticks(self.ticks_raw)
 
     @cached_property
-    def curated_l1(self) -> DataFrame:
+    def curated_ticks(self) -> DataFrame:
+        return self._written(self.curated_ticks_plan)
+
+    @cached_property
+    def curated_l1_plan(self) -> DataFrame:
         from .operators.curate import curate_quotes_l1
         return curate_quotes_l1(self.quotes_l1_raw)
 
     @cached_property
-    def curated_l2(self) -> DataFrame:
+    def curated_l1(self) -> DataFrame:
+        return self._written(self.curated_l1_plan)
+
+    @cached_property
+    def curated_l2_plan(self) -> DataFrame:
         from .operators.curate import curate_quotes_l2
         return curate_quotes_l2(self.quotes_l2_raw)
 
     @cached_property
-    def curated_index(self) -> DataFrame:
+    def curated_l2(self) -> DataFrame:
+        return self._written(self.curated_l2_plan)
+
+    @cached_property
+    def curated_index_plan(self) -> DataFrame:
         from .operators.curate import curate_indices
         return curate_indices(self.index_raw)
 
     @cached_property
-    def curated_fundamentals(self) -> DataFrame:
+    def curated_index(self) -> DataFrame:
+        return self._written(self.curated_index_plan)
+
+    @cached_property
+    def curated_fundamentals_plan(self) -> DataFrame:
         from .operators.curate import curate_fundamentals
         return curate_fundamentals(self.fundamentals_raw)
 
+    @cached_property
+    def curated_fundamentals(self) -> DataFrame:
+        return self._written(self.curated_fundamentals_plan)
+
     # ------------------------------------------------------------ derived raw
     @cached_property
     def tick_bars(self) -> DataFrame:

@@ -22,32 +22,32 @@ def q_dedup_first(lk):
 
 @query("curate_corp_actions", "SELECT * FROM curated_corp_actions")
 def q_curate_corp_actions(lk):
-    return lk.curated_corp_actions
+    return lk.curated_corp_actions_plan
 
 
 @query("curate_ticks", "SELECT * FROM curated_ticks")
 def q_curate_ticks(lk):
-    return lk.curated_ticks
+    return lk.curated_ticks_plan
 
 
 @query("curate_quotes_l1", "SELECT * FROM curated_l1")
 def q_curate_quotes_l1(lk):
-    return lk.curated_l1
+    return lk.curated_l1_plan
 
 
 @query("curate_quotes_l2", "SELECT * FROM curated_l2")
 def q_curate_quotes_l2(lk):
-    return lk.curated_l2
+    return lk.curated_l2_plan
 
 
 @query("curate_indices", "SELECT * FROM curated_index")
 def q_curate_indices(lk):
-    return lk.curated_index
+    return lk.curated_index_plan
 
 
 @query("curate_fundamentals", "SELECT * FROM curated_fundamentals")
 def q_curate_fundamentals(lk):
-    return lk.curated_fundamentals
+    return lk.curated_fundamentals_plan
 
 
 @query("asof_prev_close", """

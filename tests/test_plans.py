@@ -34,7 +34,7 @@ def test_no_python_in_hot_path(spark, name):
 
 
 def test_projection_pruned(spark):
-    p = plan(spark, "session_vwap")
+    p = plan(spark, "curate_ticks")
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in p
     assert "props" not in p.split("ReadSchema")[1].split("\n")[0]
 
