@@ -59,8 +59,9 @@ def curate_quotes_l1(raw: DataFrame) -> DataFrame:
 
 
 def curate_quotes_l2(raw: DataFrame) -> DataFrame:
-    order = ["ts_event", "ts_received", "ingest_seq"] + schemas.l2_columns()
-    return dedup_first(raw, ["symbol", "ts_event"], order).select(*L2_COLS)
+    """(symbol, ts_event) unique; earliest arrival wins, then landing order
+    (arrival time and message id identify a delivery)."""
+    return dedup_first(raw, ["symbol", "ts_event"], ["ts_event", "ts_received", "ingest_seq"]).select(*L2_COLS)
 
 
 def curate_indices(raw: DataFrame) -> DataFrame:
