@@ -18,6 +18,8 @@ log2(longest run between anchors), not log2(alerts per key).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,7 +75,8 @@ def alert_key(name: Column, severity: Column, scope: Column) -> Column:
 def suppress(alerts: DataFrame, id_col: str = "alert_id", key: str = "alert_key", ts: str = "ts",
              severity: str = "severity", max_rounds: int = 64, stats: dict | None = None) -> DataFrame:
     """Add `sent` (bool) to every alert following the suppression rule.
-    `stats`, when given, receives the anchor count and the number of rounds."""
+    `stats`, when given, receives the anchor count, rounds and timings."""
+    t0 = time.perf_counter()
     spark = alerts.sparkSession
     checkpoint_dir(spark)
     a = alerts.withColumn("_ttl", ttl_seconds(F.col(severity)))
@@ -99,6 +102,7 @@ def suppress(alerts: DataFrame, id_col: str = "alert_id", key: str = "alert_key"
     n = reached.count()
     if stats is not None:
         stats["anchors"] = n
+        stats["setup_s"] = round(time.perf_counter() - t0, 2)
     for rnd in range(max_rounds):
         hop = reached.join(edges, "node").where(F.col("jump").isNotNull()).select(F.col("jump").alias("node"))
         grown = reached.unionByName(hop).distinct().checkpoint()
@@ -106,6 +110,7 @@ def suppress(alerts: DataFrame, id_col: str = "alert_id", key: str = "alert_key"
         if m == n:
             if stats is not None:
                 stats["rounds"] = rnd + 1
+                stats["total_s"] = round(time.perf_counter() - t0, 2)
             break
         reached, n = grown, m
         e1, e2 = edges.alias("e1"), edges.alias("e2")
