@@ -170,3 +170,49 @@ def test_plan_chunks(spark):
     assert [(c[2] - c[1]).days + 1 for c in ch] == [4, 3, 3]
     assert ch[0][1] == D(2024, 1, 1) and ch[-1][2] == D(2024, 1, 10)
     assert refdata.plan_chunks(days, 50).count() == 10
+
+
+def test_source_priority_falls_through_on_error_only(spark):
+    rows = [("tcbs", 1, "A", "ok"), ("vci", 2, "A", "ok"),
+            ("tcbs", 1, "B", "error"), ("vci", 2, "B", "ok"),
+            ("tcbs", 1, "C", "error"), ("vci", 2, "C", "error")]
+    df = spark.createDataFrame(rows, "source string, rank int, symbol string, status string")
+    got = {r.symbol: (r.source, r.status) for r in refdata.source_priority(df).collect()}
+    assert got == {"A": ("tcbs", "ok"), "B": ("vci", "ok"), "C": (None, "all_sources_failed")}
+
+
+def test_plan_chunks_edges(spark):
+    import pytest
+    days = spark.createDataFrame([(D(2024, 1, 1),)], "date date")
+    with pytest.raises(ValueError):
+        refdata.plan_chunks(days, 0)
+    assert refdata.plan_chunks(spark.createDataFrame([], "date date"), 3).count() == 0
+    one = refdata.plan_chunks(days, 5).collect()
+    assert [(r.chunk, r.start, r.end) for r in one] == [(1, D(2024, 1, 1), D(2024, 1, 1))]
+
+
+def test_alert_parse_json_and_plain(spark):
+    import base64
+    import json
+
+    def b64(s):
+        return base64.b64encode(s.encode()).decode()
+    rows = [(1, b64(json.dumps({"name": "disk", "severity": "error", "body": "full", "scope": ""})),
+             {"scope": "node/1", "source": "ops"}),
+            (2, b64("plain text"), {"alert_name": "cpu", "severity": "warning"}),
+            (3, b64("plain text"), {"source": "ops"}),
+            (4, "%%%not-base64", {})]
+    df = spark.createDataFrame(rows, "alert_id long, data string, attributes map<string,string>")
+    got = {r.alert_id: (r.name, r.severity, r.body, r.scope, r.source) for r in alerts.alert_parse(df).collect()}
+    assert got[1] == ("disk", "error", "full", "node/1", "ops")
+    assert got[2] == ("cpu", "warning", "plain text", "", None)
+    assert got[3] == ("ops", "info", "plain text", "", "ops")
+    assert 4 not in got
+
+
+def test_replay_sets_replay_of(spark):
+    from marketlake.operators.ops import replay_dead_letters
+    df = spark.createDataFrame([("x", {"topic": "ticks", "replay_of": "old"}, None)],
+                               "data string, attributes map<string,string>, publish_time string")
+    a = replay_dead_letters(df, "dead-letters/ticks.jsonl").first().attributes
+    assert a == {"topic": "ticks", "replay_of": "dead-letters/ticks.jsonl"}
