@@ -105,7 +105,7 @@ def _l2_select() -> str:
                  f"CASE WHEN {has_ask} THEN (ingest_seq + {2 * i}) % 7 + 1 END AS ask_n_{i}"]
     return ("SELECT ts_event, ts_received, symbol, asset_class, exchange,\n  "
             + ",\n  ".join(cols)
-            + ",\n  ingest_seq, date, hour(ts_event) AS hour\nFROM quotes_l1_raw")
+            + ",\n  ingest_seq, date, CAST(hour(ts_event) AS INTEGER) AS hour\nFROM quotes_l1_raw")
 
 
 view("quotes_l2_raw", _l2_select())

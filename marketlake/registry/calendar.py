@@ -196,7 +196,7 @@ def q_dq_summary(lk):
 
 @query("ack_lag", """
 SELECT stream, date, count(*) AS messages, max(lag) / 1000000.0::DOUBLE AS max_lag_s,
-       avg(lag) / 1000000.0::DOUBLE AS avg_lag_s, count_if(lag > 180000000) AS late_messages
+       avg(lag) / 1000000.0::DOUBLE AS avg_lag_s, CAST(count_if(lag > 180000000) AS BIGINT) AS late_messages
 FROM (SELECT 'ticks' AS stream, CAST(ts_event AS DATE) AS date, epoch_us(ts_received) - epoch_us(ts_event) AS lag FROM ticks_raw
       UNION ALL SELECT 'quotes_l1', CAST(ts_event AS DATE), epoch_us(ts_received) - epoch_us(ts_event) FROM quotes_l1_raw
       UNION ALL SELECT 'quotes_l2', CAST(ts_event AS DATE), epoch_us(ts_received) - epoch_us(ts_event) FROM quotes_l2_raw

@@ -80,7 +80,8 @@ def q_movers(lk):
 
 
 @query("breadth", f"""
-SELECT count(*) AS symbols, count_if(pct_change > 0) AS gainers, count_if(pct_change < 0) AS losers,
+SELECT count(*) AS symbols, CAST(count_if(pct_change > 0) AS BIGINT) AS gainers,
+       CAST(count_if(pct_change < 0) AS BIGINT) AS losers,
        max(last_date) AS latest_date FROM ({MOVERS_SQL})
 """)
 def q_breadth(lk):

@@ -11,6 +11,10 @@ from tests.conftest import SF_SMALL
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
+DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+        "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "array<bigint>": "BIGINT[]"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else v
@@ -48,6 +52,10 @@ def test_matches_oracle(spark, con, name):
     ocols = [d[0] for d in cur.description]
     exp = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    otypes = {d[0]: str(d[1]) for d in cur.description}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert DUCK.get(t, t) == otypes[f.name], (f.name, t, otypes[f.name])
     assert _rows(df.columns, got) == _rows(ocols, exp)
 
 
