@@ -2,50 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.prices import action_factor
-from .asof import asof_backward
 
 
-def month_bucket(c):
-    return F.trunc(c, "month")
+def _bars_and_actions(bars: DataFrame, actions: DataFrame) -> DataFrame:
+    """Bars and actions of a symbol in one frame, keyed by date; actions sort
+    before bars at equal dates (side 0 vs 1)."""
+    b = bars.withColumn("_k", F.col("date")).withColumn("_side", F.lit(1))
+    a = actions.withColumn("_k", F.col("ex_date")).withColumn("_side", F.lit(0))
+    return b.unionByName(a, allowMissingColumns=True)
 
 
-def asof_prev_close(actions: DataFrame, bars: DataFrame) -> DataFrame:
-    """Each action gets the last close strictly before its ex_date.
+def _with_prev_close(u: DataFrame) -> DataFrame:
+    """Action rows get close_prev: the last bar close strictly before ex_date.
+
+    A symbol's partition holds one bar per trading day plus its actions, so
+    partitioning by symbol is bounded by the calendar, not by data volume."""
+    asc = Window.partitionBy("symbol").orderBy("_k", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    is_action = F.col("_side") == 0
+    prev = F.last(F.when(~is_action, F.col("close")), ignorenulls=True).over(asc)
+    return u.withColumn("close_prev", F.when(is_action, prev))
 
-    Bars are unique per (symbol, date), so a (symbol, month) bucket holds at
-    most 31 closes: a heavy symbol spreads over many tasks.
-    """
-    closes = bars.select("symbol", F.col("date").alias("_pdate"), F.col("close").alias("close_prev"))
-    return asof_backward(actions, closes, by=["symbol"], left_key="ex_date", right_key="_pdate",
-                         values=["close_prev"], strict=True, bucket=month_bucket)
+
+def asof_prev_close(actions: DataFrame, bars: DataFrame) -> DataFrame:
+    """Each action with the last close strictly before its ex_date."""
+    u = _with_prev_close(_bars_and_actions(bars.select("symbol", "date", "close"), actions))
+    return u.where(F.col("_side") == 0).select(*actions.columns, "close_prev")
 
 
 def action_factors(actions: DataFrame, bars: DataFrame) -> DataFrame:
-    """symbol, ex_date, action_type, factor for every (deduplicated) action."""
+    """symbol, ex_date, action_type, ratio, amount, close_prev, factor per action (P10)."""
     with_prev = asof_prev_close(actions, bars)
     return with_prev.select("symbol", "ex_date", "action_type", "ratio", "amount", "close_prev",
                             action_factor().alias("factor"))
 
 
 def adjust_prices(bars: DataFrame, actions: DataFrame) -> DataFrame:
-    """adj_close = trunc(close * product of factors with ex_date > date).
-
-    The factors of a symbol are folded in ascending (ex_date, action_type)
-    order, the same order the multiplication happens in everywhere, so the
-    truncated result is bit-stable.  Actions are sparse: the per-symbol
-    arrays are small and the join to the bars is by symbol; AQE turns it
-    into a broadcast when the measured side is small and splits skewed
-    symbols otherwise.  No row is multiplied by the number of actions.
+    """adj_close = trunc(close * product of factors with ex_date > date) (J4 + P10 + J6).
+
+    One union of bars and actions per symbol, two windows over the same
+    shuffle: ascending, each action takes the last close strictly before its
+    ex_date and gets its factor; descending, each bar collects the factors of
+    the actions after it (bars sort before actions at equal dates, so an
+    action never adjusts its own ex-date bar).  The factors are folded in
+    ascending (ex_date, action_type) order -- the same order everywhere -- so
+    the truncated result is bit-stable.  No row is multiplied by the number
+    of actions.
     """
-    f = action_factors(actions, bars)
-    per_symbol = f.groupBy("symbol").agg(
-        F.array_sort(F.collect_list(F.struct("ex_date", "action_type", "factor"))).alias("_fs"))
-    j = bars.join(per_symbol, "symbol", "left")
-    later = F.filter("_fs", lambda x: x["ex_date"] > F.col("date"))
+    acts = actions.select("symbol", "ex_date", "action_type", "ratio", "amount")
+    u = _with_prev_close(_bars_and_actions(bars, acts))
+    is_action = F.col("_side") == 0
+    u = u.withColumn("_f", F.when(is_action, F.struct("ex_date", "action_type", action_factor().alias("factor"))))
+    desc = (Window.partitionBy("symbol").orderBy(F.col("_k").desc(), F.col("_side").desc())
+            .rowsBetween(Window.unboundedPreceding, 0))
+    later = F.array_sort(F.collect_list("_f").over(desc))
     cum = F.aggregate(later, F.lit(1.0), lambda acc, x: acc * x["factor"])
-    adj = F.when(F.col("_fs").isNull(), F.col("close")).otherwise((cum * F.col("close")).cast("long"))
-    return j.withColumn("adj_close", adj).drop("_fs")
+    out = u.withColumn("adj_close", F.when(~is_action, (cum * F.col("close")).cast("long")))
+    return out.where(~is_action).select(*bars.columns, "adj_close")

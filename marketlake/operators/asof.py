@@ -63,16 +63,18 @@ def asof_backward(
     ords = [F.col("_k"), F.col("_side")] + [F.col(f"_o{i}") for i in range(len(right_order))]
     if forward:
         ords = [o.desc() for o in ords]
-    w = Window.partitionBy(*part).orderBy(*ords).rowsBetween(Window.unboundedPreceding, 0)
-    found = u.withColumn("_m", F.last("_v", ignorenulls=True).over(w)).where("_is_left")
-    if bucket is not None:
-        # one row per (by, bucket) present on either side: the bucket's
-        # boundary right row (null when it has none), then the nearest
-        # earlier (forward: later) bucket's value carried over
-        pick = F.min_by if forward else F.max_by
-        order_key = F.when(~F.col("_is_left"),
-                           F.struct(F.col("_k"), *[F.col(f"_o{i}") for i in range(len(right_order))]))
-        per_bucket = u.groupBy(*by, "_b").agg(pick("_v", order_key).alias("_bv"))
+    w = Window.partitionBy(*part).orderBy(*ords)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    u = u.withColumn("_m", F.last("_v", ignorenulls=True).over(running))
+    if bucket is None:
+        found = u.where("_is_left")
+    else:
+        # the bucket's boundary right row comes from the same window pass
+        # (whole-partition frame), so the carry reuses the window's shuffle
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        u = u.withColumn("_bl", F.last("_v", ignorenulls=True).over(whole))
+        found = u.where("_is_left")
+        per_bucket = u.groupBy(*by, "_b").agg(F.first("_bl", ignorenulls=True).alias("_bv"))
         wb = Window.partitionBy(*by).orderBy(F.col("_b").desc() if forward else F.col("_b"))
         carry = per_bucket.select(
             *by, "_b",

@@ -40,10 +40,15 @@ def curate_daily_ohlcv(raw: DataFrame, actions_raw: DataFrame) -> DataFrame:
     """Deduplicated bars with backward-adjusted close.
 
     Actions are deduplicated first: the daily sweep re-lands future actions,
-    and applying one twice would compound its factor.
+    and applying one twice would compound its factor.  Both inputs are
+    hash-partitioned by symbol once; that partitioning satisfies the dedup
+    windows (keys contain symbol) and the adjustment windows (by symbol), so
+    each input is shuffled exactly once.
     """
-    bars = curate_daily_bars(raw)
-    acts = dedup_first(actions_raw, ["symbol", "ex_date", "action_type"], ["ex_date", "ingest_seq"])
+    bars = dedup_first(raw.repartition("symbol").where(F.year("date") != 1900), ["symbol", "date"],
+                       ["date", "ingest_seq"]).select(*DAILY_COLS)
+    acts = dedup_first(actions_raw.repartition("symbol"), ["symbol", "ex_date", "action_type"],
+                       ["ex_date", "ingest_seq"])
     return adjust_prices(bars, acts).select(*DAILY_COLS, "adj_close")
 
 
