@@ -43,19 +43,26 @@ def alert_parse(raw: DataFrame, data: str = "data", attrs: str = "attributes") -
     that are not valid base64 are dropped (the reference rejects them).
     """
     body = F.try_to_binary(F.col(data), F.lit("base64")).cast("string")
-    x = raw.withColumn("body_text", body).where(F.col("body_text").isNotNull())
+    keep = [c for c in raw.columns if c not in (data, attrs)]
+    # one-row generators: the decoded body and its parse are computed once per
+    # alert instead of being inlined into every output column below
+    x = (raw.select(*keep, attrs, F.inline(F.array(F.struct(body.alias("body_text")))))
+         .where(F.col("body_text").isNotNull()))
     is_obj = F.trim("body_text").startswith("{") & F.get_json_object("body_text", "$").isNotNull()
-    p = F.from_json("body_text", schemas.ALERT_BODY)
+    x = x.select(*keep, attrs, "body_text",
+                 F.inline(F.array(F.struct(is_obj.alias("_obj"),
+                                           F.from_json("body_text", schemas.ALERT_BODY).alias("_p")))))
+    p = F.col("_p")
     a = F.col(attrs)
 
     def ne(c):
         return F.nullif(c, F.lit(""))
 
     def pick(obj_val, plain_val):
-        return F.when(is_obj, obj_val).otherwise(plain_val)
+        return F.when(F.col("_obj"), obj_val).otherwise(plain_val)
 
     return x.select(
-        *[c for c in raw.columns if c not in (data, attrs)],
+        *keep,
         pick(F.coalesce(ne(p["name"]), a["alert_name"], F.lit("unknown")),
              F.coalesce(a["alert_name"], a["source"], F.lit("unknown"))).alias("name"),
         pick(F.coalesce(ne(p["severity"]), a["severity"], F.lit("info")),
@@ -89,6 +96,8 @@ def suppress(alerts: DataFrame, id_col: str = "alert_id", key: str = "alert_key"
                           strict=False, forward=True, right_order=["jump"],
                           bucket=lambda c: F.date_trunc("DAY", c)).select("node", "jump")
     edges = edges.checkpoint()
+    if stats is not None:
+        stats["input_and_edges_s"] = round(time.perf_counter() - t0, 2)
     # anchors: first alert at its timestamp, and nothing earlier within the TTL
     prev = asof_backward(windowed.select(key, id_col, ts, "_ttl"),
                          windowed.select(key, F.col(ts).alias("_pt")), by=[key], left_key=ts, right_key="_pt",
