@@ -107,26 +107,35 @@ def suppress(alerts: DataFrame, id_col: str = "alert_id", key: str = "alert_key"
                .where(F.col(id_col) == F.col("node"))
                .where(F.col("_pt").isNull()
                       | (F.col("_pt") <= F.timestamp_add("SECOND", -F.col("_ttl"), F.col(ts)))))
-    reached = anchors.select("node").checkpoint()
-    n = reached.count()
+    # one table per round: every alert's current jump (2^k hops) and whether
+    # the chain has reached it; a round doubles the jumps and pushes `reached`
+    # along the current jumps, in one checkpointed job
+    t = (edges.join(anchors.select("node", F.lit(True).alias("_a")), "node", "left")
+         .select("node", "jump", F.coalesce("_a", F.lit(False)).alias("reached")).checkpoint())
+    n = t.where("reached").count()
     if stats is not None:
         stats["anchors"] = n
         stats["setup_s"] = round(time.perf_counter() - t0, 2)
     for rnd in range(max_rounds):
-        hop = reached.join(edges, "node").where(F.col("jump").isNotNull()).select(F.col("jump").alias("node"))
-        grown = reached.unionByName(hop).distinct().checkpoint()
-        m = grown.count()
+        hit = (t.where(F.col("reached") & F.col("jump").isNotNull())
+               .select(F.col("jump").alias("node")).distinct().withColumn("_hit", F.lit(True)))
+        t1, t2 = t.alias("t1"), t.alias("t2")
+        doubled = (t1.join(t2, F.col("t1.jump") == F.col("t2.node"), "left")
+                   .select(F.col("t1.node").alias("node"), F.col("t2.jump").alias("jump"),
+                           F.col("t1.reached").alias("reached")))
+        nxt = (doubled.join(hit, "node", "left")
+               .select("node", "jump", (F.col("reached") | F.coalesce("_hit", F.lit(False))).alias("reached"))
+               .checkpoint())
+        m = nxt.where("reached").count()
         if m == n:
             if stats is not None:
                 stats["rounds"] = rnd + 1
                 stats["total_s"] = round(time.perf_counter() - t0, 2)
             break
-        reached, n = grown, m
-        e1, e2 = edges.alias("e1"), edges.alias("e2")
-        edges = (e1.join(e2, F.col("e1.jump") == F.col("e2.node"), "left")
-                 .select(F.col("e1.node").alias("node"), F.col("e2.jump").alias("jump")).checkpoint())
+        t, n = nxt, m
     else:
         raise RuntimeError("suppression chain did not converge")
+    reached = t.where("reached").select("node")
     sent_ids = reached.select(F.col("node").alias("_sid"), F.lit(True).alias("_sent"))
     out = a.join(sent_ids, F.col(id_col) == F.col("_sid"), "left")
     return out.withColumn("sent", (F.col("_ttl") <= 0) | F.coalesce(F.col("_sent"), F.lit(False))).drop(

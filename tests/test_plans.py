@@ -22,7 +22,7 @@ def test_take_ordered(spark, name):
     assert "TakeOrderedAndProject" in plan(spark, name)
 
 
-@pytest.mark.parametrize("name", ["trading_day_flags", "in_session", "curate_daily_ohlcv"])
+@pytest.mark.parametrize("name", ["trading_day_flags", "in_session", "gate_fundamentals_by_chunk"])
 def test_broadcast(spark, name):
     assert "BroadcastHashJoin" in plan(spark, name) or "BroadcastNestedLoopJoin" in plan(spark, name)
 
@@ -33,6 +33,13 @@ def test_no_python_in_hot_path(spark, name):
     assert "Python" not in p and "ArrowEval" not in p
 
 
+def test_flagship_shuffles_each_input_once(spark):
+    p = plan(spark, "curate_daily_ohlcv")
+    assert p.count("Exchange hashpartitioning") == 2
+    assert p.count("FileScan parquet") == 2
+    assert "Join" not in p
+
+
 def test_projection_pruned(spark):
     p = plan(spark, "curate_ticks")
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in p
