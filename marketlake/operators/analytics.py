@@ -34,13 +34,15 @@ def vwap_by_session(flagged_ticks: DataFrame) -> DataFrame:
                  F.sum("volume").alias("total_volume"), F.count(F.lit(1)).alias("tick_count")))
 
 
-def sector_heatmap(factors: DataFrame, daily: DataFrame, tickers: DataFrame) -> DataFrame:
+def sector_heatmap(daily: DataFrame, tickers: DataFrame) -> DataFrame:
     """Per (date, sector): mean daily return, foreign net buy, gainers and losers (M3).
-    Tickers are one row per listed symbol (universe-sized)."""
-    t = tickers.select("symbol", "sector_l1")
-    f = (factors.select("symbol", "date", "daily_return")
-         .join(daily.select("symbol", "date", "foreign_buy_vol", "foreign_sell_vol"), ["symbol", "date"])
-         .join(t, "symbol"))
+    The return is computed in the same pass as the flows (one window, no self
+    join); tickers are one row per listed symbol (universe-sized)."""
+    w = Window.partitionBy("symbol").orderBy("date")
+    prev = F.lag("close").over(w)
+    f = (daily.select("symbol", "date", "foreign_buy_vol", "foreign_sell_vol",
+                      F.try_divide(F.col("close") - prev, F.nullif(prev, F.lit(0))).alias("daily_return"))
+         .join(tickers.select("symbol", "sector_l1"), "symbol"))
     return f.groupBy("date", "sector_l1").agg(
         F.avg("daily_return").alias("mean_return"),
         F.sum(F.col("foreign_buy_vol") - F.col("foreign_sell_vol")).alias("foreign_net_buy"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import analytics as an
 from ..operators import calendar as cal
-from ..operators import factors, ingest
+from ..operators import ingest
 from ..operators.bars import latest_snapshot
 from ..sources import jsonl
 from . import query
@@ -54,7 +54,7 @@ GROUP BY 1, 2
 def q_sector_heatmap(lk):
     """M3: per date and sector over the latest listed universe (mean rounded to 9 dp)."""
     d = lk.curated_daily
-    h = an.sector_heatmap(factors.daily_factors(d), d, latest_snapshot(lk.tickers))
+    h = an.sector_heatmap(d, latest_snapshot(lk.tickers))
     return h.withColumn("mean_return", F.round("mean_return", 9))
 
 
