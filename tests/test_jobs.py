@@ -91,3 +91,15 @@ def test_reference_and_dq(spark, landed):
     assert set(dq) == {"tick_vs_daily", "l1_vs_l2", "corp_actions_applied", "corp_actions_applied_fixed",
                        "missing_days"}
     assert dq["l1_vs_l2"] > 0
+
+
+def test_curated_views_and_ddl(spark, landed):
+    root, lk = landed
+    jobs.run_curate(spark, root, "ticks")
+    made = src.register_views(spark, root)
+    assert "ticks" in made
+    assert spark.sql("SELECT count(*) AS n FROM ticks").first().n == lk.curated_ticks.count()
+    ddl = src.curated_table_ddl(root)
+    assert any("PARTITIONED BY (date, asset_class, symbol)" in d for d in ddl)
+    out = src.run_sql(spark, "SELECT count(*) AS n FROM ticks WHERE date >= :d", d=dt.date(2024, 1, 15))
+    assert 0 < out.first().n < lk.curated_ticks.count()
