@@ -132,15 +132,16 @@ def in_session(df: DataFrame, days: DataFrame, sessions: DataFrame, ts: str = "t
 def missing_days(bars: DataFrame, days: DataFrame) -> DataFrame:
     """Per symbol, trading days between its first and last bar with no bar (M7).
 
-    Trading days are numbered once (a small calendar window), bars take their
-    day number, and each gap between consecutive bars expands to exactly its
-    missing day numbers: output size is the number of missing days, with no
-    symbol x calendar product.
+    Bars on trading days are ordered per symbol (one row per trading day, so
+    bounded by the calendar); each gap between consecutive bars expands to the
+    calendar days strictly inside it, kept when they are trading days.  Output
+    size is the number of missing days: no symbol x calendar product and no
+    global window.
     """
-    cal = trading_days(days).select("date", F.row_number().over(Window.orderBy("date")).alias("idx"))
-    b = bars.select("symbol", "date").join(F.broadcast(cal), "date")
-    w = Window.partitionBy("symbol").orderBy("idx")
-    gaps = (b.withColumn("_prev", F.lag("idx").over(w))
-            .where(F.col("idx") - F.col("_prev") > 1)
-            .select("symbol", F.explode(F.sequence(F.col("_prev") + 1, F.col("idx") - 1)).alias("idx")))
-    return gaps.join(F.broadcast(cal), "idx").select("symbol", "date")
+    td = trading_days(days).select("date")
+    b = bars.select("symbol", "date").join(F.broadcast(td), "date", "left_semi")
+    w = Window.partitionBy("symbol").orderBy("date")
+    gaps = (b.withColumn("_prev", F.lag("date").over(w))
+            .where(F.datediff("date", "_prev") > 1)
+            .select("symbol", F.explode(F.sequence(F.date_add("_prev", 1), F.date_sub("date", 1))).alias("date")))
+    return gaps.join(F.broadcast(td), "date", "left_semi").select("symbol", "date")

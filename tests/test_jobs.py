@@ -84,7 +84,7 @@ def test_reference_and_dq(spark, landed):
     root, lk = landed
     counts = jobs.run_reference(spark, root, lk.vendor_tickers, lk.vendor_futures, "2024-03-01")
     assert counts["tickers"] == lk.vendor_tickers.count()
-    for s in ("quotes_l1", "quotes_l2", "corp_actions"):
+    for s in ("ticks", "quotes_l1", "quotes_l2", "corp_actions"):
         jobs.run_curate(spark, root, s)
     jobs.run_curate(spark, root, "daily_ohlcv")
     dq = {r.validator: r.findings for r in jobs.run_dq(spark, root, cal.days_between(lk.daily_raw)).collect()}
