@@ -216,3 +216,16 @@ def test_replay_sets_replay_of(spark):
                                "data string, attributes map<string,string>, publish_time string")
     a = replay_dead_letters(df, "dead-letters/ticks.jsonl").first().attributes
     assert a == {"topic": "ticks", "replay_of": "dead-letters/ticks.jsonl"}
+
+
+def test_in_session_bounds_inclusive_on_exchange_clock(spark):
+    # 02:00 UTC = 09:00 local (open), 04:30 = 11:30 (close, inclusive), 04:30:01 just after;
+    # futures open at 08:45 local = 01:45 UTC; Saturday is never in session
+    t = dt.datetime
+    rows = [(1, t(2024, 1, 2, 2, 0, 0), "equity"), (2, t(2024, 1, 2, 4, 30, 0), "equity"),
+            (3, t(2024, 1, 2, 4, 30, 1), "equity"), (4, t(2024, 1, 2, 1, 45, 0), "future"),
+            (5, t(2024, 1, 2, 1, 45, 0), "equity"), (6, t(2024, 1, 6, 3, 0, 0), "equity")]
+    df = spark.createDataFrame(rows, "id int, ts_event timestamp, asset_class string")
+    days = spark.createDataFrame([(D(2024, 1, 1) + dt.timedelta(days=i),) for i in range(10)], "date date")
+    got = {r.id: r.in_session for r in calendar.in_session(df, days, calendar.sessions_table(spark)).collect()}
+    assert got == {1: True, 2: True, 3: False, 4: True, 5: False, 6: False}
