@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +43,19 @@ def small_side(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+def on_workers(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it, as spark.executorEnv.PYTHONPATH
+    would; a cluster that installs it needs nothing."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    known = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+    return spark
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

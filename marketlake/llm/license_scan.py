@@ -66,7 +66,8 @@ def prefix_index(ranks: dict[str, int], templates, containment: float) -> list[t
 
 
 def block_matches(df: DataFrame, text_col: str = "text", templates=TEMPLATES, containment: float = 0.9) -> Column:
-    """For each text the array of (label, score) of the templates that one of its lines matches.
+    """For each text the array of (label, score, longest) of the templates that one of its lines matches;
+    `longest` tells the line's longest templates from those that are parts of them.
 
     The inverted index of template prefixes is the small side of the join: its rows are fixed by
     the template list, so it is folded into the plan and each line probes it in place."""
@@ -92,18 +93,23 @@ def block_matches(df: DataFrame, text_col: str = "text", templates=TEMPLATES, co
                 hit = hit | at(i, w)
             share = F.size(F.array_intersect(own, sorted_words))
             return F.when((F.size(own) >= need) & hit & (share >= need),
-                          F.struct(F.lit(label).alias("label"), (share / F.lit(float(size))).alias("score")))
+                          F.struct(F.lit(label).alias("label"), (share / F.lit(float(size))).alias("score"), F.lit(size).alias("size")))
         return F.array_compact(F.array(*[by_template(no) for no in range(len(templates))]))
 
+    def longest(found: Column) -> Column:  # a longer notice that matches explains the shorter ones in its line
+        return F.transform(found, lambda m: F.struct(m["label"].alias("label"), m["score"].alias("score"),
+                                                     (m["size"] == F.array_max(found["size"])).alias("longest")))
+
     # only lines that hold a prefix word can match
     lines = F.filter(F.split(F.col(text_col), "\n", -1), lambda x: x.rlike(gate))
-    return F.when(F.col(text_col).rlike(gate), F.flatten(F.transform(lines, probe)))
+    return F.when(F.col(text_col).rlike(gate), F.flatten(F.transform(lines, lambda x: longest(probe(x)))))
 
 
 def scan(df: DataFrame, text_col: str = "text", phrases=PHRASES, templates=TEMPLATES,
          containment: float = 0.9) -> DataFrame:
     """`df` plus n_words, base_hits array<struct<start,end,label>> (words from 0, end exclusive),
-    base_labels, matches array<struct<label,score>> and labels.
+    base_labels, matches array<struct<label,score,longest>>
+    and labels (base ones and those of the longest matches).
 
     A null text counts as empty; empty texts have no words, hits or matches; words match across blanks and
     punctuation, so phrases also match across lines, while templates match within a line.  Repeated rows
@@ -132,12 +138,13 @@ def scan(df: DataFrame, text_col: str = "text", phrases=PHRASES, templates=TEMPL
         "n_words": F.coalesce(F.regexp_count(text, F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")), F.lit(0)).cast("long"),
         "__w": F.when(gate, words),
         "matches": F.coalesce(block_matches(df, text_col, templates, containment),
-                              F.array().cast("array<struct<label:string,score:double>>")),
+                              F.array().cast("array<struct<label:string,score:double,longest:boolean>>")),
     })
     out = out.withColumn("base_hits", F.when(F.col("__w").isNotNull(), hits(F.col("__w"))).otherwise(none))
     base = F.array_sort(F.array_distinct(F.col("base_hits.label")))
     return out.withColumn("base_labels", base).withColumn(
-        "labels", F.array_sort(F.array_distinct(F.concat("base_labels", F.col("matches.label"))))).drop("__w")
+        "labels", F.array_sort(F.array_distinct(F.concat(
+            "base_labels", F.filter("matches", lambda m: m["longest"])["label"])))).drop("__w")
 
 
 def report(scanned: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, line_dedup, mixing, packing, pii, quality, toxicity
+from . import jaccard, license_scan, line_dedup, mixing, packing, pii, quality, toxicity
 from .common import read, word_count, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(line_dedup.drop_lines(line_dedup.page_texts(read(spark, sf_dir, "pages"))))
