@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, license_scan, line_dedup, mixing, packing, pii, quality, toxicity
+from . import jaccard, license_scan, line_dedup, mixing, packing, pii, quality, substring, toxicity
 from .common import read, word_count, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(line_dedup.drop_lines(line_dedup.page_texts(read(spark, sf_dir, "pages"))))
 
 
+@query
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(substring.remove_repeats(read(spark, sf_dir, "documents")))
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
