@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, license_scan, line_dedup, mixing, packing, pii, quality, substring, toxicity
+from . import jaccard, license_scan, line_dedup, mixing, neardup, packing, pii, quality, substring, toxicity
 from .common import read, word_count, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.sanitise(read(spark, sf_dir, "documents")))
 
 
+@query
+def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
