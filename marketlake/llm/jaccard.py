@@ -231,3 +231,19 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by_node = named.join(groups, "root").select(F.col("node").alias("__node"), "component_id")
     return survey.filter("h is null").join(by_node, F.col("node") == F.col("__node"), "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
+                similarity: Fraction | float = Fraction(3, 4)) -> DataFrame:
+    """The rows of `df` whose id is the smallest of its group; of rows that share an id, one."""
+    found = written(jaccard_join(df, id_col, text_col, k, similarity), "groups")
+    gone = written(found.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(
+        F.col(id_col).alias("__gone")).distinct(), "gone")
+    rest = df.join(small_side(gone, gone.count(), 1_000_000), F.col(id_col) == F.col("__gone"), "left_anti")
+    twice = written(found.groupBy(F.col(id_col).alias("__twice")).count().filter("count > 1").select("__twice"), "repeated")
+    n = twice.count()
+    if not n:
+        return rest
+    side = small_side(twice, n, 1_000_000)
+    same_id = F.col(id_col).eqNullSafe(F.col("__twice"))
+    return rest.join(side, same_id, "left_anti").unionByName(rest.join(side, same_id, "left_semi").dropDuplicates([id_col]))

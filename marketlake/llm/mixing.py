@@ -103,9 +103,9 @@ def apply_mix(df: DataFrame, text_col: str = "text") -> DataFrame:
     of which nothing is taken go.  Only the cut documents' texts change."""
     part = F.col("taken") % F.col("size")
     whole = F.expr("cast(taken div size as int)")
-    lead = F.regexp_extract(F.col(text_col), F.concat(
+    lead = F.call_function("regexp_extract", F.col(text_col), F.concat(
         F.lit(r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){"), (part - 1).cast("string"),
-        F.lit(r"}+[^\x20\x09-\x0D]++")), 0)
+        F.lit(r"}+[^\x20\x09-\x0D]++")), F.lit(0))
     texts = F.concat(F.array_repeat(F.col(text_col), whole),
                      F.when(part > 0, F.array(lead)).otherwise(F.array().cast("array<string>")))
     return df.filter((F.col("size") > 0) & (F.col("taken") > 0)).withColumn(text_col, F.explode(texts))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -137,3 +138,25 @@ def judge(df: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_
         "kept", ~F.col("base_failed") & (F.col("n_words") - F.col("n_line_words") >= min_rest * F.col("n_words"))
     ).select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
              "n_line_words", "frequent")
+
+
+def cleaned(df: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", **limits) -> DataFrame:
+    """The rows of `df` that `judge` keeps, without their lines above the limits, in `df`'s columns.
+    Verdicts are of (id, host, text), so rows that share an id but differ are judged apart."""
+    row = F.xxhash64(F.col(id_col).cast("string"), F.col(host_col).cast("string"), F.col(text_col))
+    rows = df.withColumn("__row", row)
+    told = judge(rows.select("__row", F.col(host_col), F.col(text_col)), "__row", host_col, text_col, **limits)
+    told = written(told.filter(~F.col("kept") | (F.size("frequent") > 0)).select(
+        F.col("__row").alias("__told"), "kept", "frequent").dropDuplicates(["__told"]), "verdicts")
+    n = told.agg(F.coalesce(F.sum(1 + F.size("frequent")), F.lit(0))).first()[0]
+    side = small_side(told.withColumnRenamed("kept", "__kept").withColumnRenamed("frequent", "__gone"), n)
+    out = rows.join(side, F.col("__row") == F.col("__told"), "left").filter(F.coalesce("__kept", F.lit(True)))
+
+    @F.pandas_udf("string")
+    def rest(text: pd.Series, gone: pd.Series) -> pd.Series:
+        def without(t, g):
+            keys = set() if g is None else {int(k) for k in g}
+            return "\n".join(x for x in t.split("\n") if line_key(x) not in keys) if keys else t
+        return pd.Series([without(t, g) for t, g in zip(text, gone, strict=True)], dtype=object)
+    text = rest(F.col(text_col), F.col("__gone"))
+    return out.select(*[text.alias(c) if c == text_col else F.col(c) for c in df.columns])
