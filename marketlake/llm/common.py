@@ -66,3 +66,15 @@ def word_count(text: Column) -> Column:
 
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
+
+
+#: Stands in for a null id where ids are compared: after all others.
+LAST_ID = 2**63 - 1
+
+
+def ordered_id(c: Column) -> Column:
+    return F.coalesce(c.cast("long"), F.lit(LAST_ID))
+
+
+def given_id(c: Column) -> Column:
+    return F.when(c != LAST_ID, c)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_side, written
+from .common import given_id, ordered_id, small_side, written
 from .components import components
 from .ngrams import (FREQUENT_MOST, batch_of, column, frequent_in, is_in, longs, shingles)
 
@@ -165,15 +165,13 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Jaccard similarity `similarity` or more.
 
     A null text or one without words has an empty set and links with nothing; with fewer than `k` words the
-    whole sequence is the one shingle; equal sets always link (similarity 1), repeated rows too.  Rows of one id
-    count as one document for components.  An empty table gives an empty one.
+    whole sequence is the one shingle; equal sets always link (similarity 1), repeated rows too.  Ids are integers; rows with a null id come after all others.  An empty table gives an empty one.
     Shingles and sets are compared by 64-bit hashes.
     """
     share = Fraction(similarity).limit_denominator(10_000)
     num, den = share.numerator, share.denominator
-    docs = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    docs = df.select(ordered_id(F.col(id_col)).alias("__id"), F.col(text_col).alias("__text"))
     spark = df.sparkSession
-    id_type = docs.schema["__id"].dataType
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -181,7 +179,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         s = StructType.fromDDL(ddl)
         return s, to_arrow_schema(s)
 
-    s, a = typed(f"id {id_type.simpleString()}, n long, node long, h long, c long")
+    s, a = typed("id long, n long, node long, h long, c long")
     survey = written(docs.mapInArrow(lambda it: _surveyed(it, k, a), s), "survey")
     often = np.sort(np.array([r[0] for r in survey.filter("h is not null").groupBy("h").agg(F.sum("c").alias("c"))
                               .orderBy(F.desc("c"), "h").limit(FREQUENT_MOST).select("h").collect()], np.int64).view(np.uint64))
@@ -230,7 +228,8 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = named.join(groups, "root").select(F.col("node").alias("__node"), "component_id")
     return survey.filter("h is null").join(by_node, F.col("node") == F.col("__node"), "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+        given_id(F.col("id")).alias(id_col), F.col("n").alias("n_shingles"),
+        given_id(F.coalesce("component_id", "id")).alias("component_id"))
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import given_id, ordered_id, written
 from .components import components
 
 #: Vectors a cell should have; centroids of all labels together at most; sampled vectors a cell for fitting.
@@ -154,7 +154,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
     Rows link if their labels are equal and not null and their cosine is `cosine` or more; null, zero, empty
     and non-finite vectors, and vectors of different lengths, link with nothing.  Repeated rows are
-    vectors of their own.  The cells are fitted on a sample of at most `cells_most * sample_per_cell`
+    vectors of their own; rows with a null id come after all others.  The cells are fitted on a sample of at most `cells_most * sample_per_cell`
     vectors, in order of a hash; they only decide where links are looked for, not which are found.
     An empty table gives an empty one.
     """
@@ -166,7 +166,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         return s, to_arrow_schema(s)
 
     spark = df.sparkSession
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("v"))
+    src = df.select(ordered_id(F.col(id_col)).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("v"))
     kind = src.schema["label"].dataType.simpleString()
     s1, a1 = typed(f"id long, label {kind}, key binary, unit binary")
     vectors = written(src.mapInArrow(lambda it: _prepared(it, a1), s1), "vectors")
@@ -221,5 +221,5 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     v = vectors.select("id", "label", "key")
     out = v.join(told, (F.col("label") == F.col("__l")) & (F.col("key") == F.col("__k")), "left")
     comp = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      comp.alias("component_id"), F.coalesce(comp == F.col("id"), F.lit(True)).alias("kept"))
+    return out.select(given_id(F.col("id")).alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                      given_id(comp).alias("component_id"), F.coalesce(comp == F.col("id"), F.lit(True)).alias("kept"))

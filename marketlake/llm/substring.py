@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_side, written
+from .common import given_id, ordered_id, small_side, written
 from .ngrams import FREQUENT_MOST, batch_of, column, frequent_in, is_in, longs, runs, word_hashes, words
 
 SPAN = 20
@@ -192,8 +192,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     windows of `span` words that also start earlier: at a smaller id, or earlier in the same document.
 
     `spans` are the removed runs of words, end exclusive; `kept` joins the other words by one space.  A null
-    text has no words; texts shorter than `span` words keep all.  Ids must be integers and not null; rows of one
-    id are one document at the same places, so a repeated row removes nothing from its twin.  An empty table
+    text has no words; texts shorter than `span` words keep all.  Ids are integers, and rows of one id
+    have one text; they are one document at the same places, so a repeated row removes nothing from its twin.
+    Rows with a null id come after all others.  An empty table
     gives an empty one.  Windows and k-mers are compared by 64-bit hashes.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -203,7 +204,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         s = StructType.fromDDL(ddl)
         return s, to_arrow_schema(s)
 
-    docs = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    docs = df.select(ordered_id(F.col(id_col)).alias("doc"), F.col(text_col).alias("text"))
     spark = df.sparkSession
     fs, fa = typed("h long, c long")
     top = docs.select("text").mapInArrow(lambda it: _frequent(it, span, fa), fs).groupBy("h").agg(F.sum("c").alias("c")) \
@@ -228,7 +229,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     both = known.join(small_side(firsts, m, LIST_BOUND), F.col("doc") == F.col("__f"), "left")
     s4, a4 = typed("doc long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")
     return both.select("doc", "text", "places", "fates", "first").mapInArrow(
-        lambda it: _removed(it, span, often.value, a4), s4).withColumnRenamed("doc", id_col)
+        lambda it: _removed(it, span, often.value, a4), s4).select(given_id(F.col("doc")).alias(id_col), "n_words", "n_removed", "spans", "kept")
 
 
 def report(removed: DataFrame) -> DataFrame:
