@@ -1,9 +1,9 @@
 """N-gram Jaccard join by T-occurrence search (operator 6).
 
 Documents are sets of hashed shingles; equal sets are one class.  Shingles are ordered by hash with the
-frequent ones last, and two sets of the wanted similarity share one of the first n - T + 1 of each
-(T: the least overlap).  Inverted lists of those prefixes name the classes that share anything; such
-classes are dealt into blocks by their smallest shared shingle and their length, and the pairs of blocks
+frequent ones last, and two sets of the wanted similarity share e or more of the first n - T + e of each
+(T: the least overlap; e: a tenth of the smaller set).  Inverted lists of those prefixes tell which classes
+share so much with others at all; they are dealt into blocks by their smallest shared shingle and their length, and the pairs of blocks
 that meet in a list are searched by DivideSkip: short lists are merged, long ones probed by
 binary search, and a partner is kept if its occurrences reach the overlap.
 A block pair returns a spanning forest of its links, so what is returned grows with documents, not pairs.
@@ -35,6 +35,11 @@ def least_overlap(n: int, m: int, num: int, den: int) -> int:
     return -(-num * (n + m) // (num + den))
 
 
+def early(n: int) -> int:
+    """Hits that a prefix is made for: a tenth of the set."""
+    return -(-n // 10)
+
+
 def node_of(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63
 
@@ -59,7 +64,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, oft
             if not len(s) or (node := node_of(s)) in known:
                 continue
             known.add(node)
-            p = len(s) - -(-num * len(s) // den) + 1
+            p = min(len(s), len(s) - -(-num * len(s) // den) + early(len(s)))
             f = is_in(s, often)
             first = s[~f][:p]
             last = s[f][: p - len(first)]
@@ -89,13 +94,14 @@ def _shared(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int, schema: pa.Schema):
     for b in batches:
-        nodes, wanted, out = [], b.column(1).to_pylist(), []
-        for t, w in zip(b.column(0), wanted, strict=True):
+        nodes, blocks, out = [], [], []
+        for t, node, block in zip(*(c if i == 0 else c.to_pylist() for i, c in enumerate(b.columns)), strict=True):
             s = shingles(t.as_py(), k)
-            if len(s) and node_of(s) == w:
-                nodes.append(w)
+            if len(s) and node_of(s) == node:
+                nodes.append(node)
+                blocks.append(block)
                 out.append(s.tobytes())
-        yield batch_of(schema, nodes, out)
+        yield batch_of(schema, nodes, blocks, out)
 
 
 def divide_skip(query: np.ndarray, lists: np.ndarray, owners: np.ndarray, sizes: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -190,11 +196,15 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ss, sa = typed("h long, node long, n int")
     light = postings.filter("not heavy").drop("heavy").repartition("h").mapInArrow(lambda it: _shared(it, sa), ss)
     # frequent shingles need no lists to be known as shared
-    shared = written(light.unionByName(postings.filter("heavy").drop("heavy")), "shared")
+    often_shared = postings.filter("heavy").drop("heavy").dropDuplicates(["h", "node"])
+    shared = written(light.unionByName(often_shared), "shared")
 
+    # a partner is num / den as large at least, so its prefix is made for so many hits of these
+    needed = F.ceil(F.col("n") * F.lit(num) / F.lit(10 * den))
     # blocks: smallest shared shingle, length band, and a salt by the size of the two
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num))).cast("int")
-    nodes = shared.groupBy("node").agg(F.min("h").alias("sig"), F.max("n").alias("n")).withColumn("band", band)
+    nodes = shared.groupBy("node").agg(F.min("h").alias("sig"), F.max("n").alias("n"), F.count(F.lit(1)).alias("hits")).filter(
+        F.col("hits") >= needed).select("node", "sig", "n", band.alias("band"))
     nodes = written(nodes, "nodes")
     parts = nodes.groupBy("sig", "band").agg(F.sum("n").alias("total"))
     blocks = nodes.join(parts, ["sig", "band"]).withColumn(
@@ -212,14 +222,15 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # the sets of the classes in them, from one document of each class
     ids = survey.filter("node is not null").groupBy("node").agg(F.min("id").alias("__need"))
-    need = written(ids.join(nodes.select("node"), "node"), "need")
+    need = written(ids.join(blocks.select("node", "block"), "node"), "need")
     some = small_side(need, need.count(), 1_000_000)
-    ns, na = typed("node long, set binary")
-    sets = docs.join(some, F.col("__id") == F.col("__need")).select("__text", "node").mapInArrow(lambda it: _sets(it, k, na), ns)
-    sets = sets.join(blocks.select("node", "block"), "node")
+    ns, na = typed("node long, block long, set binary")
+    sets = docs.join(some, F.col("__id") == F.col("__need")).select("__text", "node", "block").mapInArrow(
+        lambda it: _sets(it, k, na), ns)
     sides = pairs.select("left", "right", F.col("left").alias("block"), F.lit(True).alias("is_left"), (F.col("left") == F.col("right")).alias("is_right")) \
         .unionByName(pairs.filter("left <> right").select("left", "right", F.col("right").alias("block"), F.lit(False).alias("is_left"), F.lit(True).alias("is_right")))
-    edges = sets.join(sides, "block").select("left", "right", "node", "set", "is_left", "is_right").groupBy("left", "right").applyInPandas(
+    sides = written(sides, "sides")
+    edges = sets.join(small_side(sides, sides.count(), 500_000), "block").select("left", "right", "node", "set", "is_left", "is_right").groupBy("left", "right").applyInPandas(
         _joined(num, den), "a long, b long")
     roots = components(edges)
 
