@@ -1,9 +1,10 @@
 """Embedding near-dedup with spherical k-means cells (operator 2).
 
 Vectors of a label are assigned to the nearest of the label's centroids.  A vector within `cosine` of another
-is at most sqrt(2 - 2 * cosine) away from it, so it is also sent to every cell whose border is nearer
-than that: no link is lost at a border.  Blocks of a cell are compared by matrix products in double
-precision; a product returns link counts and a spanning forest of its links, never its pairs.
+is at most sqrt(2 - 2 * cosine) away from it, so it also visits every cell of a smaller number whose border is
+nearer than that: no link is lost at a border, and each is found in one cell only.  Blocks of a cell's own
+vectors are compared with each other and with the visitors by matrix products in double precision; a
+product returns link counts and a spanning forest of its links, never its pairs.
 Equal vectors are one class with a multiplicity.
 """
 
@@ -24,8 +25,8 @@ from .components import components
 
 #: Vectors a cell should have; centroids of all labels together at most; sampled vectors a cell for fitting.
 CELL, CELLS_MOST, SAMPLE_PER_CELL = 1024, 4096, 32
-#: Vectors of one side of a product.
-BLOCK = 512
+#: Vectors of one side of a block pair, and of the slices that are multiplied at once.
+BLOCK, SLICE = 4096, 512
 
 
 def _clean(v) -> np.ndarray | None:
@@ -65,12 +66,13 @@ def _prepared(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
 
 
 def _cells_of(x: np.ndarray, c: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """The own cell of each vector, and (row, cell) for it and all cells whose border is within `reach`."""
+    """The own cell of each vector, and (row, cell) for it and all smaller cells whose border is within `reach`."""
     d = x @ c.T
     own = d.argmax(axis=1)
     best = d[np.arange(len(x)), own][:, None]
     apart = np.sqrt(np.maximum(0.0, 2 - 2 * (c @ c.T)))[own]
     near = best - d <= reach * apart + 1e-9
+    near &= np.arange(len(c))[None, :] < own[:, None]
     near[np.arange(len(x)), own] = True
     return own, np.argwhere(near)
 
@@ -105,43 +107,37 @@ def _dealt(batches: Iterator[pa.RecordBatch], centroids: dict, reach: float, sch
 
 def _product(cosine: float):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        """One pair of blocks: link counts of its classes and a spanning forest of its links.
-
-        A link counts for both ends, once: in the cell that is the smaller of the two home cells."""
-        group = group.reset_index(drop=True)
+        """One pair of blocks: link counts of its classes and a spanning forest of its links."""
         counted, linked = [], []
         for _, same in group.groupby(group["unit"].map(len)):
             a, b = same[same["is_left"]], same[same["is_right"]]
             if not len(a) or not len(b):
                 continue
-            x, y = (np.stack([np.frombuffer(u) for u in s["unit"]]) for s in (a, b))
-            links = x @ y.T >= cosine
-            ia, ib = a["node"].to_numpy(), b["node"].to_numpy()
-            ca, cb = a["home_cell"].to_numpy(), b["home_cell"].to_numpy()
-            cell = same["cell"].iloc[0]
-            # the pair's product is in the smaller of the two home cells
-            links &= np.minimum(ca[:, None], cb[None, :]) == cell
             one_block = bool(same["one_block"].iloc[0])
-            if one_block:  # the product has both directions of each link
-                links &= ia[:, None] != ib[None, :]
-            na, nb = links @ b["many"].to_numpy(), links.T @ a["many"].to_numpy()
-            if one_block:
-                nb = nb * 0
-            parent = {}
-
-            def root(i):
-                while parent.setdefault(i, i) != i:
-                    parent[i] = parent[parent[i]]
-                    i = parent[i]
-                return i
-            edges, na_ids, nb_ids = [], ia.tolist(), ib.tolist()
-            for i, j in np.argwhere(links).tolist():
-                p, q = root(na_ids[i]), root(nb_ids[j])
-                if p != q:
-                    parent[max(p, q)] = min(p, q)
-                    edges.append((na_ids[i], nb_ids[j]))
-            counted += [(i, n) for i, n in [*zip(ia.tolist(), na.tolist()), *zip(ib.tolist(), nb.tolist())] if n]
-            linked += edges
+            x, y = (np.stack([np.frombuffer(u) for u in s["unit"]]) for s in (a, b))
+            left, right = a["node"].tolist(), b["node"].tolist()
+            many_a, many_b = a["many"].to_numpy(), b["many"].to_numpy()
+            count_b = np.zeros(len(b), np.int64)
+            group_of = np.arange(len(b))  # of the right rows, by the links so far
+            for lo in range(0, len(a), SLICE):
+                links = x[lo: lo + SLICE] @ y.T >= cosine
+                if one_block:  # both sides are the same rows in the same order, each link stands twice
+                    links[np.arange(len(links)), lo + np.arange(len(links))] = False
+                else:
+                    count_b += links.T @ many_a[lo: lo + SLICE]
+                counted += zip(left[lo: lo + SLICE], (links @ many_b).tolist())
+                for i in np.flatnonzero(links.any(axis=1)).tolist():
+                    at = np.flatnonzero(links[i])
+                    if one_block:
+                        at = np.append(at, lo + i)
+                    groups, first = np.unique(group_of[at], return_index=True)
+                    if one_block and len(groups) == 1:
+                        continue
+                    if len(groups) > 1:
+                        group_of[np.isin(group_of, groups)] = groups[0]
+                    linked += ((left[lo + i], right[at[f]]) for f in first.tolist())
+            counted += zip(right, count_b.tolist())
+        counted = [x for x in counted if x[1]]
         return pd.concat([pd.DataFrame(rows, columns=names, dtype="Int64") for rows, names in (
             (counted, ["node", "links"]), (linked, ["a", "b"]))], ignore_index=True)
     return run
@@ -196,17 +192,26 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     s2, a2 = typed(f"node long, label {kind}, many long, unit binary, cell int, home boolean")
     dealt = classes.select("node", "label", "many", "unit").mapInArrow(lambda it: _dealt(it, shared.value, reach, a2), s2)
     dealt = written(dealt, "dealt")
-    homes = dealt.filter("home").select("node", F.col("cell").alias("home_cell"))
-    counts = dealt.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
-    placed = dealt.join(homes, "node").join(counts, ["label", "cell"]).withColumn(
-        "blk", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    # a class stands in every product of its block: with the blocks after it, itself included, and before it
-    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda o: F.struct(
-        F.least("blk", o).alias("left"), F.greatest("blk", o).alias("right")))
+    counts = dealt.groupBy("label", "cell").agg(
+        F.ceil(F.sum(F.col("home").cast("long")) / block).alias("own"),
+        F.ceil(F.sum((~F.col("home")).cast("long")) / block).alias("visiting"))
+    salt = F.xxhash64("node")
+    placed = dealt.join(counts, ["label", "cell"]).withColumn("blk", F.when(
+        F.col("home"), F.pmod(salt, F.col("own"))).otherwise(F.col("own") + F.pmod(salt, F.greatest("visiting", F.lit(1)))))
+
+    def pair(left, right, is_left, is_right):
+        return F.struct(left.alias("l"), right.alias("r"), F.lit(is_left).alias("is_left"), F.lit(is_right).alias("is_right"))
+
+    def upto(first, past, one):
+        return F.transform(F.when(first < past, F.sequence(first, past - 1)).otherwise(F.array().cast("array<long>")), one)
+    zero, blk, own = F.lit(0).cast("long"), F.col("blk"), F.col("own")
+    # own blocks meet themselves, the own blocks after them and the visitors; visitors meet own blocks only
+    as_left = F.concat(F.array(pair(blk, blk, True, True)), upto(blk + 1, own + F.col("visiting"), lambda r: pair(blk, r, True, False)))
+    as_right = upto(zero, F.when(F.col("home"), blk).otherwise(own), lambda x: pair(x, blk, False, True))
+    pairs = F.when(F.col("home"), F.concat(as_left, as_right)).otherwise(as_right)
     sides = placed.withColumn("p", F.explode(pairs)).select(
-        "label", "cell", F.col("p.left").alias("l"), F.col("p.right").alias("r"), "node", "many", "unit", "home_cell",
-        (F.col("p.left") == F.col("blk")).alias("is_left"), (F.col("p.right") == F.col("blk")).alias("is_right"),
-        (F.col("p.left") == F.col("p.right")).alias("one_block"))
+        "label", "cell", "p.l", "p.r", "node", "many", "unit", "p.is_left", "p.is_right",
+        (F.col("p.l") == F.col("p.r")).alias("one_block"))
     found = written(sides.groupBy("label", "cell", "l", "r").applyInPandas(
         _product(cosine), "node long, links long, a long, b long"), "links")
 
