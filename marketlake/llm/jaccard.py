@@ -2,7 +2,7 @@
 
 Documents are sets of hashed shingles; equal sets are one class.  Shingles are ordered by hash with the
 frequent ones last, and two sets of the wanted similarity share e or more of the first n - T + e of each
-(T: the least overlap; e: a tenth of the smaller set).  Inverted lists of those prefixes tell which classes
+(T: the least overlap; e: a twentieth of the smaller set).  Inverted lists of those prefixes tell which classes
 share so much with others at all; they are dealt into blocks by their smallest shared shingle and their length, and the pairs of blocks
 that meet in a list are searched by DivideSkip: short lists are merged, long ones probed by
 binary search, and a partner is kept if its occurrences reach the overlap.
@@ -35,9 +35,12 @@ def least_overlap(n: int, m: int, num: int, den: int) -> int:
     return -(-num * (n + m) // (num + den))
 
 
+#: A prefix is made for so many hits: one in EARLY of the set.
+EARLY = 20
+
+
 def early(n: int) -> int:
-    """Hits that a prefix is made for: a tenth of the set."""
-    return -(-n // 10)
+    return -(-n // EARLY)
 
 
 def node_of(s: np.ndarray) -> int:
@@ -82,6 +85,12 @@ def _shared(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
     if not got:
         return
     h, node, n = (column(got, i) for i in range(3))
+    sorted_h = np.sort(h)
+    twice = sorted_h[1:][sorted_h[1:] == sorted_h[:-1]]  # most lists have one entry
+    some = is_in(h, twice)
+    h, node, n = h[some], node[some], n[some]
+    if not len(h):
+        return
     order = np.lexsort((node, h))
     h, node, n = h[order], node[order], n[order]
     new = np.append(True, (h[1:] != h[:-1]) | (node[1:] != node[:-1]))
@@ -200,24 +209,27 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = written(light.unionByName(often_shared), "shared")
 
     # a partner is num / den as large at least, so its prefix is made for so many hits of these
-    needed = F.ceil(F.col("n") * F.lit(num) / F.lit(10 * den))
+    needed = F.ceil(F.col("n") * F.lit(num) / F.lit(EARLY * den))
     # blocks: smallest shared shingle, length band, and a salt by the size of the two
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num))).cast("int")
     nodes = shared.groupBy("node").agg(F.min("h").alias("sig"), F.max("n").alias("n"), F.count(F.lit(1)).alias("hits")).filter(
         F.col("hits") >= needed).select("node", "sig", "n", band.alias("band"))
     nodes = written(nodes, "nodes")
-    parts = nodes.groupBy("sig", "band").agg(F.sum("n").alias("total"))
+    parts = nodes.groupBy("sig", "band").agg(F.sum("n").alias("total"), F.ceil(F.min("n") / EARLY).alias("least"))
     blocks = nodes.join(parts, ["sig", "band"]).withColumn(
-        "block", F.xxhash64("sig", "band", F.pmod(F.xxhash64("node"), F.ceil(F.col("total") / BLOCK)))).select("node", "n", "band", "block")
+        "block", F.xxhash64("sig", "band", F.pmod(F.xxhash64("node"), F.ceil(F.col("total") / BLOCK)))).select("node", "n", "band", "block", "least")
     blocks = written(blocks, "blocks")
     meets = shared.select("h", "node").join(blocks, "node").groupBy("h", "block").agg(
-        F.first("band").alias("band"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+        F.first("band").alias("band"), F.first("least").alias("least"), F.min("node").alias("lo"), F.max("node").alias("hi"))
     x, y = meets.alias("x"), meets.alias("y")
-    # block pairs that share a list; sizes in the ratio wanted are at most one band apart
+    # block pairs that share as many lists as two of their members must; sizes in the ratio wanted are at
+    # most one band apart
     pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.block") <= F.col("y.block"))
                    & (F.abs(F.col("x.band") - F.col("y.band")) <= 1)
                    & ((F.col("x.block") < F.col("y.block")) | (F.col("x.lo") < F.col("x.hi")))).select(
-        F.col("x.block").alias("left"), F.col("y.block").alias("right")).distinct()
+        F.col("x.block").alias("left"), F.col("y.block").alias("right"), F.least("x.least", "y.least").alias("least")).groupBy(
+        "left", "right").agg(F.count(F.lit(1)).alias("lists"), F.first("least").alias("least")).filter(
+        F.col("lists") >= F.col("least")).select("left", "right")
     pairs = written(pairs, "pairs")
 
     # the sets of the classes in them, from one document of each class
