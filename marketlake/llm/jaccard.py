@@ -2,10 +2,10 @@
 
 Documents are sets of hashed shingles; equal sets are one class.  Shingles are ordered by hash with the
 frequent ones last, and two sets of the wanted similarity share e or more of the first n - T + e of each
-(T: the least overlap; e: a twentieth of the smaller set).  Inverted lists of those prefixes tell which classes
-share so much with others at all; they are dealt into blocks by their smallest shared shingle and their length, and the pairs of blocks
-that meet in a list are searched by DivideSkip: short lists are merged, long ones probed by
-binary search, and a partner is kept if its occurrences reach the overlap.
+(T: the least overlap; e: a tenth of the smaller set).  Inverted lists of those prefixes tell which classes
+share so much with others at all; they are dealt into blocks by their most widely shared shingle and their
+length, and the pairs of blocks that meet in enough lists are searched by DivideSkip: short lists are merged,
+long ones probed by binary search, and a partner is kept if its occurrences reach the overlap.
 A block pair returns a spanning forest of its links, so what is returned grows with documents, not pairs.
 """
 
@@ -36,7 +36,7 @@ def least_overlap(n: int, m: int, num: int, den: int) -> int:
 
 
 #: A prefix is made for so many hits: one in EARLY of the set.
-EARLY = 20
+EARLY = 10
 
 
 def early(n: int) -> int:
@@ -95,10 +95,12 @@ def _shared(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
     h, node, n = h[order], node[order], n[order]
     new = np.append(True, (h[1:] != h[:-1]) | (node[1:] != node[:-1]))
     h, node, n = h[new], node[new], n[new]
-    same = h[1:] == h[:-1]
-    keep = np.append(same, False) | np.append(False, same)
+    start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    df = np.diff(np.append(start, len(h)))
+    df = np.repeat(df, df)
+    keep = df > 1
     if keep.any():
-        yield batch_of(schema, h[keep], node[keep], n[keep])
+        yield batch_of(schema, h[keep], node[keep], n[keep], df[keep])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int, schema: pa.Schema):
@@ -202,17 +204,20 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ps, pa_ = typed("h long, node long, n int, heavy boolean")
     postings = docs.mapInArrow(lambda it: _prefixes(it, k, num, den, heavy.value, pa_), ps)
-    ss, sa = typed("h long, node long, n int")
+    ss, sa = typed("h long, node long, n int, df long")
     light = postings.filter("not heavy").drop("heavy").repartition("h").mapInArrow(lambda it: _shared(it, sa), ss)
     # frequent shingles need no lists to be known as shared
-    often_shared = postings.filter("heavy").drop("heavy").dropDuplicates(["h", "node"])
+    often_shared = postings.filter("heavy").drop("heavy").dropDuplicates(["h", "node"]).withColumn("df", F.lit(1 << 30))
     shared = written(light.unionByName(often_shared), "shared")
 
     # a partner is num / den as large at least, so its prefix is made for so many hits of these
     needed = F.ceil(F.col("n") * F.lit(num) / F.lit(EARLY * den))
-    # blocks: smallest shared shingle, length band, and a salt by the size of the two
+    # blocks: the shingle shared most widely (by powers of two, then by hash), so that a family of copies
+    # meets in few blocks; length band; and a salt by the size of the two
+    sig = F.shiftleft((F.lit(31) - F.floor(F.log2(F.col("df").cast("double")))).cast("long"), 58).bitwiseOR(
+        F.shiftrightunsigned("h", 6))
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num))).cast("int")
-    nodes = shared.groupBy("node").agg(F.min("h").alias("sig"), F.max("n").alias("n"), F.count(F.lit(1)).alias("hits")).filter(
+    nodes = shared.groupBy("node").agg(F.min(sig).alias("sig"), F.max("n").alias("n"), F.count(F.lit(1)).alias("hits")).filter(
         F.col("hits") >= needed).select("node", "sig", "n", band.alias("band"))
     nodes = written(nodes, "nodes")
     parts = nodes.groupBy("sig", "band").agg(F.sum("n").alias("total"), F.ceil(F.min("n") / EARLY).alias("least"))
