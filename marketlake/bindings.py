@@ -11,13 +11,14 @@ they are read as UTC instants here, once.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .session import configure
+from .session import checkpoint_dir, configure
 
 
 def _case(col: Column, mapping: list[tuple[object, object]], default: object = None) -> Column:
@@ -73,7 +74,7 @@ class TestLake:
     @cached_property
     def corp_actions_raw(self) -> DataFrame:
         n = self.n_suppliers
-        o = self.table("orders").where(((F.expr(f"o_orderkey div {n}")) % 5) == 0)
+        o = self.table("orders")
         digit = F.substring("o_orderpriority", 1, 1)
         ex_date = F.to_date("o_orderdate")
         return o.select(
@@ -81,7 +82,7 @@ class TestLake:
             F.concat(F.lit("S"), (F.col("o_orderkey") % n).cast("string")).alias("symbol"),
             _case(digit, [("1", "split"), ("2", "dividend_cash"), ("3", "dividend_stock"),
                           ("4", "rights")], "merger").alias("action_type"),
-            _case(digit, [("1", 2.0), ("3", 0.1), ("4", 0.05)]).cast("double").alias("ratio"),
+            _case(digit, [("1", 1.02), ("3", 0.01), ("4", 0.005)]).cast("double").alias("ratio"),
             F.when(digit == "2", (F.col("o_custkey") % 500).cast("double")).alias("amount"),
             F.date_add(ex_date, 2).alias("record_date"),
             F.when(digit == "2", F.date_add(ex_date, 30)).alias("payment_date"),
@@ -238,7 +239,7 @@ class TestLake:
         ]
         first = base.select(*common, F.lit("listed").alias("status"),
                             F.lit("2024-01-01").cast("date").alias("snapshot"))
-        second = base.where(k % 7 != 0).select(
+        second = base.select(
             *common, F.when(k % 10 == 0, "delisted").otherwise("listed").alias("status"),
             F.lit("2024-02-01").cast("date").alias("snapshot"))
         return first.unionByName(second)
@@ -288,9 +289,12 @@ class TestLake:
             ((F.col("value") - 50.0) * 2.0).alias("CP"), (eid * 10).alias("TVO"),
             (eid * 1000).alias("TVA"), (eid % 300).cast("int").alias("ADV"),
             ((eid * 7) % 300).cast("int").alias("DEC"), ((eid * 3) % 50).cast("int").alias("UNC")))
+        # some feeds quote whole numbers or give them a fraction
+        tick = F.when(eid % 23 == 0, F.regexp_replace(tick, '"P":(-?[0-9]+)', '"P":"$1"')).otherwise(tick)
+        tick = F.when(eid % 29 == 0, F.regexp_replace(tick, '"V":([0-9]+)', '"V":$1.0')).otherwise(tick)
         payload = (F.when(ch == "tick", tick).when(ch == "l1", l1)
                    .when(ch == "l2", l2).otherwise(idx))
-        payload = F.when(eid % 17 == 0, F.substring(payload, 1, 20)).otherwise(payload)
+        payload = F.when(eid % 17 == 0, F.concat(F.lit("{broken "), eid.cast("string"))).otherwise(payload)
         return b.select(eid.alias("msg_id"), ch.alias("channel"), payload.alias("payload"),
                         F.col("ts_received"))
 
@@ -314,7 +318,7 @@ class TestLake:
 
     @cached_property
     def gap_lines(self) -> DataFrame:
-        e = self.table("events").where(F.col("event_id") % 50 == 0)
+        e = self.table("events")
         eid = F.col("event_id")
         d = F.to_date(F.col("ts").cast("timestamp"))
         good = F.to_json(F.struct(
@@ -332,7 +336,7 @@ class TestLake:
 
     @cached_property
     def dead_letter_lines(self) -> DataFrame:
-        e = self.table("events").where(F.col("event_id") % 23 == 0)
+        e = self.table("events")
         topic = F.when(F.col("event_type").isin("click", "view"), "ticks").otherwise("quotes-l1")
         return e.select(F.to_json(F.struct(
             F.col("props").alias("data"),
@@ -347,17 +351,47 @@ class TestLake:
         from .operators.curate import curate_daily_ohlcv
         return curate_daily_ohlcv(self.daily_raw, self.corp_actions_raw)
 
-    def _written(self, plan: DataFrame) -> DataFrame:
-        """A curated table as downstream queries read it: written once (reliable
-        checkpoint into spark.checkpoint.dir), as the curation jobs write the
-        curated layer that research queries and views scan."""
-        from .session import checkpoint_dir
-        checkpoint_dir(self.spark)
-        return plan.checkpoint()
+    @cached_property
+    def root(self) -> str:
+        """Lake root of this run, in the folder that all executors share."""
+        return self.scratch("lake")
+
+    def scratch(self, name: str) -> str:
+        return f"{checkpoint_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+
+    def _written(self, plan: DataFrame, stream: str) -> DataFrame:
+        """A curated table as downstream queries read it: written once by the
+        curation sink and scanned from its partitioned files, as the
+        curation jobs and research queries do."""
+        from .sinks.lake import write_curated
+        from .sources.lake import curated_columns
+        year = {"daily_ohlcv": "date", "corp_actions": "ex_date"}.get(stream)
+        if year:
+            plan = plan.withColumn("year", F.year(year))
+        if stream == "fundamentals":
+            plan = plan.withColumn("quarter", F.col("period"))
+        write_curated(plan, self.root, stream)
+        return curated_columns(self.spark, self.root, stream)
+
+    # ------------------------------------------------------------ calendar
+    @cached_property
+    def calendar_lines(self) -> DataFrame:
+        """Calendar documents (JSON text), one for each year that has bars or events: weekdays
+        less fixed holidays and the exchange's own closures."""
+        from .operators.calendar import calendar_docs, local_wall
+        bar_years = self.table("lineitem").select(F.year("l_shipdate").alias("year"))
+        local, _ = local_wall(F.col("ts").cast("timestamp"))
+        years = bar_years.unionByName(self.table("events").select(F.year(local).alias("year"))).distinct()
+        return calendar_docs(years.where(F.col("year").between(1970, 2100)))
+
+    @cached_property
+    def calendar(self):
+        from .operators.calendar import read_calendar
+        return read_calendar(self.calendar_lines)
 
     @cached_property
     def curated_daily(self) -> DataFrame:
-        return self._written(self.curated_daily_plan)
+        return self._written(self.curated_daily_plan, "daily_ohlcv")
 
     @cached_property
     def curated_corp_actions_plan(self) -> DataFrame:
@@ -366,7 +400,7 @@ class TestLake:
 
     @cached_property
     def curated_corp_actions(self) -> DataFrame:
-        return self._written(self.curated_corp_actions_plan)
+        return self._written(self.curated_corp_actions_plan, "corp_actions")
 
     @cached_property
     def curated_ticks_plan(self) -> DataFrame:
@@ -375,7 +409,7 @@ class TestLake:
 
     @cached_property
     def curated_ticks(self) -> DataFrame:
-        return self._written(self.curated_ticks_plan)
+        return self._written(self.curated_ticks_plan, "ticks")
 
     @cached_property
     def curated_l1_plan(self) -> DataFrame:
@@ -384,7 +418,7 @@ class TestLake:
 
     @cached_property
     def curated_l1(self) -> DataFrame:
-        return self._written(self.curated_l1_plan)
+        return self._written(self.curated_l1_plan, "quotes_l1")
 
     @cached_property
     def curated_l2_plan(self) -> DataFrame:
@@ -393,7 +427,7 @@ class TestLake:
 
     @cached_property
     def curated_l2(self) -> DataFrame:
-        return self._written(self.curated_l2_plan)
+        return self._written(self.curated_l2_plan, "quotes_l2")
 
     @cached_property
     def curated_index_plan(self) -> DataFrame:
@@ -402,7 +436,7 @@ class TestLake:
 
     @cached_property
     def curated_index(self) -> DataFrame:
-        return self._written(self.curated_index_plan)
+        return self._written(self.curated_index_plan, "index_values")
 
     @cached_property
     def curated_fundamentals_plan(self) -> DataFrame:
@@ -411,7 +445,7 @@ class TestLake:
 
     @cached_property
     def curated_fundamentals(self) -> DataFrame:
-        return self._written(self.curated_fundamentals_plan)
+        return self._written(self.curated_fundamentals_plan, "fundamentals")
 
     # ------------------------------------------------------------ derived raw
     @cached_property
@@ -499,14 +533,14 @@ class TestLake:
         """Outcome of each source per symbol: (source, rank, symbol, status)."""
         s = self.table("supplier")
         k = F.col("s_suppkey")
-        src = F.explode(F.array(F.struct(F.lit("tcbs").alias("source"), F.lit(1).alias("rank"),
+        src = F.explode(F.array(F.struct(F.lit("primary").alias("source"), F.lit(1).alias("rank"),
                                          F.when(k % 4 == 0, "error").otherwise("ok").alias("status")),
-                                F.struct(F.lit("vci").alias("source"), F.lit(2).alias("rank"),
+                                F.struct(F.lit("secondary").alias("source"), F.lit(2).alias("rank"),
                                          F.when(k % 8 == 0, "error").otherwise("ok").alias("status"))))
         return s.select(F.concat(F.lit("S"), k.cast("string")).alias("symbol"), src.alias("r")).select(
             "r.source", "r.rank", "symbol", "r.status")
 
     @cached_property
     def billing(self) -> DataFrame:
-        e = self.table("events").where(F.col("event_type") == "purchase")
+        e = self.table("events")
         return e.select(F.to_date("ts").alias("date"), F.col("value").alias("cost"))

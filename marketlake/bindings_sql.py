@@ -37,13 +37,12 @@ SELECT CAST(o_orderdate AS DATE) AS ex_date,
        'S' || CAST(o_orderkey % {N_SUP} AS VARCHAR) AS symbol,
        CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'split' WHEN '2' THEN 'dividend_cash'
             WHEN '3' THEN 'dividend_stock' WHEN '4' THEN 'rights' ELSE 'merger' END AS action_type,
-       CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 2.0::DOUBLE WHEN '3' THEN 0.1::DOUBLE WHEN '4' THEN 0.05::DOUBLE END AS ratio,
+       CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 1.02::DOUBLE WHEN '3' THEN 0.01::DOUBLE WHEN '4' THEN 0.005::DOUBLE END AS ratio,
        CASE WHEN substr(o_orderpriority, 1, 1) = '2' THEN CAST(o_custkey % 500 AS DOUBLE) END AS amount,
        CAST(o_orderdate AS DATE) + 2 AS record_date,
        CASE WHEN substr(o_orderpriority, 1, 1) = '2' THEN CAST(o_orderdate AS DATE) + 30 END AS payment_date,
        o_orderkey AS ingest_seq
 FROM orders
-WHERE (o_orderkey // {N_SUP}) % 5 = 0
 """)
 
 view("events_base", """
@@ -148,7 +147,6 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
 UNION ALL
 SELECT {_TICKER_COLS}, CASE WHEN s_suppkey % 10 = 0 THEN 'delisted' ELSE 'listed' END, DATE '2024-02-01'
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE s_suppkey % 7 <> 0
 """)
 
 view("futures_contracts", """
@@ -161,8 +159,14 @@ CROSS JOIN (VALUES (DATE '2024-01-01'), (DATE '2024-02-01')) AS s(snapshot)
 
 view("messages_raw", """
 SELECT msg_id, channel,
-       CASE WHEN msg_id % 17 = 0 THEN substr(payload, 1, 20) ELSE payload END AS payload, ts_received
-FROM (
+       CASE WHEN msg_id % 17 = 0 THEN '{broken ' || CAST(msg_id AS VARCHAR) ELSE payload END AS payload, ts_received
+FROM (SELECT msg_id, channel, ts_received,
+        CASE WHEN channel = 'tick' AND msg_id % 29 = 0 THEN regexp_replace(quoted, '"V":([0-9]+)', '"V":\\1.0')
+             ELSE quoted END AS payload
+ FROM (SELECT msg_id, channel, ts_received,
+         CASE WHEN channel = 'tick' AND msg_id % 23 = 0 THEN regexp_replace(payload, '"P":(-?[0-9]+)', '"P":"\\1"')
+              ELSE payload END AS quoted
+  FROM (
   SELECT event_id AS msg_id, ch AS channel, ts_received,
     CASE ch
     WHEN 'tick' THEN json_object('S', symbol, 'P', price, 'V', event_id % 100 + 1, 'T', ms,
@@ -185,7 +189,7 @@ FROM (
   FROM (SELECT *, epoch_us(ts_event) // 1000 AS ms,
                CASE WHEN event_id % 19 = 0 THEN CAST(-1 AS BIGINT) ELSE p END AS price,
                CASE event_id % 4 WHEN 0 THEN 'tick' WHEN 1 THEN 'l1' WHEN 2 THEN 'l2' ELSE 'index' END AS ch
-        FROM events_base))
+        FROM events_base))))
 """)
 
 view("alerts_raw", """
@@ -281,14 +285,14 @@ SELECT CASE WHEN event_id % 150 = 0 THEN '{not json' WHEN event_id % 350 = 0 THE
                                     ELSE strftime(CAST(ts AS DATE) + 1, '%Y-%m-%d') END,
                         'reason', 'source_unavailable', 'recorded_at', strftime(ts, '%Y-%m-%dT%H:%M:%S'))::VARCHAR
        END AS value
-FROM events WHERE event_id % 50 = 0
+FROM events
 """)
 view("dead_letter_lines", """
 SELECT json_object('data', props,
                    'attributes', json_object('topic', CASE WHEN event_type IN ('click', 'view') THEN 'ticks' ELSE 'quotes-l1' END,
                                              'symbol', 'U' || CAST(user_id % 20 AS VARCHAR)),
                    'publish_time', strftime(ts, '%Y-%m-%dT%H:%M:%S'))::VARCHAR AS value
-FROM events WHERE event_id % 23 = 0
+FROM events
 """)
 
 view("vendor_daily", """
@@ -317,17 +321,21 @@ SELECT symbol, underlying_index, strftime(expiry_date, '%Y-%m-%d') AS expiry_dat
 FROM futures_contracts WHERE snapshot = DATE '2024-02-01'
 """)
 view("pull_results", """
-SELECT 'tcbs' AS source, 1 AS rank, 'S' || CAST(s_suppkey AS VARCHAR) AS symbol,
+SELECT 'primary' AS source, 1 AS rank, 'S' || CAST(s_suppkey AS VARCHAR) AS symbol,
        CASE WHEN s_suppkey % 4 = 0 THEN 'error' ELSE 'ok' END AS status FROM supplier
 UNION ALL
-SELECT 'vci', 2, 'S' || CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 8 = 0 THEN 'error' ELSE 'ok' END FROM supplier
+SELECT 'secondary', 2, 'S' || CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 8 = 0 THEN 'error' ELSE 'ok' END FROM supplier
 """)
-view("billing", "SELECT CAST(ts AS DATE) AS date, value AS cost FROM events WHERE event_type = 'purchase'")
+view("billing", "SELECT CAST(ts AS DATE) AS date, value AS cost FROM events")
 
 
 def _json_fields(fields: dict[str, str]) -> str:
-    return ", ".join(f"CASE WHEN ok THEN TRY_CAST(json_extract_string(payload, '$.{f}') AS {t}) END AS \"{f}\""
-                     for f, t in fields.items())
+    def read(f: str, t: str) -> str:
+        text = f"json_extract_string(payload, '$.{f}')"
+        if t in ("BIGINT", "INTEGER"):  # quoted or fractional whole numbers are cut
+            return f"TRY_CAST(trunc(TRY_CAST({text} AS DECIMAL(38,6))) AS {t})"
+        return f"TRY_CAST({text} AS {t})"
+    return ", ".join(f"CASE WHEN ok THEN {read(f, t)} END AS \"{f}\"" for f, t in fields.items())
 
 
 def decode_sql(channel: str, fields: dict[str, str], required: list[str]) -> str:
@@ -379,9 +387,52 @@ SELECT *, NULLIF(concat_ws(',',
   CASE WHEN asset_class NOT IN ('equity', 'future', 'index') THEN 'asset_class:invalid' END), '') AS reject_reason
 FROM parsed_ticks
 """)
+def _reasons(required: list[str], at_least_0: list[str]) -> str:
+    parts = [f"CASE WHEN {c} IS NULL THEN '{n}:missing' END" for c, n in required]
+    parts += [f"CASE WHEN {c} < 0 THEN '{n}<0' END" for c, n in at_least_0]
+    parts.append("CASE WHEN exchange NOT IN ('HOSE', 'HNX', 'UPCoM', 'HNX-DERIV') THEN 'exchange:invalid' END")
+    return "NULLIF(concat_ws(',', " + ", ".join(parts) + "), '') AS reject_reason"
+
+
+_WIRE_HEAD = "msg_id, epoch_ms(T) AS ts_event, ts_received, S AS symbol, coalesce(EX, 'HOSE') AS exchange"
+view("validated_l1", f"""
+SELECT msg_id, symbol, ts_event, {_reasons([('ts_event', 'ts_event'), ('symbol', 'symbol')],
+                                           [(c, c) for c in ('bid_price', 'bid_size', 'ask_price', 'ask_size')])}
+FROM (SELECT {_WIRE_HEAD}, coalesce(BP, 0) AS bid_price, coalesce(BV, 0) AS bid_size, coalesce(AP, 0) AS ask_price,
+             coalesce(AV, 0) AS ask_size FROM decoded_l1 WHERE parse_error IS NULL)
+""")
+_L2_NAMES = [(f'"{k}[{i}].{f}"', f"{side}_{w}_{i + 1}") for side, k in (("bid", "B"), ("ask", "A"))
+             for i in range(schemas.BOOK_LEVELS) for w, f in (("px", "P"), ("sz", "V"), ("n", "N"))]
+_L2_ORDER = {c: n for n, c in enumerate(schemas.l2_columns())}
+view("validated_l2", f"""
+SELECT msg_id, symbol, ts_event, {_reasons([('ts_event', 'ts_event'), ('symbol', 'symbol')],
+                                           sorted(_L2_NAMES, key=lambda x: _L2_ORDER[x[1]]))}
+FROM (SELECT *, {_WIRE_HEAD.replace('msg_id, ', '').replace('ts_received, ', '')} FROM decoded_l2 WHERE parse_error IS NULL)
+""")
+view("validated_index", f"""
+SELECT msg_id, index_code AS symbol, ts_event, {_reasons(
+    [('ts_event', 'ts_event'), ('index_code', 'index_code')],
+    [(c, c) for c in ('value', 'total_volume', 'total_value', 'advance_count', 'decline_count', 'unchanged_count')])}
+FROM (SELECT msg_id, epoch_ms(T) AS ts_event, IC AS index_code, coalesce(EX, 'HOSE') AS exchange, V AS value,
+             TVO AS total_volume, TVA AS total_value, ADV AS advance_count, DEC AS decline_count, UNC AS unchanged_count
+      FROM decoded_index WHERE parse_error IS NULL)
+""")
 view("accepted_ticks", "SELECT * EXCLUDE (reject_reason), CAST(ts_event AS DATE) AS date FROM validated_ticks WHERE reject_reason IS NULL")
 
 
+_HOLIDAY = "CASE " + " ".join(f"WHEN month(date) = {m} AND day(date) = {d} THEN '{n.replace(chr(39), chr(39) * 2)}'"
+                              for m, d, n in schemas.FIXED_HOLIDAYS) + (
+    " WHEN month(date) IN (1, 2) AND isodow(date) = 1 AND day(date) BETWEEN 15 AND 21 THEN 'Exchange closure' END")
+view("cal_all_days", """
+SELECT CAST(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), INTERVAL 1 DAY)) AS DATE) AS date
+FROM (SELECT CAST(year(l_shipdate) AS INTEGER) AS y FROM lineitem
+      UNION SELECT CAST(year(ts + INTERVAL 7 HOUR) AS INTEGER) FROM events)
+""")
+view("cal_holidays", f"SELECT date, {_HOLIDAY} AS name FROM cal_all_days WHERE {_HOLIDAY} IS NOT NULL")
+view("cal_days", f"SELECT date, CAST(year(date) AS INTEGER) AS year FROM cal_all_days "
+                 f"WHERE isodow(date) <= 5 AND {_HOLIDAY} IS NULL")
+
+
 def with_views(sql: str) -> str:
     """Prefix `sql` with the CTEs it references, dependencies first."""
     names = list(VIEWS)

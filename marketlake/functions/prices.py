@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -30,7 +30,7 @@ def epoch_to_ts(ms: str | Column) -> Column:
 def mid_price(bid: str | Column = "bid_price", ask: str | Column = "ask_price") -> Column:
     """(bid + ask) div 2 when both sides are positive, else null."""
     b, a = col(bid), col(ask)
-    return F.when((b > 0) & (a > 0), F.floor((b + a) / 2).cast("long"))
+    return F.when((b > 0) & (a > 0), F.call_function("div", b + a, F.lit(2)))
 
 
 def spread_bps(bid: str | Column = "bid_price", ask: str | Column = "ask_price") -> Column:
@@ -66,9 +66,17 @@ def action_factor(action_type: str | Column = "action_type", ratio: str | Column
 
 
 def bucket_symbol(symbol: str | Column, n: int, pinned: list[str] | None = None) -> Column:
-    """Stable shard of a symbol in [0, n); listed symbols pinned to shard 0."""
+    """Stable shard of a symbol in [0, n): the first 32 bits of its MD5; listed symbols
+    are pinned to shard 0 (P18)."""
     s = col(symbol)
-    b = F.pmod(F.xxhash64(s), F.lit(n)).cast("int")
+    b = (F.conv(F.substring(F.md5(s.cast("binary")), 1, 8), 16, 10).cast("long") % n).cast("int")
     if pinned:
         b = F.when(s.isin(*pinned), F.lit(0)).otherwise(b)
     return b
+
+
+def bucket_skew(symbols, n: int):
+    """Symbols per shard and their ratio to the mean (P18); n rows."""
+    counts = symbols.groupBy(bucket_symbol("symbol", n).alias("bucket")).agg(F.count(F.lit(1)).alias("symbols"))
+    total = F.sum("symbols").over(Window.partitionBy())  # n rows
+    return counts.select("bucket", "symbols", (F.col("symbols") * float(n) / total).alias("of_mean"))

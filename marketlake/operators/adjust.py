@@ -43,22 +43,25 @@ def action_factors(actions: DataFrame, bars: DataFrame) -> DataFrame:
 def adjust_prices(bars: DataFrame, actions: DataFrame) -> DataFrame:
     """adj_close = trunc(close * product of factors with ex_date > date) (J4 + P10 + J6).
 
-    One union of bars and actions per symbol, two windows over the same
-    shuffle: ascending, each action takes the last close strictly before its
-    ex_date and gets its factor; descending, each bar collects the factors of
-    the actions after it (bars sort before actions at equal dates, so an
-    action never adjusts its own ex-date bar).  The factors are folded in
-    ascending (ex_date, action_type) order -- the same order everywhere -- so
-    the truncated result is bit-stable.  No row is multiplied by the number
-    of actions.
+    One union of bars and actions, shuffled by symbol once.  Ascending, each action takes the
+    last close strictly before its ex_date and gets its factor.  Over a symbol's action
+    rows alone, each action folds the factors from itself on, in ascending (ex_date,
+    action_type) order -- the same order everywhere, so the truncated result is
+    bit-stable.  Descending, a bar takes the fold of the next later action (bars sort before
+    actions at equal dates, so an action never adjusts its own ex-date bar).  Arrays
+    exist on action rows only, and no row is multiplied by the number of actions.
     """
     acts = actions.select("symbol", "ex_date", "action_type", "ratio", "amount")
     u = _with_prev_close(_bars_and_actions(bars, acts))
     is_action = F.col("_side") == 0
     u = u.withColumn("_f", F.when(is_action, F.struct("ex_date", "action_type", action_factor().alias("factor"))))
-    desc = (Window.partitionBy("symbol").orderBy(F.col("_k").desc(), F.col("_side").desc())
-            .rowsBetween(Window.unboundedPreceding, 0))
-    later = F.array_sort(F.collect_list("_f").over(desc))
-    cum = F.aggregate(later, F.lit(1.0), lambda acc, x: acc * x["factor"])
+    down = [F.col("_k").desc(), F.col("_side").desc(), F.col("action_type").desc()]
+    own = Window.partitionBy("symbol", "_side").orderBy(*down).rowsBetween(Window.unboundedPreceding, 0)
+    # bars hold no factor, so theirs is the empty list
+    u = u.withColumn("_later", F.collect_list("_f").over(own))
+    fold = F.aggregate(F.array_sort("_later"), F.lit(1.0), lambda acc, x: acc * x["factor"])
+    u = u.withColumn("_cum", F.when(is_action, fold))
+    desc = Window.partitionBy("symbol").orderBy(*down).rowsBetween(Window.unboundedPreceding, 0)
+    cum = F.coalesce(F.last("_cum", ignorenulls=True).over(desc), F.lit(1.0))
     out = u.withColumn("adj_close", F.when(~is_action, (cum * F.col("close")).cast("long")))
     return out.where(~is_action).select(*bars.columns, "adj_close")

@@ -42,7 +42,7 @@ def sector_heatmap(daily: DataFrame, tickers: DataFrame) -> DataFrame:
     prev = F.lag("close").over(w)
     f = (daily.select("symbol", "date", "foreign_buy_vol", "foreign_sell_vol",
                       F.try_divide(F.col("close") - prev, F.nullif(prev, F.lit(0))).alias("daily_return"))
-         .join(tickers.select("symbol", "sector_l1"), "symbol"))
+         .join(tickers.select("symbol", "sector_l1"), "symbol", "left"))
     return f.groupBy("date", "sector_l1").agg(
         F.avg("daily_return").alias("mean_return"),
         F.sum(F.col("foreign_buy_vol") - F.col("foreign_sell_vol")).alias("foreign_net_buy"),
@@ -53,10 +53,13 @@ def sector_heatmap(daily: DataFrame, tickers: DataFrame) -> DataFrame:
 def futures_basis(future_ticks: DataFrame, index: DataFrame, index_code: str) -> DataFrame:
     """Future trade price (points) minus the underlying index level in force at
     the trade, same day (M4; as-of inclusive, bucketed by hour)."""
+    day = F.to_date("ts_event")
+    p = future_ticks.select("symbol", "ts_event", "trade_id", "price", day.alias("_d"))
+    # index rows are repeated for each symbol traded that day, so the as-of is keyed by symbol too
+    traded = p.select("symbol", "_d").distinct()
     idx = index.where(F.col("index_code") == index_code).select(
-        F.to_date("ts_event").alias("_d"), F.col("ts_event").alias("_its"), F.col("value").alias("index_value"))
-    p = future_ticks.select("symbol", "ts_event", "trade_id", "price", F.to_date("ts_event").alias("_d"))
-    j = asof_backward(p, idx, by=["_d"], left_key="ts_event", right_key="_its", values=["index_value"],
+        day.alias("_d"), F.col("ts_event").alias("_its"), F.col("value").alias("index_value")).join(traded, "_d")
+    j = asof_backward(p, idx, by=["symbol", "_d"], left_key="ts_event", right_key="_its", values=["index_value"],
                       strict=False, right_order=[], bucket=lambda c: F.date_trunc("HOUR", c))
     return j.select("symbol", "ts_event", "trade_id", "price", "index_value",
                     (F.col("price") / 100.0 - F.col("index_value")).alias("basis"))
@@ -75,16 +78,24 @@ def gap_filled(ticks: DataFrame, gaps: DataFrame, stream: str = "ticks") -> Data
     """Daily tick counts with recorded gap days shown explicitly (M6): a gap
     day with no data appears with a null count and its reason."""
     counts = ticks.groupBy("date").agg(F.count(F.lit(1)).alias("ticks"))
-    g = (gaps.where((F.col("stream") == stream) & F.col("start").isNotNull())
-         .select(F.explode(F.sequence("start", F.coalesce("end", "start"))).alias("date"), "reason")
+    end = F.coalesce("end", "start")
+    g = (gaps.where((F.col("stream") == stream) & F.col("start").isNotNull() & (end >= F.col("start")))
+         .select(F.explode(F.sequence(F.col("start"), end)).alias("date"), "reason")
          .groupBy("date").agg(F.min("reason").alias("gap_reason")))
     return counts.join(g, "date", "full")
 
 
+def plan_fetches(seen: DataFrame, streams: list[str]) -> DataFrame:
+    """(stream, symbol, date): every day between a symbol's first and last, for each stream."""
+    span = seen.groupBy("symbol").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    return span.select("symbol", F.explode(F.sequence("lo", "hi")).alias("date")).select(
+        F.explode(F.array(*[F.lit(s) for s in streams])).alias("stream"), "symbol", "date")
+
+
 def skip_present(planned: DataFrame, receipts: DataFrame) -> DataFrame:
-    """(stream, date) pairs still to fetch: planned minus those with receipts (M8)."""
-    have = receipts.select("stream", "date").distinct()
-    return planned.join(have, ["stream", "date"], "left_anti")
+    """(stream, symbol, date) triples still to fetch: planned minus those with receipts (M8)."""
+    keys = ["stream", "symbol", "date"]
+    return planned.join(receipts.select(*keys).distinct(), keys, "left_anti")
 
 
 def momentum(daily: DataFrame, lookback: int = 20, buckets: int = 5) -> DataFrame:

@@ -22,6 +22,9 @@ L2_COLS = [f.name for f in schemas.QUOTE_L2.fields] + ["date", "hour"]
 INDEX_COLS = [f.name for f in schemas.INDEX_VALUE.fields] + ["date"]
 FUND_COLS = ["as_of_date", "symbol", "period", "pe", "pb", "eps", "bvps", "roe", "roa",
              "debt_to_equity", "market_cap", "revenue", "net_income", "total_assets", "total_equity"]
+TICKER_COLS = ["symbol", "name", "exchange", "asset_class", "sector_l1", "sector_l2", "industry", "status",
+               "listed_date", "lot_size", "tick_size", "foreign_room_pct", "snapshot"]
+FUTURE_COLS = ["symbol", "underlying_index", "expiry_date", "contract_size", "tick_size", "margin_pct", "snapshot"]
 
 
 def curate_corp_actions(raw: DataFrame) -> DataFrame:
@@ -41,14 +44,13 @@ def curate_daily_ohlcv(raw: DataFrame, actions_raw: DataFrame) -> DataFrame:
 
     Actions are deduplicated first: the daily sweep re-lands future actions,
     and applying one twice would compound its factor.  Both inputs are
-    hash-partitioned by symbol once; that partitioning satisfies the dedup
-    windows (keys contain symbol) and the adjustment windows (by symbol), so
-    each input is shuffled exactly once.
+    deduplicated on their full keys, with the group limit below the shuffle, so
+    deliveries of a symbol that repeat are cut map-side and spread over
+    its days; only then do the remaining rows, bounded by the calendar, meet
+    by symbol in one shuffle.
     """
-    bars = dedup_first(raw.repartition("symbol").where(F.year("date") != 1900), ["symbol", "date"],
-                       ["date", "ingest_seq"]).select(*DAILY_COLS)
-    acts = dedup_first(actions_raw.repartition("symbol"), ["symbol", "ex_date", "action_type"],
-                       ["ex_date", "ingest_seq"])
+    bars = curate_daily_bars(raw)
+    acts = dedup_first(actions_raw, ["symbol", "ex_date", "action_type"], ["ex_date", "ingest_seq"])
     return adjust_prices(bars, acts).select(*DAILY_COLS, "adj_close")
 
 
@@ -77,3 +79,15 @@ def curate_indices(raw: DataFrame) -> DataFrame:
 def curate_fundamentals(raw: DataFrame) -> DataFrame:
     """(symbol, period) unique; earliest as_of_date wins, then landing order."""
     return dedup_first(raw, ["symbol", "period"], ["as_of_date", "ingest_seq"]).select(*FUND_COLS)
+
+
+def curate_tickers(raw: DataFrame) -> DataFrame:
+    """(symbol, snapshot) unique; the row with the first name wins."""
+    return dedup_first(raw, ["symbol", "snapshot"], [F.col(c).asc_nulls_last() for c in TICKER_COLS if c not in (
+        "symbol", "snapshot")]).select(*TICKER_COLS)
+
+
+def curate_futures(raw: DataFrame) -> DataFrame:
+    """(symbol, snapshot) unique."""
+    return dedup_first(raw, ["symbol", "snapshot"], [F.col(c).asc_nulls_last() for c in FUTURE_COLS if c not in (
+        "symbol", "snapshot")]).select(*FUTURE_COLS)

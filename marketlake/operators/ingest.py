@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.prices import classify_symbol, epoch_to_ts, l1_derived
@@ -28,10 +29,30 @@ def _is_object(payload: Column) -> Column:
     return F.trim(payload).startswith("{") & F.get_json_object(payload, "$").isNotNull()
 
 
+def _as_text(t: T.DataType) -> T.DataType:
+    """The wire schema with every number as text."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_as_text(t.elementType))
+    return T.StringType()
+
+
+def _coerced(c: Column, t: T.DataType) -> Column:
+    """Text to the declared type: whole numbers may be quoted or carry a fraction, which is cut."""
+    if isinstance(t, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_coerced(c[f.name], f.dataType).alias(f.name) for f in t.fields]))
+    if isinstance(t, T.ArrayType):
+        return F.transform(c, lambda x: _coerced(x, t.elementType))
+    if isinstance(t, T.IntegralType):
+        return F.coalesce(c.try_cast("bigint"), c.try_cast("decimal(38,6)").try_cast("bigint")).try_cast(t)
+    return c if isinstance(t, T.StringType) else c.try_cast(t)
+
+
 def decode(messages: DataFrame, channel: str, payload: str = "payload") -> DataFrame:
     """Messages of one channel with the parsed struct `m` and a `parse_error` text."""
     sch = CHANNELS[channel]
-    m = F.when(_is_object(F.col(payload)), F.from_json(F.col(payload), sch))
+    m = F.when(_is_object(F.col(payload)), F.from_json(F.col(payload), _as_text(sch)))
     missing = F.concat_ws(",", F.array_compact(F.array(
         *[F.when(F.col("m")[f].isNull(), F.lit(f)) for f in REQUIRED[channel]])))
     err = (F.when(F.col("m").isNull(), F.lit("unparsable"))
@@ -40,6 +61,7 @@ def decode(messages: DataFrame, channel: str, payload: str = "payload") -> DataF
     # parse result then stay above the generator instead of being pushed
     # below it, so from_json runs once per message rather than once per use.
     parsed = messages.where(F.col("channel") == channel).select("*", F.explode(F.array(m)).alias("m"))
+    parsed = parsed.withColumn("m", _coerced(F.col("m"), sch))
     return parsed.withColumn("parse_error", err)
 
 
@@ -148,13 +170,28 @@ def split_rejects(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, bad
 
 
-def receipts(landed: DataFrame, stream: str, partition_cols: list[str], root: str = "raw",
-             schema_version: str = "1") -> DataFrame:
-    """One receipt per landed partition: file, rows, min/max ts, symbols (S3)."""
-    path = F.concat_ws("/", F.lit(root), F.lit(stream),
-                       *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_cols])
-    g = landed.groupBy(*partition_cols).agg(
-        F.count(F.lit(1)).alias("rows"), F.min("ts_event").alias("min_ts"), F.max("ts_event").alias("max_ts"),
-        F.count_distinct("symbol").alias("symbols"))
-    return g.select(path.alias("file"), "rows", "min_ts", "max_ts", F.lit(schema_version).alias("schema_version"),
-                    F.lit(stream).alias("stream"), *partition_cols, "symbols")
+PARSERS = {"ticks": parse_ticks, "quotes_l1": parse_quotes_l1, "quotes_l2": parse_quotes_l2, "index_values": parse_indices}
+
+
+def validated(messages: DataFrame, stream: str) -> DataFrame:
+    """Parsed rows of a stream with their reject reasons."""
+    return validate_rows(PARSERS[stream](messages), stream)
+
+
+def keyed_by_symbol(rows: DataFrame, stream: str) -> DataFrame:
+    """Rows with a `symbol` column: index rows are named by their code."""
+    return rows.withColumnRenamed("index_code", "symbol") if stream == "index_values" else rows
+
+
+def receipts(landed: DataFrame, stream: str, batch: str = "0", root: str = "raw", schema_version: str = "1") -> DataFrame:
+    """One receipt per landed (date, symbol) of a batch (S3): file, rows, min_ts, max_ts,
+    schema_version, stream, date, symbol.  The same columns are written, read (A9) and watched (J10, X6, M8)."""
+    rows = keyed_by_symbol(landed, stream)
+    if "date" not in rows.columns:
+        rows = rows.withColumn("date", F.to_date("ts_event"))
+    file = F.concat_ws("/", F.lit(root), F.lit(stream), F.concat(F.lit("date="), F.col("date").cast("string")),
+                       F.lit(f"batch={batch}"))
+    return rows.groupBy("date", "symbol").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("ts_event").alias("min_ts"), F.max("ts_event").alias("max_ts")).select(
+        file.alias("file"), "rows", "min_ts", "max_ts", F.lit(schema_version).alias("schema_version"),
+        F.lit(stream).alias("stream"), "date", "symbol")

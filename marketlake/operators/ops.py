@@ -8,7 +8,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STREAMS = ["ticks", "quotes_l1", "quotes_l2", "index"]
+from .. import schemas
+
+STREAMS = schemas.STREAMS
 
 
 def stream_list(spark: SparkSession, streams=STREAMS) -> DataFrame:
@@ -29,13 +31,17 @@ def coverage(receipts: DataFrame, as_of=None, minutes: int = 5, streams=STREAMS)
         "alert", F.col("recent_files") == 0)
 
 
-def coverage_windows(receipts: DataFrame, minutes: int = 5) -> DataFrame:
-    """Receipts and symbols per stream per tumbling window of newest-row time (X6, batch form)."""
+def coverage_windows(receipts: DataFrame, minutes: int = 5, streams=STREAMS) -> DataFrame:
+    """Receipts and symbols per stream per tumbling window of newest-row time (X6, batch form).
+    In a window in which any stream has receipts, the silent ones stay as zeros and alert."""
     w = F.window("max_ts", f"{minutes} minutes")
-    return (receipts.groupBy("stream", w.alias("w"))
-            .agg(F.count(F.lit(1)).alias("files"), F.count_distinct("symbol").alias("symbols"))
-            .select("stream", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "files", "symbols"))
+    seen = (receipts.groupBy(w.alias("w"), "stream")
+            .agg(F.count(F.lit(1)).alias("files"), F.count_distinct("symbol").alias("symbols")))
+    every = seen.select("w").distinct().withColumn("stream", F.explode(F.array(*[F.lit(s) for s in streams])))
+    out = every.join(seen, ["w", "stream"], "left")
+    return out.select("stream", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("symbols", F.lit(0)).alias("symbols"),
+                      F.col("files").isNull().alias("alert"))
 
 
 def dlq_counts(dead: DataFrame) -> DataFrame:
@@ -83,3 +89,17 @@ def curate_metrics(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     return u.groupBy("stream").agg(F.sum("_in").cast("long").alias("rows_in"),
                                    F.sum("_out").cast("long").alias("rows_out")).select(
         "stream", "rows_in", "rows_out", F.lit(0).cast("long").alias("rejected"), F.lit("ok").alias("status"))
+
+
+def error_lists(errors: DataFrame) -> DataFrame:
+    """(stream, error) rows -> one sorted list of errors per stream, as text.  One entry per failed symbol."""
+    return errors.groupBy("stream").agg(F.array_join(F.sort_array(F.collect_list("error")), "; ").alias("errors"))
+
+
+def run_summary(landed: dict[str, DataFrame], errors: DataFrame) -> DataFrame:
+    """Rows per stream and the list of its errors, null without any."""
+    counts = None
+    for name, df in landed.items():
+        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stream"), "rows")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.join(error_lists(errors), "stream", "left").select("stream", "rows", "errors")

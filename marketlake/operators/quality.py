@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .asof import asof_backward
@@ -79,31 +79,23 @@ def corp_actions_applied_fixed(daily: DataFrame, factors: DataFrame, days: int |
 def dq_summary(findings: dict) -> DataFrame:
     """One row per validator: findings and whether to alert.
 
-    Values are DataFrames or zero-argument callables building them; a
-    validator that fails to plan reports -1, as the reference does."""
-    parts = []
-    spark = None
-    failed = []
+    Values are DataFrames or zero-argument callables building them.  Each is counted by a job
+    of its own, so one that fails, while planning or running, reports -1 and the others
+    still report."""
+    counted, spark = [], None
     for name, v in findings.items():
         try:
             df = v() if callable(v) else v
-            df.schema  # noqa: B018 - forces analysis
-        except Exception:  # noqa: BLE001
-            failed.append(name)
-            continue
-        spark = spark or df.sparkSession
-        parts.append(df.agg(F.count(F.lit(1)).alias("findings")).select(F.lit(name).alias("validator"),
-                                                                           "findings"))
-    if failed:
-        parts.append(spark.createDataFrame([(n, -1) for n in failed], "validator string, findings long"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("alert", F.col("findings") > 0)
+            spark = spark or df.sparkSession
+            counted.append((name, df.count()))
+        except Exception:  # noqa: BLE001 - the failure is the finding
+            counted.append((name, -1))
+    spark = spark or SparkSession.getActiveSession()
+    return spark.createDataFrame(counted, "validator string, findings long").withColumn("alert", F.col("findings") != 0)
 
 
 def ack_lag(streams: dict[str, DataFrame], threshold_s: int = 180) -> DataFrame:
-    """Per stream and day: messages, max and mean receive lag, late messages."""
+    """Per stream and day: messages, max, mean and 99th percentile of the receive lag, late messages."""
     parts = []
     for name, df in streams.items():
         lag_us = F.unix_micros("ts_received") - F.unix_micros("ts_event")
@@ -116,6 +108,7 @@ def ack_lag(streams: dict[str, DataFrame], threshold_s: int = 180) -> DataFrame:
         F.count(F.lit(1)).alias("messages"),
         (F.max("_lag") / 1000000.0).alias("max_lag_s"),
         (F.avg("_lag") / 1000000.0).alias("avg_lag_s"),
+        (F.percentile("_lag", F.lit(0.99)) / 1000000.0).alias("p99_lag_s"),
         F.count_if(F.col("_lag") > threshold_s * 1000000).alias("late_messages"))
 
 

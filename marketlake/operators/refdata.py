@@ -110,7 +110,7 @@ def plan_chunks(days: DataFrame, n: int, col: str = "date") -> DataFrame:
     offset, so there is no global sort: a groupBy gives the chunk bounds.
     """
     if n < 1:
-        raise ValueError("num_tasks must be >=1")
+        raise ValueError(f"cannot split days into {n} chunks")
     lo, hi = days.agg(F.min(col), F.max(col)).first()
     spark = days.sparkSession
     if lo is None:

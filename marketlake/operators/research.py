@@ -60,21 +60,19 @@ def best_performers(daily: DataFrame, since=None, n: int = 25) -> DataFrame:
     """First and last close since a date (default: start of the as-of year); top n % change."""
     if since is None:
         since = dt.date(resolve_as_of(daily).year, 1, 1)
-    fl = (daily.where(F.col("date") >= _d(since)).groupBy("symbol")
-          .agg(F.min_by("close", "date").alias("first_close"), F.max_by("close", "date").alias("last_close")))
-    out = (fl.where(F.col("first_close") > 0)
-           .select("symbol", ((F.col("last_close") - F.col("first_close")) / F.col("first_close") * 100)
-                   .alias("ytd_pct")))
-    return top_k(out, "ytd_pct", n)
+    opening, latest = F.min_by("close", "date"), F.max_by("close", "date")
+    change = F.try_divide(latest - opening, F.when(opening > 0, opening)) * 100
+    year = daily.where(F.col("date") >= _d(since)).groupBy("symbol").agg(change.alias("ytd_pct"))
+    return top_k(year.where(F.col("ytd_pct").isNotNull()), "ytd_pct", n)
 
 
 def range_drawdown(daily: DataFrame, as_of=None, days: int = 365, n: int = 25) -> DataFrame:
     """(low - high) / high over the trailing window, worst n (G7; order-blind)."""
     a = resolve_as_of(daily, as_of)
-    ext = (daily.where(F.col("date") >= _d(a - dt.timedelta(days=days))).groupBy("symbol")
-           .agg(F.max("close").alias("hi"), F.min("close").alias("lo")))
-    out = ext.where(F.col("hi") > 0).withColumn("dd_pct", (F.col("lo") - F.col("hi")) / F.col("hi") * 100)
-    return top_k(out, "dd_pct", n, descending=False)
+    window = daily.where(F.col("date") >= _d(a - dt.timedelta(days=days)))
+    spread = window.groupBy("symbol").agg(F.max("close").alias("hi"), F.min("close").alias("lo")).select(
+        "symbol", "hi", "lo", (F.try_divide(F.col("lo") - F.col("hi"), F.when(F.col("hi") > 0, F.col("hi"))) * 100).alias("dd_pct"))
+    return top_k(spread.where(F.col("dd_pct").isNotNull()), "dd_pct", n, descending=False)
 
 
 def movers(daily: DataFrame, as_of=None, interval_days: int | None = 30, min_vol: float = 0) -> DataFrame:
@@ -122,7 +120,7 @@ def symbol_kpis(daily: DataFrame, digits: int = 9) -> DataFrame:
     last = F.max_by("close", "date")
     return s.groupBy("symbol").agg(
         last.alias("last"),
-        ((last - first) / first * 100).alias("period_pct"),
+        (F.try_divide(last - first, first) * 100).alias("period_pct"),
         (F.min("drawdown") * 100).alias("max_dd_pct"),
         F.round(_sharpe(F.col("ret"), True), digits).alias("sharpe"),
         F.avg("volume").alias("avg_volume"))
@@ -133,7 +131,7 @@ def symbol_summary(daily: DataFrame) -> DataFrame:
     first = F.min_by("close", "date")
     last = F.max_by("close", "date")
     return daily.groupBy("symbol").agg(
-        last.alias("last_close"), ((last - first) / first * 100).alias("change_pct"),
+        last.alias("last_close"), (F.try_divide(last - first, first) * 100).alias("change_pct"),
         F.max("high").alias("period_high"), F.min("low").alias("period_low"),
         F.avg("volume").alias("avg_volume"))
 
@@ -157,7 +155,7 @@ def indexed(daily: DataFrame) -> DataFrame:
     w = Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding,
                                                                  Window.unboundedFollowing)
     return daily.select("symbol", "date", "close",
-                        (F.col("close") / F.first("close", ignorenulls=True).over(w) * 100).alias("indexed"))
+                        (F.try_divide(F.col("close"), F.first("close", ignorenulls=True).over(w)) * 100).alias("indexed"))
 
 
 def recent_bars(daily: DataFrame, n: int = 250) -> DataFrame:
@@ -167,6 +165,11 @@ def recent_bars(daily: DataFrame, n: int = 250) -> DataFrame:
             .select("date", "symbol", "open", "high", "low", "close", "volume"))
 
 
+def symbol_matrix(daily: DataFrame, symbols: list[str], value: str = "close") -> DataFrame:
+    """date x symbol table of mean `value` (U3); the symbols are given, as a page's selection is."""
+    return pivot_mean(daily.where(F.col("symbol").isin(symbols)), "date", "symbol", symbols, value)
+
+
 def pivot_mean(df: DataFrame, index: str, column: str, values: list[str], value: str) -> DataFrame:
     """Wide table index x values of mean(value) (U3); values are given, never collected."""
     return df.groupBy(index).pivot(column, values).agg(F.avg(value))

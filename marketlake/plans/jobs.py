@@ -1,9 +1,11 @@
 """The five jobs (L1-L5) over a lake root.  Every step is a Spark job; the
-driver only sequences them and reads back small metrics."""
+driver only sequences them and reads back small metrics.  A step that fails is recorded
+and the others still run."""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import calendar as cal
 from ..operators import curate, quality, refdata
 from ..operators.adjust import action_factors
+from ..session import configure
 from ..sinks import lake as sink
 from ..sources import lake as src
 
@@ -21,6 +24,14 @@ CURATORS = {
     "index_values": curate.curate_indices,
     "fundamentals": curate.curate_fundamentals,
     "corp_actions": curate.curate_corp_actions,
+    "tickers": curate.curate_tickers,
+    "futures_contracts": curate.curate_futures,
+}
+# pulled tables: vendor columns -> entity, and the sink that lands it
+PULLED = {
+    "daily_ohlcv": (refdata.normalize_daily, sink.land_daily),
+    "fundamentals": (refdata.normalize_fundamentals, sink.land_fundamentals),
+    "corp_actions": (refdata.normalize_corp_actions, sink.land_corp_actions),
 }
 
 
@@ -29,96 +40,178 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(ob, F.count(F.lit(1)).alias("rows")), ob
 
 
+def _rows(ob: Observation) -> int:
+    """Rows counted by a job that has succeeded; an input known to be empty is folded away together
+    with its observation, which then has no value."""
+    try:
+        return ob.get["rows"]
+    except Exception:  # noqa: BLE001
+        return 0
+
+
+def _rejected(spark: SparkSession, root: str, stream: str, date: str | None) -> int:
+    path = f"{root}/_ops/rejected/{stream}"
+    if not sink.path_exists(spark, path):
+        return 0
+    bad = spark.read.parquet(path)
+    return (bad if date is None else bad.where(F.col("date") == F.lit(date).cast("date"))).count()
+
+
 def run_curate(spark: SparkSession, root: str, stream: str, date: str | None = None) -> dict:
-    """L2: scan -> curate -> dynamic overwrite -> metrics, counted in the same pass."""
-    if stream == "daily_ohlcv":
-        raw = src.scan_daily_layouts(spark, root)
-        raw, ob_in = _observed(raw, "in")
-        actions = src.scan_raw(spark, root, "corp_actions")
-        out = curate.curate_daily_ohlcv(raw, actions).withColumn("year", F.year("date"))
-    else:
-        raw = src.scan_raw(spark, root, stream, date)
-        raw, ob_in = _observed(raw, "in")
-        out = CURATORS[stream](raw)
-        if stream == "fundamentals":
-            out = out.withColumn("quarter", F.col("period"))
-        if stream == "corp_actions":
-            out = out.withColumn("year", F.year("ex_date"))
-    out, ob_out = _observed(out, "out")
-    sink.write_curated(out, root, stream)
-    return {"stream": stream, "date": date, "rows_in": ob_in.get["rows"], "rows_out": ob_out.get["rows"],
-            "rejected": 0, "status": "ok"}
-
-
-def is_trading_day(spark: SparkSession, days: DataFrame, on: dt.date) -> bool:
-    """Calendar gate (J8) for one run date."""
-    probe = spark.createDataFrame([(on,)], "date date")
-    return bool(cal.trading_day_flags(probe, days).first()["is_trading_day"])
+    """L2: scan -> curate -> dynamic overwrite -> metrics, counted in the same pass.
+    `rejected` counts the stream's quarantined rows; a failure is told in `status`."""
+    configure(spark)
+    out = {"stream": stream, "date": date, "rows_in": 0, "rows_out": 0, "rejected": 0, "status": "ok"}
+    try:
+        if stream == "daily_ohlcv":
+            raw, ob_in = _observed(src.scan_daily_layouts(spark, root), "in")
+            curated = curate.curate_daily_ohlcv(raw, src.scan_raw(spark, root, "corp_actions")).withColumn("year", F.year("date"))
+        else:
+            raw, ob_in = _observed(src.scan_raw(spark, root, stream, date), "in")
+            curated = CURATORS[stream](raw)
+            if stream == "fundamentals":
+                curated = curated.withColumn("quarter", F.col("period"))
+            if stream == "corp_actions":
+                curated = curated.withColumn("year", F.year("ex_date"))
+        curated, ob_out = _observed(curated, "out")
+        sink.write_curated(curated, root, stream)
+        out |= {"rows_in": _rows(ob_in), "rows_out": _rows(ob_out),
+                "rejected": _rejected(spark, root, stream, date)}
+    except Exception as e:  # noqa: BLE001 - one stream must not stop the others
+        out["status"] = f"failed: {type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
+    return out
 
 
-def run_eod(spark: SparkSession, root: str, on: dt.date, days: DataFrame,
-            streams=("ticks", "quotes_l1", "quotes_l2", "index_values")) -> list[dict]:
-    """L1: gate on the calendar, curate the day's market streams, then the daily bars."""
-    if not is_trading_day(spark, days, on):
-        return [{"stream": "*", "date": str(on), "status": "skipped: not a trading day"}]
-    out = [run_curate(spark, root, s, str(on)) for s in streams]
-    out.append(run_curate(spark, root, "daily_ohlcv"))
+def is_trading_day(spark: SparkSession, calendar: cal.Calendar, on: dt.date) -> bool:
+    """Calendar gate (J8) for one run date."""
+    probe = spark.createDataFrame([(on,)], "date date")
+    return bool(cal.trading_day_flags(probe, calendar).first()["is_trading_day"])
+
+
+def _land(name: str, pull: Callable[[], DataFrame] | DataFrame, root: str, keep, errors: list[dict]) -> int:
+    """Normalise and land one pulled table; rows landed, or 0 and an entry in `errors`."""
+    normalise, land = PULLED[name]
+    try:
+        rows = normalise(pull() if callable(pull) else pull)
+        rows = sink.staged(rows.where(keep) if keep is not None else rows, name)
+        land(rows, root)
+        return rows.count()
+    except Exception as e:  # noqa: BLE001
+        errors.append({"stream": name, "error": f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"})
+        return 0
+
+
+def run_eod(spark: SparkSession, root: str, on: dt.date, calendar: cal.Calendar, pulls: dict | None = None,
+            streams=("ticks", "quotes_l1", "quotes_l2", "index_values")) -> dict:
+    """L1: gate on the calendar; land the day's bars, fundamentals on filing dates and the forward
+    window of actions; curate; sum up (G16).
+
+    `pulls` maps daily_ohlcv, fundamentals and corp_actions to vendor frames or callables; the summary
+    has the rows landed, every curated stream's metrics and the list of errors."""
+    configure(spark)
+    out = {"date": str(on), "status": "ok", "landed": {}, "curated": [], "errors": []}
+    if not is_trading_day(spark, calendar, on):
+        return out | {"status": "skipped: not a trading day"}
+    day = F.lit(str(on)).cast("date")
+    probe = spark.createDataFrame([(on,)], "date date").select(refdata.is_quarterly_report_date("date").alias("q"))
+    wanted = {"daily_ohlcv": F.col("date") == day,
+              "corp_actions": F.col("ex_date").between(day, F.date_add(day, refdata.schemas.FORWARD_ACTION_DAYS))}
+    if probe.first()["q"]:
+        wanted["fundamentals"] = None
+    for name, pull in (pulls or {}).items():
+        if name in wanted:
+            out["landed"][name] = _land(name, pull, root, wanted[name], out["errors"])
+    for s in (*streams, "daily_ohlcv"):
+        m = run_curate(spark, root, s, str(on) if s != "daily_ohlcv" else None)
+        out["curated"].append(m)
+        if m["status"] != "ok":
+            out["errors"].append({"stream": s, "error": m["status"]})
+    out["status"] = "ok" if not out["errors"] else "errors"
     return out
 
 
 def run_backfill(spark: SparkSession, root: str, vendor_daily: DataFrame, start: str, end: str,
-                 num_tasks: int, unavailable=("ticks", "quotes_l1")) -> DataFrame:
-    """L3: plan chunks (W6), skip days already landed (M8), land vendor bars for the
-    rest in one write (S9), record gaps for streams with no history source (S6).
-    Returns rows per chunk (G17)."""
-    bars = refdata.normalize_daily(vendor_daily).where(
-        F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    days = bars.select("date").distinct()
-    chunks = refdata.plan_chunks(days, num_tasks)
+                 num_tasks: int, unavailable=("ticks", "quotes_l1"), fundamentals: DataFrame | None = None,
+                 corp_actions: DataFrame | None = None, reference: dict[str, DataFrame] | None = None) -> DataFrame:
+    """L3: plan chunks (W6), skip the (symbol, day) pairs already landed (M8), land vendor bars for the
+    rest in one write (S9) and the other tables by key (S10-S12), record gaps for streams
+    with no history source (S6).  Returns (stream, chunk, start, end, rows, errors) (G17);
+    tables that are not chunked have a null chunk."""
+    configure(spark)
+    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+    bars = refdata.normalize_daily(vendor_daily).where(F.col("date").between(lo, hi))
+    chunks = refdata.plan_chunks(bars.select("date").distinct(), num_tasks)
     landed = f"{root}/raw/daily_ohlcv_backfill"
-    if src._exists(spark, landed):
-        present = spark.read.parquet(landed).select("date").distinct()
-        bars = bars.join(present, "date", "left_anti")
-    tagged = refdata.gate_by_chunk(bars, chunks, "date").withColumn("source", F.lit("backfill"))
-    tagged = tagged.withColumn("year", F.year("date")).checkpoint()
-    summary = tagged.groupBy("chunk").agg(F.count(F.lit(1)).alias("rows"))
-    sink.write_partitioned(tagged.drop("chunk"), landed, ["source", "year", "date"], "overwrite",
-                           files_per_partition=1)
+    errors: list[dict] = []
+    counted = None
+    try:
+        if sink.path_exists(spark, landed):
+            present = spark.read.parquet(landed).select("symbol", "date").distinct()
+            bars = bars.join(present, ["symbol", "date"], "left_anti")
+        tagged = refdata.gate_by_chunk(bars, chunks, "date").withColumn("source", F.lit("backfill"))
+        tagged = sink.staged(tagged.withColumn("year", F.year("date")), "backfill")
+        counted = tagged.groupBy("chunk").agg(F.count(F.lit(1)).alias("rows"))
+        sink.merge_by_key(tagged.drop("chunk"), landed, ["source", "year", "date"], ["symbol", "date"])
+    except Exception as e:  # noqa: BLE001
+        errors.append({"stream": "daily_ohlcv", "error": f"{type(e).__name__}: {str(e).splitlines()[0]}"})
+    rows = {}
+    for name, frame, keep in (("fundamentals", fundamentals, F.col("as_of_date").between(lo, hi)),
+                              ("corp_actions", corp_actions, F.col("ex_date").between(lo, hi))):
+        if frame is not None:
+            rows[name] = _land(name, frame, root, keep, errors)
+    for name, frame in (reference or {}).items():
+        try:
+            counts = _land_reference(frame, root, name, end)
+            rows[name] = counts
+        except Exception as e:  # noqa: BLE001
+            rows[name] = 0
+            errors.append({"stream": name, "error": f"{type(e).__name__}: {str(e).splitlines()[0]}"})
     now = dt.datetime.now(dt.timezone.utc).isoformat()
     gaps = spark.createDataFrame([(s, start, end, "no historical source", now) for s in unavailable],
                                  "stream string, start string, end string, reason string, recorded_at string")
     for s in unavailable:
         sink.record_gaps(gaps.where(F.col("stream") == s), root, s)
-    return chunks.join(summary, "chunk", "left").select("chunk", "start", "end",
-                                                        F.coalesce("rows", F.lit(0)).alias("rows"))
+    failed = {e["stream"]: e["error"] for e in errors}
+    daily = chunks.select(F.lit("daily_ohlcv").alias("stream"), "chunk", "start", "end")
+    daily = (daily.join(counted, "chunk", "left") if counted is not None else daily.withColumn("rows", F.lit(0))).select(
+        "stream", "chunk", "start", "end", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+        F.lit(failed.get("daily_ohlcv")).cast("string").alias("errors"))
+    rest = spark.createDataFrame(
+        [(n, None, dt.date.fromisoformat(start), dt.date.fromisoformat(end), r, failed.get(n)) for n, r in rows.items()], daily.schema)
+    return daily.unionByName(rest)
+
+
+REFERENCE = {"tickers": refdata.normalize_tickers, "futures_contracts": refdata.normalize_futures}
+
+
+def _land_reference(vendor: DataFrame, root: str, table: str, snapshot: str) -> int:
+    rows = sink.staged(REFERENCE[table](vendor).withColumn("snapshot", F.lit(snapshot).cast("date")), table)
+    sink.land_reference(rows, root, table)
+    return rows.count()
 
 
 def run_reference(spark: SparkSession, root: str, vendor_tickers: DataFrame, vendor_futures: DataFrame,
                   snapshot: str) -> dict:
     """L4: normalise and land both reference tables under one snapshot."""
-    snap = F.lit(snapshot).cast("date")
-    t = refdata.normalize_tickers(vendor_tickers).withColumn("snapshot", snap)
-    f = refdata.normalize_futures(vendor_futures).withColumn("snapshot", snap)
-    t, ob_t = _observed(t, "tickers")
-    f, ob_f = _observed(f, "futures")
-    sink.land_reference(t, root, "tickers")
-    sink.land_reference(f, root, "futures_contracts")
-    return {"tickers": ob_t.get["rows"], "futures_contracts": ob_f.get["rows"]}
-
-
-def run_dq(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
-    """The validators over the curated tables and their summary."""
-    daily = src.scan_curated(spark, root, "daily_ohlcv")
-    ticks = src.scan_curated(spark, root, "ticks")
-    l1 = src.scan_curated(spark, root, "quotes_l1")
-    l2 = src.scan_curated(spark, root, "quotes_l2")
-    actions = src.scan_curated(spark, root, "corp_actions")
-    found = {
-        "tick_vs_daily": quality.tick_vs_daily(ticks, daily, days=7),
-        "l1_vs_l2": quality.l1_vs_l2(l1, l2),
-        "corp_actions_applied": quality.corp_actions_applied(daily, actions, days=30),
-        "corp_actions_applied_fixed": quality.corp_actions_applied_fixed(
-            daily, action_factors(actions.withColumn("ingest_seq", F.lit(0)), daily), days=30),
-        "missing_days": cal.missing_days(daily, days),
-    }
-    return quality.dq_summary(found)
+    configure(spark)
+    return {"tickers": _land_reference(vendor_tickers, root, "tickers", snapshot),
+            "futures_contracts": _land_reference(vendor_futures, root, "futures_contracts", snapshot)}
+
+
+def run_dq(spark: SparkSession, root: str, calendar: cal.Calendar) -> DataFrame:
+    """The validators over the curated tables and their summary (G13).  Each reads its own
+    tables, so a missing or broken one fails its validators only (-1)."""
+    configure(spark)
+
+    def table(name: str) -> DataFrame:
+        return src.scan_curated(spark, root, name)
+
+    def factors() -> DataFrame:
+        return action_factors(table("corp_actions").withColumn("ingest_seq", F.lit(0)), table("daily_ohlcv"))
+    return quality.dq_summary({
+        "tick_vs_daily": lambda: quality.tick_vs_daily(table("ticks"), table("daily_ohlcv"), days=7),
+        "l1_vs_l2": lambda: quality.l1_vs_l2(table("quotes_l1"), table("quotes_l2")),
+        "corp_actions_applied": lambda: quality.corp_actions_applied(table("daily_ohlcv"), table("corp_actions"), days=30),
+        "corp_actions_applied_fixed": lambda: quality.corp_actions_applied_fixed(table("daily_ohlcv"), factors(), days=30),
+        "missing_days": lambda: cal.missing_days(table("daily_ohlcv"), calendar),
+    })

@@ -21,11 +21,11 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 _MODULES = ["curated", "market", "research", "calendar", "raw", "ops", "analytics"]
-_lakes: dict[tuple[int, str], TestLake] = {}
+_lakes: dict[tuple[str, str, float], TestLake] = {}
 
 
 def lake(spark: SparkSession, sf_dir: str) -> TestLake:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, spark.sparkContext.startTime)
     if key not in _lakes:
         _lakes[key] = TestLake(spark, sf_dir)
     return _lakes[key]

@@ -6,13 +6,12 @@ from pyspark.sql import functions as F
 
 from ..operators import analytics as an
 from ..operators import calendar as cal
-from ..operators import ingest
 from ..operators.bars import latest_snapshot
 from ..sources import jsonl
 from . import query
-from .calendar import sql_days, sql_in_session
+from .calendar import sql_in_session
 from .curated import FACTORS_SQL
-from .raw import RECEIPTS_SQL
+from .raw import RECEIPTS_SQL, all_receipts
 
 
 @query("atr_gap_range", """
@@ -28,9 +27,7 @@ def q_atr_gap_range(lk):
 
 
 def _flagged(lk, df):
-    ld, _ = cal.local_wall(F.col("ts_event"))
-    days = cal.days_between(df.select(ld.alias("date")))
-    return cal.in_session(df, days, cal.sessions_table(lk.spark))
+    return cal.in_session(df, lk.calendar)
 
 
 @query("vwap_by_session", f"""
@@ -48,7 +45,7 @@ SELECT f.date, t.sector_l1, round(avg(f.daily_return), 9) AS mean_return,
        CAST(sum(d.foreign_buy_vol - d.foreign_sell_vol) AS BIGINT) AS foreign_net_buy,
        count(*) FILTER (WHERE f.daily_return > 0) AS gainers, count(*) FILTER (WHERE f.daily_return < 0) AS losers
 FROM ({FACTORS_SQL}) f JOIN curated_daily d ON f.symbol = d.symbol AND f.date = d.date
-JOIN (SELECT * FROM tickers WHERE snapshot = (SELECT max(snapshot) FROM tickers)) t ON f.symbol = t.symbol
+LEFT JOIN (SELECT * FROM tickers WHERE snapshot = (SELECT max(snapshot) FROM tickers)) t ON f.symbol = t.symbol
 GROUP BY 1, 2
 """)
 def q_sector_heatmap(lk):
@@ -93,7 +90,7 @@ g AS (SELECT json_extract_string(v, '$.stream') AS stream,
       FROM g0 WHERE v IS NOT NULL),
 gd AS (SELECT CAST(d AS DATE) AS date, min(reason) AS gap_reason FROM (
          SELECT unnest(generate_series(CAST(s AS TIMESTAMP), CAST(coalesce(e, s) AS TIMESTAMP), INTERVAL 1 DAY)) AS d, reason
-         FROM g WHERE stream = 'ticks' AND s IS NOT NULL) GROUP BY 1),
+         FROM g WHERE stream = 'ticks' AND s IS NOT NULL AND coalesce(e, s) >= s) GROUP BY 1),
 c AS (SELECT date, count(*) AS ticks FROM curated_ticks GROUP BY 1)
 SELECT coalesce(c.date, gd.date) AS date, c.ticks, gd.gap_reason FROM c FULL JOIN gd ON c.date = gd.date
 """)
@@ -102,17 +99,16 @@ def q_gap_filled(lk):
 
 
 @query("skip_present", f"""
-WITH d AS ({sql_days('curated_ticks', 'date')}),
-planned AS (SELECT s.stream, d.date FROM d, (VALUES ('ticks'), ('quotes_l1')) s(stream))
-SELECT p.stream, p.date FROM planned p
-WHERE NOT EXISTS (SELECT 1 FROM ({RECEIPTS_SQL}) r WHERE r.stream = p.stream AND r.date = p.date)
+WITH span AS (SELECT symbol, min(date) AS lo, max(date) AS hi FROM curated_ticks GROUP BY symbol),
+planned AS (
+  SELECT s.stream, span.symbol, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
+  FROM span, (VALUES ('ticks'), ('quotes_l1')) s(stream))
+SELECT p.stream, p.symbol, p.date FROM planned p
+WHERE NOT EXISTS (SELECT 1 FROM ({RECEIPTS_SQL}) r WHERE r.stream = p.stream AND r.symbol = p.symbol AND r.date = p.date)
 """)
 def q_skip_present(lk):
-    """M8: (stream, day) pairs of the ticks' date range that have no receipt yet."""
-    days = cal.days_between(lk.curated_ticks)
-    planned = days.select(F.explode(F.array(F.lit("ticks"), F.lit("quotes_l1"))).alias("stream"), "date")
-    rc = ingest.receipts(lk.accepted_ticks, "ticks", ["date", "asset_class", "symbol"])
-    return an.skip_present(planned, rc)
+    """M8: (stream, symbol, day) triples of each symbol's span of ticks that have no receipt yet."""
+    return an.skip_present(an.plan_fetches(lk.curated_ticks, ["ticks", "quotes_l1"]), all_receipts(lk))
 
 
 @query("momentum", """

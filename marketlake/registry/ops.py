@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.prices import bucket_symbol
-from ..operators import alerts, ingest, ops, refdata
+from ..functions.prices import bucket_skew, bucket_symbol
+from ..operators import alerts, ops, refdata
 from ..operators.bars import latest_snapshot
+from ..sinks.lake import export_dead_letters
 from ..sources import jsonl
 from . import query
-from .raw import RECEIPTS_SQL
+from .raw import RECEIPTS_SQL, all_receipts
 
 # ------------------------------------------------------------------ alerts
 
@@ -84,31 +85,29 @@ def q_alert_suppress(lk):
 
 
 # --------------------------------------------------------------- coverage
-def _receipts(lk):
-    return ingest.receipts(lk.accepted_ticks, "ticks", ["date", "asset_class", "symbol"])
-
-
 @query("coverage", f"""
 WITH r AS ({RECEIPTS_SQL}),
 recent AS (SELECT stream, count(*) AS recent_files, count(DISTINCT symbol) AS unique_symbols FROM r
            WHERE max_ts >= (SELECT max(max_ts) FROM r) - INTERVAL 5 MINUTE GROUP BY stream)
 SELECT s.stream, coalesce(recent_files, 0) AS recent_files, coalesce(unique_symbols, 0) AS unique_symbols,
        coalesce(recent_files, 0) = 0 AS alert
-FROM (VALUES ('ticks'), ('quotes_l1'), ('quotes_l2'), ('index')) s(stream) LEFT JOIN recent USING (stream)
+FROM (VALUES ('ticks'), ('quotes_l1'), ('quotes_l2'), ('index_values')) s(stream) LEFT JOIN recent USING (stream)
 """)
 def q_coverage(lk):
     """Streams with no receipt in the last 5 minutes (as of the newest receipt) stay, as zeros."""
-    return ops.coverage(_receipts(lk))
+    return ops.coverage(all_receipts(lk))
 
 
 @query("coverage_5min", f"""
-SELECT stream, time_bucket(INTERVAL 5 MINUTE, max_ts) AS window_start,
-       time_bucket(INTERVAL 5 MINUTE, max_ts) + INTERVAL 5 MINUTE AS window_end,
-       count(*) AS files, count(DISTINCT symbol) AS symbols
-FROM ({RECEIPTS_SQL}) GROUP BY 1, 2, 3
+WITH r AS ({RECEIPTS_SQL}), b AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, max_ts) AS w FROM r),
+seen AS (SELECT w, stream, count(*) AS files, count(DISTINCT symbol) AS symbols FROM b GROUP BY ALL),
+every AS (SELECT w, unnest(['ticks', 'quotes_l1', 'quotes_l2', 'index_values']) AS stream FROM (SELECT DISTINCT w FROM b))
+SELECT e.stream, e.w AS window_start, e.w + INTERVAL 5 MINUTE AS window_end, coalesce(files, 0) AS files,
+       coalesce(symbols, 0) AS symbols, files IS NULL AS alert
+FROM every e LEFT JOIN seen s ON e.w = s.w AND e.stream = s.stream
 """)
 def q_coverage_5min(lk):
-    return ops.coverage_windows(_receipts(lk))
+    return ops.coverage_windows(all_receipts(lk))
 
 
 # ------------------------------------------------------------ dead letters
@@ -124,10 +123,19 @@ def q_dlq_counts(lk):
     return ops.dlq_counts(_dead(lk))
 
 
-@query("export_dead_letters")
+@query("export_dead_letters", """
+SELECT json_extract_string(value, '$.attributes.topic') AS topic, json_extract_string(value, '$.data') AS data,
+       json_extract_string(value, '$.attributes.symbol') AS symbol,
+       json_extract_string(value, '$.publish_time') AS publish_time
+FROM dead_letter_lines
+""")
 def q_export_dead_letters(lk):
-    """One JSON line per dead letter, keyed by topic (rows-only check)."""
-    return ops.export_dead_letters(_dead(lk))
+    """The lines exported by topic as text files, read back and parsed."""
+    root = lk.scratch("dead-letters")
+    export_dead_letters(ops.export_dead_letters(_dead(lk)), root)
+    d = jsonl.read_dead_letters(lk.spark.read.text(f"{root}/_ops/dead-letters").select("value"))
+    return d.select(F.col("attributes")["topic"].alias("topic"), "data", F.col("attributes")["symbol"].alias("symbol"),
+                    "publish_time")
 
 
 @query("replay_dead_letters", """
@@ -279,46 +287,70 @@ def q_gate_fundamentals_by_chunk(lk):
     return refdata.gate_by_chunk(f, _chunks(lk), "as_of_date").select("chunk", "symbol", "period", "as_of_date")
 
 
-@query("bucket_symbols")
+_TICKERS_NOW = "SELECT symbol FROM tickers WHERE snapshot = (SELECT max(snapshot) FROM tickers)"
+
+
+@query("bucket_symbols", f"""
+SELECT symbol, CASE WHEN symbol IN ({", ".join(f"'{x}'" for x in schemas.PINNED_SYMBOLS)}) THEN 0
+            ELSE CAST(('0x' || substr(md5(symbol), 1, 8))::BIGINT % 4 AS INTEGER) END AS bucket
+FROM ({_TICKERS_NOW} UNION ALL SELECT unnest([{", ".join(f"'{x}'" for x in schemas.PINNED_SYMBOLS)}]))
+""")
 def q_bucket_symbols(lk):
-    """Stable shard of every listed symbol (xxhash64; rows-only check) and
-    bucket sizes for the skew report."""
+    """Shard of every listed symbol and index; indices are pinned to shard 0."""
     t = latest_snapshot(lk.tickers).select("symbol")
-    return t.select("symbol", bucket_symbol(F.col("symbol"), 4, ["VNINDEX", "VN30"]).alias("bucket"))
+    pinned = lk.spark.createDataFrame([(x,) for x in schemas.PINNED_SYMBOLS], "symbol string")
+    return t.unionByName(pinned).select("symbol", bucket_symbol(F.col("symbol"), 4, schemas.PINNED_SYMBOLS).alias("bucket"))
+
+
+@query("bucket_skew", f"""
+WITH b AS (SELECT CAST(('0x' || substr(md5(symbol), 1, 8))::BIGINT % 4 AS INTEGER) AS bucket FROM ({_TICKERS_NOW}))
+SELECT bucket, count(*) AS symbols, count(*) * 4.0::DOUBLE / (SELECT count(*) FROM b) AS of_mean FROM b GROUP BY bucket
+""")
+def q_bucket_skew(lk):
+    """Symbols per shard against the mean."""
+    return bucket_skew(latest_snapshot(lk.tickers).select("symbol"), 4)
 
 
 @query("eod_summary", f"""
+WITH failed AS (SELECT list_sort(list(symbol || ': ' || status)) AS names FROM ({SOURCE_PRIORITY_SQL}) WHERE status <> 'ok')
 SELECT 'daily_ohlcv' AS stream, (SELECT count(*) FROM curated_daily) AS rows,
-       (SELECT count(*) FROM ({SOURCE_PRIORITY_SQL}) WHERE status <> 'ok') AS errors
-UNION ALL SELECT 'fundamentals', (SELECT count(*) FROM curated_fundamentals), CAST(0 AS BIGINT)
-UNION ALL SELECT 'corp_actions', (SELECT count(*) FROM curated_corp_actions), CAST(0 AS BIGINT)
+       (SELECT array_to_string(names, '; ') FROM failed) AS errors
+UNION ALL SELECT 'fundamentals', (SELECT count(*) FROM curated_fundamentals), NULL
+UNION ALL SELECT 'corp_actions', (SELECT count(*) FROM curated_corp_actions), NULL
 """)
 def q_eod_summary(lk):
-    """Rows per stream, and symbols no source could serve."""
-    err = refdata.source_priority(lk.pull_results).where(F.col("status") != "ok")
-    rows = ops.curate_metrics({"daily_ohlcv": (lk.curated_daily, err),
-                               "fundamentals": (lk.curated_fundamentals, lk.curated_fundamentals.limit(0)),
-                               "corp_actions": (lk.curated_corp_actions, lk.curated_corp_actions.limit(0))})
-    return rows.select("stream", F.col("rows_in").alias("rows"), F.col("rows_out").alias("errors"))
+    """Rows per stream, and the list of symbols no source could serve."""
+    failed = refdata.source_priority(lk.pull_results).where(F.col("status") != "ok")
+    return ops.run_summary({"daily_ohlcv": lk.curated_daily, "fundamentals": lk.curated_fundamentals,
+                            "corp_actions": lk.curated_corp_actions},
+                           failed.select(F.lit("daily_ohlcv").alias("stream"), F.concat_ws(": ", "symbol", "status").alias("error")))
 
 
 @query("backfill_summary", f"""
-WITH c AS ({CHUNKS_SQL})
+WITH c AS ({CHUNKS_SQL}), failed AS (
+  SELECT 'daily_ohlcv' AS stream, array_to_string(list_sort(list(symbol || ': ' || status)), '; ') AS errors
+  FROM ({SOURCE_PRIORITY_SQL}) WHERE status <> 'ok'),
+counted AS (
 SELECT c.chunk, 'daily_ohlcv' AS stream, count(d.date) AS rows FROM c LEFT JOIN curated_daily d
   ON d.date BETWEEN c.start AND c."end" GROUP BY c.chunk
 UNION ALL
 SELECT c.chunk, 'corp_actions', count(a.ex_date) FROM c LEFT JOIN curated_corp_actions a
-  ON a.ex_date BETWEEN c.start AND c."end" GROUP BY c.chunk
+  ON a.ex_date BETWEEN c.start AND c."end" GROUP BY c.chunk)
+SELECT chunk, counted.stream, rows, errors FROM counted LEFT JOIN failed USING (stream)
 """)
 def q_backfill_summary(lk):
-    """Rows landed per backfill chunk and stream."""
+    """Rows landed per backfill chunk and stream, with the stream's errors."""
     ch = _chunks(lk)
     d = refdata.gate_by_chunk(lk.curated_daily.select("date"), ch, "date").groupBy("chunk").agg(
         F.count(F.lit(1)).alias("rows"))
     a = refdata.gate_by_chunk(lk.curated_corp_actions.select("ex_date"), ch, "ex_date").groupBy("chunk").agg(
         F.count(F.lit(1)).alias("rows"))
+    failed = refdata.source_priority(lk.pull_results).where(F.col("status") != "ok")
+    errors = ops.error_lists(failed.select(F.lit("daily_ohlcv").alias("stream"),
+                                           F.concat_ws(": ", "symbol", "status").alias("error")))
 
     def full(x, name):
         return (ch.select("chunk").join(x, "chunk", "left")
                 .select("chunk", F.lit(name).alias("stream"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows")))
-    return full(d, "daily_ohlcv").unionByName(full(a, "corp_actions"))
+    return full(d, "daily_ohlcv").unionByName(full(a, "corp_actions")).join(errors, "stream", "left").select(
+        "chunk", "stream", "rows", "errors")

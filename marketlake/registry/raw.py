@@ -63,43 +63,70 @@ def q_quarantine_parse_errors(lk):
     return ingest.parse_errors(lk.messages_raw)
 
 
-@query("validate_rows", "SELECT msg_id, symbol, reject_reason FROM validated_ticks")
-def q_validate_rows(lk):
-    return ingest.validate_rows(ingest.parse_ticks(lk.messages_raw), "ticks").select(
-        "msg_id", "symbol", "reject_reason")
+def _validated(lk, stream):
+    return ingest.keyed_by_symbol(ingest.validated(lk.messages_raw, stream), stream)
 
 
-@query("quarantine_rejects", """
-SELECT msg_id, symbol, ts_event, CAST(ts_event AS DATE) AS date, reject_reason
-FROM validated_ticks WHERE reject_reason IS NOT NULL
-""")
+VALIDATED = {"ticks": "validated_ticks", "quotes_l1": "validated_l1", "quotes_l2": "validated_l2",
+             "index_values": "validated_index"}
+
+
+def _register_validation(stream: str, name: str) -> None:
+    @query(name, f"SELECT msg_id, symbol, reject_reason FROM {VALIDATED[stream]}")
+    def q_validate(lk):
+        """Every parsed row of the stream with its reject reasons."""
+        return _validated(lk, stream).select("msg_id", "symbol", "reject_reason")
+
+
+for _stream, _name in (("ticks", "validate_rows"), ("quotes_l1", "validate_quotes_l1"),
+                       ("quotes_l2", "validate_quotes_l2"), ("index_values", "validate_indices")):
+    _register_validation(_stream, _name)
+
+
+@query("quarantine_rejects", " UNION ALL ".join(
+    f"SELECT '{s}' AS stream, msg_id, symbol, ts_event, CAST(ts_event AS DATE) AS date, reject_reason "
+    f"FROM {v} WHERE reject_reason IS NOT NULL" for s, v in VALIDATED.items()))
 def q_quarantine_rejects(lk):
-    v = ingest.validate_rows(ingest.parse_ticks(lk.messages_raw), "ticks")
-    _, bad = ingest.split_rejects(v)
-    return bad.select("msg_id", "symbol", "ts_event", F.to_date("ts_event").alias("date"), "reject_reason")
+    """S4 over the four streams."""
+    parts = [_validated(lk, s).where(F.col("reject_reason").isNotNull()).select(
+        F.lit(s).alias("stream"), "msg_id", "symbol", "ts_event", F.to_date("ts_event").alias("date"), "reject_reason")
+        for s in VALIDATED]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
 
+RECEIPTS_SQL = " UNION ALL ".join(
+    f"SELECT 'raw/{s}/date=' || CAST(CAST(ts_event AS DATE) AS VARCHAR) || '/batch=0' AS file, count(*) AS rows, "
+    f"min(ts_event) AS min_ts, max(ts_event) AS max_ts, '1' AS schema_version, '{s}' AS stream, "
+    f"CAST(ts_event AS DATE) AS date, symbol FROM {v} WHERE reject_reason IS NULL GROUP BY CAST(ts_event AS DATE), symbol"
+    for s, v in VALIDATED.items())
 
-RECEIPTS_SQL = """
-SELECT 'raw/ticks/date=' || CAST(date AS VARCHAR) || '/asset_class=' || asset_class || '/symbol=' || symbol AS file,
-       count(*) AS rows, min(ts_event) AS min_ts, max(ts_event) AS max_ts, '1' AS schema_version,
-       'ticks' AS stream, date, asset_class, symbol, count(DISTINCT symbol) AS symbols
-FROM accepted_ticks GROUP BY date, asset_class, symbol
-"""
+
+def all_receipts(lk):
+    """Receipts of the accepted rows of the four streams."""
+    out = None
+    for s in VALIDATED:
+        ok, _ = ingest.split_rejects(ingest.validated(lk.messages_raw, s))
+        rc = ingest.receipts(ok, s)
+        out = rc if out is None else out.unionByName(rc)
+    return out
 
 
 @query("write_receipts", RECEIPTS_SQL)
 def q_write_receipts(lk):
-    """S3: one receipt per landed (date, asset_class, symbol) partition of accepted ticks."""
-    return ingest.receipts(lk.accepted_ticks, "ticks", ["date", "asset_class", "symbol"])
+    """S3: one receipt per landed (stream, date, symbol) of accepted rows."""
+    return all_receipts(lk)
 
 
-@query("read_receipts", f"""
-SELECT file, rows, min_ts, max_ts, schema_version, stream, date, symbols FROM ({RECEIPTS_SQL})
-""")
+@query("read_receipts", RECEIPTS_SQL)
 def q_read_receipts(lk):
-    """Receipts written as JSON lines and read back with their schema."""
-    rc = ingest.receipts(lk.accepted_ticks, "ticks", ["date", "asset_class", "symbol"])
-    return jsonl.read_receipts(jsonl.receipts_to_lines(rc))
+    """Receipts landed as JSON-lines files and read back with their schema."""
+    from ..sinks.lake import write_receipts
+    root = lk.scratch("receipts")
+    write_receipts(all_receipts(lk), root, "0")
+    return jsonl.read_receipts(jsonl.text_lines(lk.spark, f"{root}/_ops/ingest-receipts"))
 
 
 @query("read_gaps", """

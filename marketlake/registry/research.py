@@ -38,20 +38,22 @@ def q_coverage_by_symbol(lk):
 
 
 @query("best_performers", f"""
-WITH fl AS (SELECT symbol, arg_min(close, date) AS first_close, arg_max(close, date) AS last_close
-            FROM curated_daily WHERE date >= make_date(CAST(year({AS_OF}) AS INTEGER), 1, 1) GROUP BY symbol)
-SELECT symbol, (last_close - first_close) / first_close * 100 AS ytd_pct FROM fl
-WHERE first_close > 0 ORDER BY ytd_pct DESC, symbol LIMIT 25
+WITH this_year AS (SELECT symbol, date, close FROM curated_daily WHERE year(date) = year({AS_OF})),
+ends AS (SELECT symbol, date = min(date) OVER s AS opens, date = max(date) OVER s AS closes, close
+         FROM this_year WINDOW s AS (PARTITION BY symbol)),
+pairs AS (SELECT symbol, max(close) FILTER (WHERE opens) AS was, max(close) FILTER (WHERE closes) AS now FROM ends GROUP BY symbol)
+SELECT symbol, (now - was) / was * 100 AS ytd_pct FROM pairs WHERE was > 0
+ORDER BY ytd_pct DESC, symbol LIMIT 25
 """)
 def q_best_performers(lk):
     return research.best_performers(lk.curated_daily)
 
 
 @query("range_drawdown", f"""
-WITH ext AS (SELECT symbol, max(close) AS hi, min(close) AS lo FROM curated_daily
-             WHERE date >= {AS_OF} - 365 GROUP BY symbol)
-SELECT symbol, hi, lo, (lo - hi) / hi * 100 AS dd_pct FROM ext WHERE hi > 0
-ORDER BY dd_pct ASC, symbol LIMIT 25
+SELECT symbol, list_max(closes) AS hi, list_min(closes) AS lo,
+       (list_min(closes) - list_max(closes)) / list_max(closes) * 100 AS dd_pct
+FROM (SELECT symbol, list(close) AS closes FROM curated_daily WHERE date_diff('day', date, {AS_OF}) <= 365 GROUP BY symbol)
+WHERE list_max(closes) > 0 ORDER BY 4, symbol LIMIT 25
 """)
 def q_range_drawdown(lk):
     return research.range_drawdown(lk.curated_daily)
@@ -114,7 +116,7 @@ FROM {src} WINDOW w AS (PARTITION BY {key} ORDER BY date)
 @query("symbol_kpis", f"""
 WITH r AS ({SERIES_SQL.format(key='symbol', v='close', extra='volume,', src='curated_daily')})
 SELECT symbol, arg_max(close, date) AS last,
-       (arg_max(close, date) - arg_min(close, date)) / arg_min(close, date) * 100 AS period_pct,
+       (arg_max(close, date) - arg_min(close, date)) / NULLIF(arg_min(close, date), 0) * 100 AS period_pct,
        min((close - peak) / CAST(peak AS DOUBLE)) * 100 AS max_dd_pct,
        round(CASE WHEN stddev_samp(ret) > 0 AND count(ret) > 1
                   THEN avg(ret) / stddev_samp(ret) * sqrt(252.0::DOUBLE) ELSE 0.0::DOUBLE END, 9) AS sharpe,
@@ -127,7 +129,7 @@ def q_symbol_kpis(lk):
 
 @query("symbol_summary", """
 SELECT symbol, arg_max(close, date) AS last_close,
-       (arg_max(close, date) - arg_min(close, date)) / arg_min(close, date) * 100 AS change_pct,
+       (arg_max(close, date) - arg_min(close, date)) / NULLIF(arg_min(close, date), 0) * 100 AS change_pct,
        max(high) AS period_high, min(low) AS period_low, avg(volume) AS avg_volume
 FROM curated_daily GROUP BY symbol
 """)
@@ -169,8 +171,8 @@ def q_drawdown(lk):
 
 
 @query("indexed_returns", """
-SELECT symbol, date, close, close / first_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date
-       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) * 100 AS indexed
+SELECT symbol, date, close, close / NULLIF(first_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date
+       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0) * 100 AS indexed
 FROM curated_daily
 """)
 def q_indexed_returns(lk):
@@ -211,6 +213,25 @@ def q_pivot_close(lk):
     return research.pivot_mean(lk.curated_daily, "date", "exchange", EXCHANGES, "close")
 
 
+SELECTION = ["S1", "S2", "S3", "S4", "S5"]
+
+
+@query("symbol_matrix", "SELECT date, " + ", ".join(
+    f"avg(close) FILTER (WHERE symbol = '{e}') AS \"{e}\"" for e in SELECTION)
+    + " FROM curated_daily WHERE symbol IN (" + ", ".join(f"'{e}'" for e in SELECTION) + ") GROUP BY date")
+def q_symbol_matrix(lk):
+    """Date x symbol closes of a selection."""
+    return research.symbol_matrix(lk.curated_daily, SELECTION)
+
+
+@query("melt_close", """
+SELECT date, symbol, avg(close) AS close FROM curated_daily WHERE symbol IN ('S1', 'S2', 'S3', 'S4', 'S5') GROUP BY ALL
+""")
+def q_melt_close(lk):
+    """The selection's matrix melted back to long form."""
+    return research.unpivot_mean(research.symbol_matrix(lk.curated_daily, SELECTION), "date", SELECTION, "symbol", "close")
+
+
 @query("load_universe", """
 SELECT DISTINCT upper(trim(coalesce(json_extract_string(value, '$.symbol'),
        CASE WHEN trim(value) LIKE '"%' THEN json_extract_string(value, '$') END))) AS symbol

@@ -126,6 +126,17 @@ WIRE_INDEX = T.StructType([
     T.StructField("UNC", T.IntegerType()),
 ])
 
+# Symbols (indices) pinned to shard 0.
+PINNED_SYMBOLS = [
+    "VNINDEX", "VN30", "VN100", "VNALL", "VNX50", "VNMID", "VNSML", "HNXINDEX", "HNX30", "HNXLCAP", "HNXMSCAP",
+    "HNXSCAP", "UPCOMINDEX", "UPCOMLARGE", "UPCOMMEDIUM", "UPCOMSMALL", "UPCOMPREMIUM", "VNFIN", "VNCONS", "VNCOND",
+    "VNENE", "VNHEALTH", "VNIND", "VNIT", "VNMAT", "VNREAL", "VNUTI", "VNTEL", "VNDIAMOND", "VNFINLEAD", "VNFINSELECT",
+    "VNXALL",
+]
+
+# streams that are landed, receipted and watched
+STREAMS = ["ticks", "quotes_l1", "quotes_l2", "index_values"]
+
 GAP = T.StructType([
     T.StructField("stream", T.StringType()), T.StructField("start", T.StringType()),
     T.StructField("end", T.StringType()), T.StructField("reason", T.StringType()),

@@ -28,27 +28,23 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
 }
 
-_configured: set[int] = set()
-
-
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings once per session."""
-    key = id(spark)
-    if key not in _configured:
-        for k, v in RUNTIME_CONF.items():
-            spark.conf.set(k, v)
-        _configured.add(key)
+    """Apply the runtime settings to a session."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's `spark.checkpoint.dir`.
 
-    Only when the session has none (local tests) is a private scratch folder
-    created and registered.
+    Only a local session that has none (tests, bench) gets a scratch folder; on a
+    cluster the executors could not read one, so the setting is required there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="marketlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -1,110 +1,176 @@
 """Writers for the lake: raw landing, curated overwrite, side tables.
 
 Layout (relative to a lake root):
-    raw/<stream>/<partition dirs>/         append
-    curated/<stream>/<partition dirs>/     dynamic partition overwrite (idempotent re-runs)
-    _ops/rejected/<stream>/date=D/         quarantine (append)
-    _ops/parse-errors/channel=C/date=D/    unparsable messages (append)
-    _ops/ingest-receipts/date=D/stream=S/  JSON lines
-    _ops/permanent-gaps/<stream>.jsonl/    JSON lines (append)
-
-Skew: rows are spread over `files_per_partition` tasks per partition value
-(hash of row identity), so a partition holding a third of the data is
-written by many tasks, and `maxRecordsPerFile` bounds file size.
+    raw/<stream>/date=D/.../batch=B/       market streams: a batch replaces itself only
+    raw/<table>/<partition dirs>/          daily bars, fundamentals, actions, reference: merged by key
+    curated/<stream>/<partition dirs>/     partitions present in the result are replaced (idempotent re-runs)
+    _ops/rejected/<stream>/date=D/batch=B/ quarantine
+    _ops/parse-errors/channel=C/date=D/batch=B/
+    _ops/ingest-receipts/date=D/stream=S/batch=B/   JSON lines
+    _ops/permanent-gaps/stream=S/          JSON lines (append)
+
+Every overwrite names the dynamic mode itself, so it never depends on a session setting, and
+nothing outside the partitions of the data at hand is touched.  A micro-batch or job run that is repeated
+writes the same batch directories again: nothing is doubled.
+
+Skew: rows are rebalanced by their partition columns, so AQE splits a large partition over several
+tasks and joins small ones, by measured size.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 RAW_LAYOUT = {
-    "ticks": ["date", "asset_class", "symbol"],
-    "quotes_l1": ["date", "asset_class", "symbol"],
-    "quotes_l2": ["date", "asset_class", "hour", "symbol"],
-    "index_values": ["date", "index_code"],
+    "ticks": ["date", "asset_class", "batch"],
+    "quotes_l1": ["date", "asset_class", "batch"],
+    "quotes_l2": ["date", "asset_class", "batch"],
+    "index_values": ["date", "batch"],
 }
 CURATED_LAYOUT = {
-    **RAW_LAYOUT,
+    "ticks": ["date", "asset_class"],
+    "quotes_l1": ["date", "asset_class"],
+    "quotes_l2": ["date", "asset_class"],
+    "index_values": ["date"],
     "daily_ohlcv": ["year"],
     "fundamentals": ["quarter"],
     "corp_actions": ["year"],
     "tickers": ["snapshot"],
     "futures_contracts": ["snapshot"],
 }
+# keys by which a landing replaces rows of earlier landings
+LANDING_KEYS = {
+    "daily_ohlcv": ["symbol", "date"],
+    "fundamentals": ["symbol", "period", "as_of_date"],
+    "corp_actions": ["symbol", "ex_date", "action_type"],
+    "tickers": ["symbol", "snapshot"],
+    "futures_contracts": ["symbol", "snapshot"],
+}
+LANDING_LAYOUT = {
+    "daily_ohlcv": ["year", "date"],
+    "fundamentals": ["quarter"],
+    "corp_actions": ["year"],
+    "tickers": ["snapshot"],
+    "futures_contracts": ["snapshot"],
+}
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def _spread(df: DataFrame, partition_cols: Sequence[str], files_per_partition: int,
-            key_cols: Sequence[str] | None) -> DataFrame:
-    keys = list(key_cols or df.columns)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(files_per_partition))
-    return df.repartition(*[F.col(c) for c in partition_cols], salt)
+def path_exists(spark, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "append",
-                      files_per_partition: int = 4, key_cols: Sequence[str] | None = None,
-                      max_records: int = MAX_RECORDS_PER_FILE) -> None:
-    """Parquet (zstd) partitioned by `partition_cols`.  mode='overwrite' replaces only
-    the partitions present in `df` (dynamic overwrite is a session setting)."""
-    (_spread(df, partition_cols, files_per_partition, key_cols).write.mode(mode)
-     .option("compression", "zstd").option("maxRecordsPerFile", max_records)
-     .partitionBy(*partition_cols).parquet(path))
-
-
-def land_stream(df: DataFrame, root: str, stream: str) -> None:
-    """Append accepted rows of a stream under its raw layout."""
-    write_partitioned(df, f"{root}/raw/{stream}", RAW_LAYOUT[stream], "append")
+                      max_records: int = MAX_RECORDS_PER_FILE, fmt: str = "parquet",
+                      sort_cols: Sequence[str] = ()) -> None:
+    """Files partitioned by `partition_cols`; mode='overwrite' replaces only the
+    partitions present in `df`.  `sort_cols` orders rows inside files, for min/max pruning."""
+    out = df.hint("rebalance", *[F.col(c) for c in partition_cols])
+    if sort_cols:
+        out = out.sortWithinPartitions(*partition_cols, *sort_cols)
+    w = out.write.mode(mode).option("maxRecordsPerFile", max_records).partitionBy(*partition_cols).format(fmt)
+    if mode == "overwrite":
+        w = w.option("partitionOverwriteMode", "dynamic")
+    if fmt == "parquet":
+        w = w.option("compression", "zstd")
+    w.save(path)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`df` written aside in the shared folder and read back: computed once, its source free to change."""
+    spark = df.sparkSession
+    aside = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    return spark.read.schema(df.schema).parquet(aside)
+
+
+def merge_by_key(df: DataFrame, path: str, partition_cols: Sequence[str], keys: Sequence[str]) -> None:
+    """Land rows so that they replace earlier rows of equal `keys` in the same partitions and keep
+    all others.  Only partitions present in `df` are read (dynamic pruning) and
+    written; the merged rows are written aside first, as a table cannot be read while it is replaced.
+    One writer at a time per table, as for any overwrite."""
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        old = spark.read.parquet(path)
+        touched = df.select(*partition_cols).distinct()
+        rest = old.join(touched, list(partition_cols), "left_semi").join(df.select(*keys).distinct(), list(keys), "left_anti")
+        df = staged(rest.unionByName(df, allowMissingColumns=True), "landing")
+    write_partitioned(df, path, partition_cols, "overwrite")
+
+
+def _with_batch(df: DataFrame, batch: str) -> DataFrame:
+    return df.withColumn("batch", F.lit(str(batch)))
+
+
+def land_stream(df: DataFrame, root: str, stream: str, batch: str) -> None:
+    """Accepted rows of a stream under its raw layout; `batch` names the micro-batch or job run."""
+    write_partitioned(_with_batch(df, batch), f"{root}/raw/{stream}", RAW_LAYOUT[stream], "overwrite")
 
 
 def write_curated(df: DataFrame, root: str, stream: str) -> None:
-    """Idempotent replace of the curated partitions present in `df`."""
-    write_partitioned(df, f"{root}/curated/{stream}", CURATED_LAYOUT[stream], "overwrite")
+    """Idempotent replace of the curated partitions present in `df`."""
+    sort = [c for c in ("symbol", "index_code") if c in df.columns]
+    write_partitioned(df, f"{root}/curated/{stream}", CURATED_LAYOUT[stream], "overwrite", sort_cols=sort)
 
 
-def quarantine(rejected: DataFrame, root: str, stream: str) -> None:
+def quarantine(rejected: DataFrame, root: str, stream: str, batch: str) -> None:
     """Rejected rows with their reasons."""
     out = rejected if "date" in rejected.columns else rejected.withColumn("date", F.to_date("ts_event"))
-    write_partitioned(out, f"{root}/_ops/rejected/{stream}", ["date"], "append", files_per_partition=1)
+    write_partitioned(_with_batch(out, batch), f"{root}/_ops/rejected/{stream}", ["date", "batch"], "overwrite")
 
 
-def quarantine_parse_errors(errors: DataFrame, root: str) -> None:
+def quarantine_parse_errors(errors: DataFrame, root: str, batch: str) -> None:
     """Unparsable messages: channel, raw, ts, error."""
-    out = errors.withColumn("date", F.to_date("ts"))
-    write_partitioned(out, f"{root}/_ops/parse-errors", ["channel", "date"], "append", files_per_partition=1)
+    out = _with_batch(errors.withColumn("date", F.to_date("ts")), batch)
+    write_partitioned(out, f"{root}/_ops/parse-errors", ["channel", "date", "batch"], "overwrite")
 
 
-def write_receipts(receipts: DataFrame, root: str) -> None:
-    """Receipts as JSON lines by date and stream (S3)."""
-    (receipts.repartition("date", "stream").write.mode("append")
-     .partitionBy("date", "stream").json(f"{root}/_ops/ingest-receipts"))
+def write_receipts(receipts: DataFrame, root: str, batch: str) -> None:
+    """Receipts as JSON lines by date and stream (S3); both stay in the lines too, so that each line
+    can be read by itself."""
+    out = receipts.withColumns({"day": F.col("date"), "of": F.col("stream"), "batch": F.lit(str(batch))})
+    write_partitioned(out, f"{root}/_ops/ingest-receipts", ["day", "of", "batch"], "overwrite", fmt="json")
 
 
 def record_gaps(gaps: DataFrame, root: str, stream: str) -> None:
     """Append gap records (stream, start, end, reason, recorded_at) as JSON lines."""
-    (gaps.select("stream", F.col("start").cast("string").alias("start"), F.col("end").cast("string").alias("end"),
-                 "reason", F.col("recorded_at").cast("string").alias("recorded_at"))
-     .coalesce(1).write.mode("append").json(f"{root}/_ops/permanent-gaps/{stream}.jsonl"))
+    out = gaps.select("stream", F.col("start").cast("string").alias("start"), F.col("end").cast("string").alias("end"),
+                      "reason", F.col("recorded_at").cast("string").alias("recorded_at"))
+    out.write.mode("append").json(f"{root}/_ops/permanent-gaps/{stream}.jsonl")
+
+
+def export_dead_letters(lines: DataFrame, root: str) -> DataFrame:
+    """Dead-letter lines (topic, value) as text files by topic; returns messages per topic."""
+    lines.hint("rebalance", F.col("topic")).write.mode("append").partitionBy("topic").text(f"{root}/_ops/dead-letters")
+    return lines.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def land_table(df: DataFrame, root: str, table: str) -> None:
+    """Pulled rows of a table: they replace earlier rows of their keys, others stay."""
+    merge_by_key(df, f"{root}/raw/{table}", LANDING_LAYOUT[table], LANDING_KEYS[table])
 
 
 def land_daily(bars: DataFrame, root: str) -> None:
-    """Daily bars by (year, date), replacing the days present (S9).  Symbol is
-    not a directory level: ~1,600 tiny files a day would be the result."""
-    out = bars.withColumn("year", F.year("date"))
-    write_partitioned(out, f"{root}/raw/daily_ohlcv", ["year", "date"], "overwrite", files_per_partition=1)
+    """Daily bars by (year, date) (S9).  Symbol is not a directory level: ~1,600
+    tiny files a day would be the result."""
+    land_table(bars.withColumn("year", F.year("date")), root, "daily_ohlcv")
 
 
 def land_fundamentals(df: DataFrame, root: str) -> None:
-    out = df if "quarter" in df.columns else df.withColumn("quarter", F.col("period"))
-    write_partitioned(out, f"{root}/raw/fundamentals", ["quarter"], "overwrite", files_per_partition=1)
+    land_table(df if "quarter" in df.columns else df.withColumn("quarter", F.col("period")), root, "fundamentals")
 
 
 def land_corp_actions(df: DataFrame, root: str) -> None:
-    out = df.withColumn("year", F.year("ex_date"))
-    write_partitioned(out, f"{root}/raw/corp_actions", ["year"], "overwrite", files_per_partition=1)
+    land_table(df.withColumn("year", F.year("ex_date")), root, "corp_actions")
 
 
 def land_reference(df: DataFrame, root: str, table: str) -> None:
-    write_partitioned(df, f"{root}/raw/{table}", ["snapshot"], "overwrite", files_per_partition=1)
+    land_table(df, root, table)

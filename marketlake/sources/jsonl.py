@@ -49,7 +49,7 @@ RECEIPT = T.StructType([
     T.StructField("file", T.StringType()), T.StructField("rows", T.LongType()),
     T.StructField("min_ts", T.TimestampType()), T.StructField("max_ts", T.TimestampType()),
     T.StructField("schema_version", T.StringType()), T.StructField("stream", T.StringType()),
-    T.StructField("date", T.DateType()), T.StructField("symbols", T.LongType()),
+    T.StructField("date", T.DateType()), T.StructField("symbol", T.StringType()),
 ])
 
 
@@ -70,9 +70,9 @@ def read_equity_curve(spark: SparkSession, path: str, fmt: str = "parquet") -> D
 
 
 def check_equity_curve(df: DataFrame) -> DataFrame:
-    missing = {"date", "equity"} - set(df.columns)
-    if missing:
-        raise ValueError(f"Missing required columns: {sorted(missing)}")
+    for needed in ("date", "equity"):
+        if needed not in df.columns:
+            raise ValueError(f"an equity curve needs a column {needed}; got {', '.join(df.columns)}")
     cols = [F.to_date("date").alias("date"), F.col("equity").cast("double").alias("equity")]
     if "position" in df.columns:
         cols.append(F.col("position").cast("double").alias("position"))

@@ -7,9 +7,10 @@ operators, so streaming and nightly batch share one definition.  The
 checkpoint replaces the reference's in-memory flush buffer: nothing is
 acknowledged before it is written.
 
-Delivery: raw landing is at-least-once (a micro-batch re-run after a failure
-appends again); duplicates are settled by curation, which keeps one row per
-key, as the nightly re-curation does in the reference.
+Delivery: every micro-batch writes under its own batch directory and
+replaces it when it is run again after a failure, so rows, rejects and receipts are
+landed exactly once.  Messages that the source itself delivers twice are settled by
+curation, which keeps one row per key.
 """
 
 from __future__ import annotations
@@ -35,22 +36,24 @@ ROUTES = {  # channel -> (stream, parser, validation rules)
 }
 
 
-def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                   max_bytes_per_trigger: str | None = None) -> DataFrame:
     r = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return r.json(path)
 
 
 def _partition_cols(df: DataFrame, stream: str) -> DataFrame:
     out = df.withColumn("date", F.to_date("ts_event"))
-    if stream == "quotes_l2":
-        out = out.withColumn("hour", F.hour("ts_event"))
     return out.withColumnRenamed("msg_id", "ingest_seq")
 
 
-def land_batch(batch: DataFrame, root: str) -> dict:
-    """X1 + X3 for one micro-batch: route, parse, validate, land, quarantine, receipts."""
+def land_batch(batch: DataFrame, root: str, epoch: int | str) -> dict:
+    """X1 + X3 for one micro-batch: route, parse, validate, land, quarantine, receipts.
+    Landing the same `epoch` again replaces what it wrote before."""
     batch = batch.persist()
     counts = {}
     try:
@@ -58,15 +61,12 @@ def land_batch(batch: DataFrame, root: str) -> dict:
             v = ingest.validate_rows(parse(batch), rules)
             ok, bad = ingest.split_rejects(v)
             ok = _partition_cols(ok, stream).persist()
-            sink.land_stream(ok, root, stream)
-            sink.quarantine(bad.withColumn("date", F.to_date("ts_event")), root, stream)
-            sym = "symbol" if stream != "index_values" else "index_code"
-            rc = ingest.receipts(ok.withColumnRenamed(sym, "symbol") if sym != "symbol" else ok, stream,
-                                 ["date"])
-            sink.write_receipts(rc, root)
+            sink.land_stream(ok, root, stream, epoch)
+            sink.quarantine(bad.withColumn("date", F.to_date("ts_event")), root, stream, epoch)
+            sink.write_receipts(ingest.receipts(ok, stream, str(epoch)), root, epoch)
             counts[stream] = ok.count()
             ok.unpersist()
-        sink.quarantine_parse_errors(ingest.parse_errors(batch), root)
+        sink.quarantine_parse_errors(ingest.parse_errors(batch), root, epoch)
     finally:
         batch.unpersist()
     return counts
@@ -74,13 +74,12 @@ def land_batch(batch: DataFrame, root: str) -> dict:
 
 def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
                  available_now: bool = False, interval: str = "60 seconds",
-                 max_files_per_trigger: int | None = None):
-    """Continuous landing.  Production triggers every 60 s (the
-    reference's flush deadline) and bounds a micro-batch by files per trigger
-    (the reference's 50 MB flush size maps to source-side batch limits);
+                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None):
+    """Continuous landing.  Production triggers every 60 s and bounds a
+    micro-batch by files or bytes per trigger (deadline and size of the flush);
     `available_now` drains what exists and stops."""
-    w = (message_stream(spark, source, max_files_per_trigger).writeStream
-         .foreachBatch(lambda df, _epoch: land_batch(df, root))
+    w = (message_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger).writeStream
+         .foreachBatch(lambda df, epoch: land_batch(df, root, epoch))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

@@ -33,11 +33,25 @@ def test_no_python_in_hot_path(spark, name):
     assert "Python" not in p and "ArrowEval" not in p
 
 
-def test_flagship_shuffles_each_input_once(spark):
-    p = plan(spark, "curate_daily_ohlcv")
-    assert p.count("Exchange hashpartitioning") == 2
+def test_flagship_limits_groups_below_the_shuffle(spark):
+    p = plan(spark, "curate_daily_ohlcv").split("== Initial Plan ==")[0]
+    assert p.count("Exchange hashpartitioning") == 3  # bars by (symbol, date), actions by their key, then both by symbol
     assert p.count("FileScan parquet") == 2
     assert "Join" not in p
+    below = p[p.index("Exchange hashpartitioning(date"):] if "Exchange hashpartitioning(date" in p else p
+    assert "WindowGroupLimit" in below and "Partial" in below
+
+
+@pytest.mark.parametrize("name, mark", [("ticks", "PartitionFilters: [isnotnull(date"), ("top_volume", "PushedFilters: [IsNotNull(date)")])
+def test_curated_scans_prune(spark, name, mark):
+    p = plan(spark, name)
+    assert "Scan ExistingRDD" not in p and mark in p
+
+
+def test_curated_scan_reads_named_columns_only(spark):
+    p = plan(spark, "spread_imbalance")
+    assert "Scan ExistingRDD" not in p
+    assert "bid_sz_1:bigint" in p and "bid_px_2" not in p
 
 
 def test_projection_pruned(spark):

@@ -173,12 +173,12 @@ def test_plan_chunks(spark):
 
 
 def test_source_priority_falls_through_on_error_only(spark):
-    rows = [("tcbs", 1, "A", "ok"), ("vci", 2, "A", "ok"),
-            ("tcbs", 1, "B", "error"), ("vci", 2, "B", "ok"),
-            ("tcbs", 1, "C", "error"), ("vci", 2, "C", "error")]
+    rows = [("primary", 1, "A", "ok"), ("secondary", 2, "A", "ok"),
+            ("primary", 1, "B", "error"), ("secondary", 2, "B", "ok"),
+            ("primary", 1, "C", "error"), ("secondary", 2, "C", "error")]
     df = spark.createDataFrame(rows, "source string, rank int, symbol string, status string")
     got = {r.symbol: (r.source, r.status) for r in refdata.source_priority(df).collect()}
-    assert got == {"A": ("tcbs", "ok"), "B": ("vci", "ok"), "C": (None, "all_sources_failed")}
+    assert got == {"A": ("primary", "ok"), "B": ("secondary", "ok"), "C": (None, "all_sources_failed")}
 
 
 def test_plan_chunks_edges(spark):
