@@ -220,9 +220,15 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = shared.groupBy("node").agg(F.min(sig).alias("sig"), F.max("n").alias("n"), F.count(F.lit(1)).alias("hits")).filter(
         F.col("hits") >= needed).select("node", "sig", "n", band.alias("band"))
     nodes = written(nodes, "nodes")
-    parts = nodes.groupBy("sig", "band").agg(F.sum("n").alias("total"), F.ceil(F.min("n") / EARLY).alias("least"))
-    blocks = nodes.join(parts, ["sig", "band"]).withColumn(
-        "block", F.xxhash64("sig", "band", F.pmod(F.xxhash64("node"), F.ceil(F.col("total") / BLOCK)))).select("node", "n", "band", "block", "least")
+    # only families larger than a block are salted: at most one in BLOCK shingles, counted before it is broadcast
+    large = written(nodes.groupBy("sig", "band").agg(F.sum("n").alias("total")).filter(F.col("total") > BLOCK).select(
+        F.col("sig").alias("__s"), F.col("band").alias("__b"), F.ceil(F.col("total") / BLOCK).alias("salts")), "large")
+    side = small_side(large, large.count())
+    salt = F.pmod(F.xxhash64("node"), F.coalesce("salts", F.lit(1).cast("long")))
+    # hits that two sets of the band's smallest size must have in common
+    least = F.ceil(F.floor(F.pow(F.lit(den / num), "band") * 0.999999) / EARLY)
+    blocks = nodes.join(side, (F.col("sig") == F.col("__s")) & (F.col("band") == F.col("__b")), "left").select(
+        "node", "n", "band", F.xxhash64("sig", "band", salt).alias("block"), least.alias("least"))
     blocks = written(blocks, "blocks")
     meets = shared.select("h", "node").join(blocks, "node").groupBy("h", "block").agg(
         F.first("band").alias("band"), F.first("least").alias("least"), F.min("node").alias("lo"), F.max("node").alias("hi"))
