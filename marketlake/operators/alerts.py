@@ -94,14 +94,14 @@ def suppress(alerts: DataFrame, id_col: str = "alert_id", key: str = "alert_key"
     targets = windowed.select(key, F.col(ts).alias("_t"), F.col(id_col).alias("jump"))
     edges = asof_backward(probes, targets, by=[key], left_key="_due", right_key="_t", values=["jump"],
                           strict=False, forward=True, right_order=["jump"],
-                          bucket=lambda c: F.date_trunc("DAY", c)).select("node", "jump")
+                          bucket=lambda c: F.date_trunc("HOUR", c)).select("node", "jump")
     edges = edges.checkpoint()
     if stats is not None:
         stats["input_and_edges_s"] = round(time.perf_counter() - t0, 2)
     # anchors: first alert at its timestamp, and nothing earlier within the TTL
     prev = asof_backward(windowed.select(key, id_col, ts, "_ttl"),
                          windowed.select(key, F.col(ts).alias("_pt")), by=[key], left_key=ts, right_key="_pt",
-                         values=["_pt"], strict=True, bucket=lambda c: F.date_trunc("DAY", c))
+                         values=["_pt"], strict=True, bucket=lambda c: F.date_trunc("HOUR", c))
     first_at_ts = windowed.groupBy(key, ts).agg(F.min(id_col).alias("node"))
     anchors = (prev.join(first_at_ts, [key, ts])
                .where(F.col(id_col) == F.col("node"))

@@ -136,7 +136,7 @@ def test_curated_views_and_ddl(spark, landed):
     db = f"market_{root[-6:].lower().replace('-', '_')}"
     for statement in src.curated_table_ddl(root, db):
         spark.sql(statement)
-    assert len(spark.catalog.listTables(db)) == len(ddl) - 1
+    assert len([t for t in spark.catalog.listTables(db) if not t.isTemporary]) == len(ddl) - 1
     spark.sql(f"MSCK REPAIR TABLE {db}.ticks")
     assert spark.table(f"{db}.ticks").count() == lk.curated_ticks.count()
     spark.sql(f"DROP DATABASE {db} CASCADE")

@@ -122,27 +122,62 @@ def test_bad_ticks_rejected(spark):
     assert sorted(r.msg_id for r in errs.collect()) == [2, 3]
 
 
+DOC_2026 = ('{"year": 2026, "trading_days": ["2026-01-02", "2026-01-05", "2026-01-06"], '
+            '"holidays": [{"date": "2026-01-01", "name": "New Year\'s Day"}, {"date": "2026-04-30", "name": "Reunification Day"}], '
+            '"sessions": {"equity": [["09:00", "11:30"], ["13:00", "14:45"]], '
+            '"derivative": [["08:45", "11:30"], ["13:00", "14:45"]]}}')
+
+
+def documents(spark, *docs):
+    return calendar.read_calendar(spark.createDataFrame([(d,) for d in docs], "value string"))
+
+
 def test_trading_day_flags(spark):
-    days = spark.createDataFrame([(D(2026, 1, 1) + dt.timedelta(days=i),) for i in range(150)], "date date")
-    probe = spark.createDataFrame([(D(2026, 1, 2),), (D(2026, 4, 30),), (D(2026, 1, 3),)], "date date")
-    got = {r.date: (r.is_trading_day, r.holiday_name) for r in calendar.trading_day_flags(probe, days).collect()}
-    assert got[D(2026, 1, 2)] == (True, None)
-    assert got[D(2026, 4, 30)] == (False, "Reunification Day")
-    assert got[D(2026, 1, 3)][0] is False
+    """A weekday that the document does not list is closed, with or without a holiday's name."""
+    probe = spark.createDataFrame([(D(2026, 1, 2),), (D(2026, 4, 30),), (D(2026, 1, 3),), (D(2026, 1, 7),)], "date date")
+    cal = documents(spark, DOC_2026)
+    got = {r.date: (r.is_trading_day, r.holiday_name) for r in calendar.trading_day_flags(probe, cal).collect()}
+    assert got == {D(2026, 1, 2): (True, None), D(2026, 4, 30): (False, "Reunification Day"), D(2026, 1, 3): (False, None),
+                   D(2026, 1, 7): (False, None)}
+
+
+def test_missing_days_follow_the_document(spark):
+    bars = spark.createDataFrame([("A", D(2026, 1, 2)), ("A", D(2026, 1, 6))], "symbol string, date date")
+    assert [r.date for r in calendar.missing_days(bars, documents(spark, DOC_2026)).collect()] == [D(2026, 1, 5)]
+    other = DOC_2026.replace('"2026-01-05", ', '')
+    assert calendar.missing_days(bars, documents(spark, other)).count() == 0
 
 
 def test_read_calendar_document(spark):
-    doc = ('{"year": 2026, "trading_days": ["2026-01-02", "2026-01-05"], '
-           '"holidays": [{"date": "2026-01-01", "name": "New Year\'s Day"}], '
-           '"sessions": {"equity": [["09:00", "11:30"], ["13:00", "14:45"]], '
-           '"derivative": [["08:45", "11:30"], ["13:00", "14:45"]]}}')
-    days, hol, ses = calendar.read_calendar(spark.createDataFrame([(doc,)], "value string"))
-    assert [r.date for r in days.orderBy("date").collect()] == [D(2026, 1, 2), D(2026, 1, 5)]
-    assert hol.first().name == "New Year's Day"
+    days, hol, ses = documents(spark, DOC_2026, "not json")
+    assert [r.date for r in days.orderBy("date").collect()] == [D(2026, 1, 2), D(2026, 1, 5), D(2026, 1, 6)]
+    assert hol.orderBy("date").first().name == "New Year's Day"
     eq = ses.where("calendar_class = 'equity' AND session_no = 1").first()
     assert eq.start_us == 9 * 3600 * 10**6 and eq.end_us == (11 * 3600 + 30 * 60) * 10**6
 
 
+def test_quoted_and_fractional_wire_numbers(spark):
+    rows = [(0, "tick", '{"S":"A","P":"850000","V":100.0,"T":"1700000000000","TID":"t","SEQ":7}'),
+            (1, "tick", '{"S":"A","P":"high","V":1,"T":1700000000000,"TID":"t","SEQ":7}')]
+    df = spark.createDataFrame(rows, "msg_id long, channel string, payload string").withColumn("ts_received", F.current_timestamp())
+    got = ingest.parse_ticks(df).collect()
+    assert [(r.msg_id, r.price, r.volume, r.seq) for r in got] == [(0, 850000, 100, 7)]
+    assert ingest.parse_errors(df).first().error == "missing:P"
+
+
+def test_zero_close_and_backward_gap(spark):
+    from marketlake.operators import analytics, research
+    daily = spark.createDataFrame([("A", D(2024, 1, 2), 0), ("A", D(2024, 1, 3), 5)], "symbol string, date date, close long") \
+        .withColumns({"high": F.col("close"), "low": F.col("close"), "volume": F.lit(1)})
+    assert research.symbol_kpis(daily).first().period_pct is None
+    assert research.symbol_summary(daily).first().change_pct is None
+    assert research.indexed(daily).orderBy("date").collect()[1].indexed is None
+    gaps = spark.createDataFrame([("ticks", D(2024, 1, 5), D(2024, 1, 2), "x"), ("ticks", D(2024, 1, 8), None, "y")],
+                                 "stream string, start date, end date, reason string")
+    out = analytics.gap_filled(daily.select("date"), gaps).where("gap_reason is not null").collect()
+    assert [(r.date, r.gap_reason) for r in out] == [(D(2024, 1, 8), "y")]
+
+
 def test_gaps_file_skips_bad_lines(spark):
     lines = ['{"stream": "ticks", "start": "2024-01-02", "end": "2024-01-03", "reason": "x"}',
              "not json", "", '{"stream": "ticks", "start": "soon", "end": "2024-01-05", "reason": "y"}']
@@ -220,12 +255,12 @@ def test_replay_sets_replay_of(spark):
 
 def test_in_session_bounds_inclusive_on_exchange_clock(spark):
     # 02:00 UTC = 09:00 local (open), 04:30 = 11:30 (close, inclusive), 04:30:01 just after;
-    # futures open at 08:45 local = 01:45 UTC; Saturday is never in session
+    # futures open at 08:45 local = 01:45 UTC; a day that is not listed is never in session
     t = dt.datetime
     rows = [(1, t(2024, 1, 2, 2, 0, 0), "equity"), (2, t(2024, 1, 2, 4, 30, 0), "equity"),
             (3, t(2024, 1, 2, 4, 30, 1), "equity"), (4, t(2024, 1, 2, 1, 45, 0), "future"),
-            (5, t(2024, 1, 2, 1, 45, 0), "equity"), (6, t(2024, 1, 6, 3, 0, 0), "equity")]
+            (5, t(2024, 1, 2, 1, 45, 0), "equity"), (6, t(2024, 1, 7, 3, 0, 0), "equity")]
     df = spark.createDataFrame(rows, "id int, ts_event timestamp, asset_class string")
-    days = spark.createDataFrame([(D(2024, 1, 1) + dt.timedelta(days=i),) for i in range(10)], "date date")
-    got = {r.id: r.in_session for r in calendar.in_session(df, days, calendar.sessions_table(spark)).collect()}
+    doc = DOC_2026.replace("2026", "2024")
+    got = {r.id: r.in_session for r in calendar.in_session(df, documents(spark, doc)).collect()}
     assert got == {1: True, 2: True, 3: False, 4: True, 5: False, 6: False}
