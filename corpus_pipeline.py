@@ -26,26 +26,31 @@ def _as_documents(df: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; lines above the limits leave the others."""
+    on_workers(spark)
     return _as_documents(quality.cleaned(docs.select(*COLUMNS)))
 
 
 def line_dedup_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on more than a fifth of a source's documents go."""
+    on_workers(spark)
     return _as_documents(line_dedup.drop_lines(docs, host_col="source"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    on_workers(spark)
     return jaccard.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated, cut or left out so that each source has its budget of words."""
+    on_workers(spark)
     return _as_documents(mixing.apply_mix(mixing.mix(docs.withColumn("size", word_count(F.col("text"))))))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences of 1024."""
+    on_workers(spark)
     return packing.packed(docs)
 
 

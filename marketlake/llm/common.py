@@ -16,6 +16,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\v\f\r"
 
 
+#: Bounds of an Arrow batch: rows, and bytes where Spark knows that setting.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: `spark.checkpoint.dir`, or one of this process in local mode."""
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -45,7 +49,12 @@ def small_side(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:
 
 def on_workers(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver has it, as spark.executorEnv.PYTHONPATH
-    would; a cluster that installs it needs nothing."""
+    would (a cluster that installs it needs nothing), and bound what a worker holds at once: whole texts
+    travel in Arrow batches, so batches are bounded by bytes and by few rows."""
+    for name, most in ARROW_BATCH.items():
+        now = spark.conf.get(name, None)
+        if now is None or not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     known = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
