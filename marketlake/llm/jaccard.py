@@ -268,11 +268,12 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                 similarity: Fraction | float = Fraction(3, 4)) -> DataFrame:
-    """The rows of `df` whose id is the smallest of its group; of rows that share an id, one."""
+    """The rows of `df` whose id is the smallest of its group; of rows that share an id, one.
+    Rows with a null id are one document here, after all others."""
     found = written(jaccard_join(df, id_col, text_col, k, similarity), "groups")
     gone = written(found.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(
         F.col(id_col).alias("__gone")).distinct(), "gone")
-    rest = df.join(small_side(gone, gone.count(), 1_000_000), F.col(id_col) == F.col("__gone"), "left_anti")
+    rest = df.join(small_side(gone, gone.count(), 1_000_000), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
     twice = written(found.groupBy(F.col(id_col).alias("__twice")).count().filter("count > 1").select("__twice"), "repeated")
     n = twice.count()
     if not n:
