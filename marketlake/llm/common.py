@@ -17,7 +17,7 @@ BLANKS = " \t\n\v\f\r"
 
 
 #: Bounds of an Arrow batch: rows, and bytes where Spark knows that setting.
-ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 500, "spark.sql.execution.arrow.maxBytesPerBatch": 2 << 20}
 
 
 def shared_dir(spark: SparkSession) -> str:
