@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import given_id, ordered_id, small_side, written
 from .components import components
-from .ngrams import (FREQUENT_MOST, batch_of, column, frequent_in, is_in, longs, shingles)
+from .ngrams import FREQUENT_MOST, Survey, batch_of, column, is_in, longs, shingles
 
 #: Shingles a block holds on average at most.
 BLOCK = 1 << 17
@@ -48,20 +48,25 @@ def node_of(s: np.ndarray) -> int:
 
 
 def _surveyed(batches: Iterator[pa.RecordBatch], k: int, schema: pa.Schema):
+    def told(h, c):
+        none = pa.nulls(len(h), pa.int64())
+        return batch_of(schema, pa.nulls(len(h), schema[0].type), none, none, longs(h), longs(c))
+    survey, known = Survey(), set()
     for b in batches:
         sets = [shingles(t.as_py(), k) for t in b.column(1)]
         n = np.array([len(s) for s in sets], np.int64)
-        yield batch_of(schema, b.column(0), n, [node_of(s) if len(s) else None for s in sets],
-                       pa.nulls(len(sets), pa.int64()), pa.nulls(len(sets), pa.int64()))
-        distinct = {node_of(s): s for s in sets if len(s)}
-        h, c = frequent_in(distinct.values(), len(sets))
-        none = pa.nulls(len(h), pa.int64())
-        yield batch_of(schema, pa.nulls(len(h), schema[0].type), none, none, longs(h), longs(c))
+        nodes = [node_of(s) if len(s) else None for s in sets]
+        none = pa.nulls(len(sets), pa.int64())
+        yield batch_of(schema, b.column(0), n, nodes, none, none)
+        new = [i for i, x in enumerate(nodes) if x is not None and not (x in known or known.add(x))]
+        yield told(*survey.add([sets[i] for i in new], len(sets)))
+    yield told(*survey.rest())
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, often: np.ndarray, schema: pa.Schema):
+    known = set()  # a class is posted once a task
     for b in batches:
-        known, keys, nodes, sizes, heavy = set(), [], [], [], []
+        keys, nodes, sizes, heavy = [], [], [], []
         for t in b.column(1):
             s = shingles(t.as_py(), k)
             if not len(s) or (node := node_of(s)) in known:

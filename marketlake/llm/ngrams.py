@@ -12,7 +12,7 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 2**64)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-#: A hash counts as frequent if it stands in so large a share of a batch's rows, and in three at least.
+#: A hash counts as frequent if it stands in so large a share of the rows surveyed together, and in three at least.
 FREQUENT_SHARE = 1 / 400
 #: At most so many frequent hashes are sent to the tasks; the others are treated as any hash.
 FREQUENT_MOST = 1 << 18
@@ -62,14 +62,30 @@ def shingles(text: str | None, k: int = 5) -> np.ndarray:
     return np.unique(runs(h, min(k, len(h))))
 
 
-def frequent_in(parts: Iterable[np.ndarray], rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes that many of a batch's rows hold, with their counts."""
-    parts = [p for p in parts if len(p)]
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h, n = np.unique(np.concatenate(parts), return_counts=True)
-    often = n >= max(3, rows * FREQUENT_SHARE)
-    return h[often], n[often]
+#: Rows that are surveyed together for frequent hashes.
+SURVEY_ROWS = 4096
+
+
+class Survey:
+    """Hashes that many of some thousand rows hold, with their counts; `add` and `rest` return them as
+    they are found."""
+
+    def __init__(self):
+        self.parts: list[np.ndarray] = []
+        self.rows = 0
+
+    def add(self, parts: Iterable[np.ndarray], rows: int) -> tuple[np.ndarray, np.ndarray]:
+        self.parts += [p for p in parts if len(p)]
+        self.rows += rows
+        return self.rest() if self.rows >= SURVEY_ROWS else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+    def rest(self) -> tuple[np.ndarray, np.ndarray]:
+        parts, rows, self.parts, self.rows = self.parts, self.rows, [], 0
+        if not parts:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        h, n = np.unique(np.concatenate(parts), return_counts=True)
+        often = n >= max(3, rows * FREQUENT_SHARE)
+        return h[often], n[often]
 
 
 def is_in(x: np.ndarray, table: np.ndarray) -> np.ndarray:

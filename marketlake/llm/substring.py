@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import given_id, ordered_id, small_side, written
-from .ngrams import FREQUENT_MOST, batch_of, column, frequent_in, is_in, longs, runs, word_hashes, words
+from .ngrams import FREQUENT_MOST, Survey, batch_of, column, is_in, longs, runs, word_hashes, words
 
 SPAN = 20
 #: Entries of the per-document lists that a broadcast may hold; beyond, both sides are shuffled.
@@ -50,13 +50,16 @@ def _hashes(t) -> np.ndarray:
 
 
 def _frequent(batches: Iterator[pa.RecordBatch], span: int, schema: pa.Schema):
+    survey = Survey()
     for b in batches:
         keys = []
         for t in b.column(0):
             g, at, _ = anchors(_hashes(t), span)
             keys.append(g[at])
-        h, c = frequent_in(keys, b.num_rows)
+        h, c = survey.add(keys, b.num_rows)
         yield batch_of(schema, longs(h), longs(c))
+    h, c = survey.rest()
+    yield batch_of(schema, longs(h), longs(c))
 
 
 def _anchored(batches: Iterator[pa.RecordBatch], span: int, often: np.ndarray, schema: pa.Schema):
