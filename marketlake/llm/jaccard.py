@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import given_id, ordered_id, small_side, written
@@ -50,14 +50,14 @@ def node_of(s: np.ndarray) -> int:
 def _surveyed(batches: Iterator[pa.RecordBatch], k: int, schema: pa.Schema):
     def told(h, c):
         none = pa.nulls(len(h), pa.int64())
-        return batch_of(schema, pa.nulls(len(h), schema[0].type), none, none, longs(h), longs(c))
+        return batch_of(schema, none, none, none, none, longs(h), longs(c))
     survey, known = Survey(), set()
     for b in batches:
-        sets = [shingles(t.as_py(), k) for t in b.column(1)]
+        sets = [shingles(t.as_py(), k) for t in b.column(2)]
         n = np.array([len(s) for s in sets], np.int64)
         nodes = [node_of(s) if len(s) else None for s in sets]
         none = pa.nulls(len(sets), pa.int64())
-        yield batch_of(schema, b.column(0), n, nodes, none, none)
+        yield batch_of(schema, b.column(0), b.column(1), n, nodes, none, none)
         new = [i for i, x in enumerate(nodes) if x is not None and not (x in known or known.add(x))]
         yield told(*survey.add([sets[i] for i in new], len(sets)))
     yield told(*survey.rest())
@@ -67,7 +67,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, oft
     known = set()  # a class is posted once a task
     for b in batches:
         keys, nodes, sizes, heavy = [], [], [], []
-        for t in b.column(1):
+        for t in b.column(2):
             s = shingles(t.as_py(), k)
             if not len(s) or (node := node_of(s)) in known:
                 continue
@@ -181,6 +181,12 @@ def _joined(num: int, den: int):
     return run
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A row is known by its id and its text, so rows that share an id, or have none, are told apart."""
+    i, t = F.col(id_col), F.col(text_col)
+    return F.xxhash64(i.cast("string"), i.isNull(), t, t.isNull())  # nulls leave a hash as it is
+
+
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                  similarity: Fraction | float = Fraction(3, 4)) -> DataFrame:
     """(id, n_shingles long, component_id): component_id is the smallest id reachable by links of
@@ -190,9 +196,17 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole sequence is the one shingle; equal sets always link (similarity 1), repeated rows too.  Ids are integers; rows with a null id come after all others.  An empty table gives an empty one.
     Shingles and sets are compared by 64-bit hashes.
     """
+    return _grouped(df, id_col, text_col, k, similarity).select(
+        given_id(F.col("id")).alias(id_col), F.col("n").alias("n_shingles"),
+        given_id(F.coalesce(F.col("first.id"), F.col("id"))).alias("component_id"))
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str, k: int, similarity: Fraction | float) -> DataFrame:
+    """(id, row, n, first struct<id,row>) for each row: its key and the first row of its group by id, then by
+    key; null without words."""
     share = Fraction(similarity).limit_denominator(10_000)
     num, den = share.numerator, share.denominator
-    docs = df.select(ordered_id(F.col(id_col)).alias("__id"), F.col(text_col).alias("__text"))
+    docs = df.select(ordered_id(F.col(id_col)).alias("__id"), row_key(id_col, text_col).alias("__row"), F.col(text_col).alias("__text"))
     spark = df.sparkSession
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -201,7 +215,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         s = StructType.fromDDL(ddl)
         return s, to_arrow_schema(s)
 
-    s, a = typed("id long, n long, node long, h long, c long")
+    s, a = typed("id long, row long, n long, node long, h long, c long")
     survey = written(docs.mapInArrow(lambda it: _surveyed(it, k, a), s), "survey")
     often = np.sort(np.array([r[0] for r in survey.filter("h is not null").groupBy("h").agg(F.sum("c").alias("c"))
                               .orderBy(F.desc("c"), "h").limit(FREQUENT_MOST).select("h").collect()], np.int64).view(np.uint64))
@@ -249,11 +263,12 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pairs = written(pairs, "pairs")
 
     # the sets of the classes in them, from one document of each class
-    ids = survey.filter("node is not null").groupBy("node").agg(F.min("id").alias("__need"))
-    need = written(ids.join(blocks.select("node", "block"), "node"), "need")
+    least = survey.filter("node is not null").groupBy("node").agg(F.min(F.struct("id", "row")).alias("least"))
+    need = written(least.select("node", F.col("least.id").alias("__need"), F.col("least.row").alias("__own")).join(
+        blocks.select("node", "block"), "node"), "need")
     some = small_side(need, need.count(), 1_000_000)
     ns, na = typed("node long, block long, set binary")
-    sets = docs.join(some, F.col("__id") == F.col("__need")).select("__text", "node", "block").mapInArrow(
+    sets = docs.join(some, (F.col("__id") == F.col("__need")) & (F.col("__row") == F.col("__own"))).select("__text", "node", "block").mapInArrow(
         lambda it: _sets(it, k, na), ns)
     sides = pairs.select("left", "right", F.col("left").alias("block"), F.lit(True).alias("is_left"), (F.col("left") == F.col("right")).alias("is_right")) \
         .unionByName(pairs.filter("left <> right").select("left", "right", F.col("right").alias("block"), F.lit(False).alias("is_left"), F.lit(True).alias("is_right")))
@@ -262,27 +277,26 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         _joined(num, den), "a long, b long")
     roots = components(edges)
 
-    least = survey.filter("node is not null").groupBy("node").agg(F.min("id").alias("least"))
     named = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = named.join(groups, "root").select(F.col("node").alias("__node"), "component_id")
-    return survey.filter("h is null").join(by_node, F.col("node") == F.col("__node"), "left").select(
-        given_id(F.col("id")).alias(id_col), F.col("n").alias("n_shingles"),
-        given_id(F.coalesce("component_id", "id")).alias("component_id"))
+    groups = named.groupBy("root").agg(F.min("least").alias("first"))
+    by_node = named.join(groups, "root").select(F.col("node").alias("__node"), "first")
+    return survey.filter("h is null").join(by_node, F.col("node") == F.col("__node"), "left").select("id", "row", "n", "first")
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                 similarity: Fraction | float = Fraction(3, 4)) -> DataFrame:
-    """The rows of `df` whose id is the smallest of its group; of rows that share an id, one.
-    Rows with a null id are one document here, after all others."""
-    found = written(jaccard_join(df, id_col, text_col, k, similarity), "groups")
-    gone = written(found.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("__gone")).distinct(), "gone")
-    rest = df.join(small_side(gone, gone.count(), 1_000_000), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
-    twice = written(found.groupBy(F.col(id_col).alias("__twice")).count().filter("count > 1").select("__twice"), "repeated")
+    """One row of `df` for each group: the one of the smallest id, null ids last, then of the smallest key of
+    id and text.  Rows are judged by their own text, whatever their ids: unlike rows that share an id, or have
+    none, all stay.  Rows without words are in no group; rows equal in id and text are one."""
+    found = written(_grouped(df, id_col, text_col, k, similarity), "groups")
+    gone = written(found.filter(F.col("row") != F.col("first.row")).select(F.col("row").alias("__gone")).distinct(), "gone")
+    rows = df.withColumn("__row", row_key(id_col, text_col))
+    rest = rows.join(small_side(gone, gone.count(), 1_000_000), F.col("__row") == F.col("__gone"), "left_anti")
+    twice = written(found.groupBy(F.col("row").alias("__twice")).count().filter("count > 1").select("__twice"), "repeated")
     n = twice.count()
     if not n:
-        return rest
+        return rest.drop("__row")
     side = small_side(twice, n, 1_000_000)
-    same_id = F.col(id_col).eqNullSafe(F.col("__twice"))
-    return rest.join(side, same_id, "left_anti").unionByName(rest.join(side, same_id, "left_semi").dropDuplicates([id_col]))
+    same_row = F.col("__row") == F.col("__twice")
+    return rest.join(side, same_row, "left_anti").unionByName(
+        rest.join(side, same_row, "left_semi").dropDuplicates(["__row"])).drop("__row")

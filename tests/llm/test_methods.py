@@ -127,6 +127,19 @@ def test_jaccard_over_many_blocks(spark, monkeypatch):
     assert got == {i: root(i) for i in range(len(docs))}
 
 
+def test_one_of_each_judges_rows_by_their_text(spark):
+    body = lambda g, *new: " ".join([f"g{g}w{j}" for j in range(60)] + list(new))
+    rows = [(1, body(1)), (None, body(1, "near")), (None, body(2)), (None, body(3)), (None, body(3).upper()),  # without ids
+            (7, body(4)), (7, body(5)), (7, body(1, "copy")),  # one id, three texts
+            (8, body(6)), (8, body(6)), (9, body(6, "late")),  # a repeated row and its near copy
+            (None, body(10)), (None, body(10)), (None, "5"), (5, None), (5, None), (11, ""), (12, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((x.doc_id, x.text.lower() if x.text else x.text) for x in jaccard.one_of_each(df).collect() if x.doc_id is not None)
+    assert got == sorted([(1, body(1)), (7, body(4)), (7, body(5)), (8, body(6)), (5, None), (11, ""), (12, "")])
+    assert sorted(x.text.lower() for x in jaccard.one_of_each(df).collect() if x.doc_id is None) == sorted(
+        [body(2), body(3), body(10), "5"])
+
+
 def test_near_duplicates_over_many_cells(spark):
     r = np.random.RandomState(0)
     x = r.randn(40, 6)[r.randint(0, 40, 500)] + 0.12 * r.randn(500, 6)
