@@ -102,3 +102,23 @@ def test_hard_rows(spark, tmp_path):
         d.selectExpr("*", "'c' as size", "1 as taken", "'x' as host", "2 as __key").write.parquet(f"{where}/documents.parquet")
         out = cp.run(spark, where).collect()
         assert {r.doc_id for r in out} <= {1, 5, 6} and bool(out) == (name == "hard")
+
+
+def test_hard_rows_are_kept_exactly(spark, tmp_path):
+    """Rows without an id are documents of their own: the near copy goes, the unlike ones stay, to the end."""
+    text = lambda g: " ".join(f"{g}{i}" for i in range(80))
+    base = text("word")
+    data = [(1, base, "en", None, 1), (1, base, "en", None, 1), (2, None, None, "s", None), (3, "", "en", "s", 0),
+            (None, base + " more words", "en", "s", 3), (None, text("lone"), "en", "s", 3), (None, text("apart"), "en", None, 3),
+            (4, "x y z", "en", "s", 5), (5, base.replace("word7", "other"), None, "s", 9),
+            (6, " ".join(f"other{i}" for i in range(30000)), "de", "t", 1)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in cp.STAGES[:3]:
+        docs = written(stage(spark, docs, str(tmp_path)), name)
+    assert Counter((r[0], r[1]) for r in rows(docs)) == Counter(
+        [(1, base), (5, data[8][1]), (6, data[9][1]), (None, text("lone")), (None, text("apart"))])
+    for name, stage in cp.STAGES[3:4]:
+        docs = written(stage(spark, docs, str(tmp_path)), name)
+    assert {r[1] for r in rows(docs) if r[0] is None} >= {text("lone"), text("apart")}
+    assert {r.doc_id for r in cp.run(spark, str(tmp_path)).collect()} == {1, 5, 6, None}
