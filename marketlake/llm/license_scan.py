@@ -1,6 +1,7 @@
 """License scans as an exact set-similarity join (operator 10, native).
 
-Templates and text blocks (lines) are sets of words.  A block matches a template if it holds at least
+Templates and text blocks (lines, and windows of consecutive words as long as the template, which go on
+over line breaks) are sets of words.  A block matches a template if it holds at least
 `containment` of the template's words.  Words are ordered by their document frequency in the whole
 corpus, rarest first: a match must share one of the template's rarest words (prefix filter), have
 enough words (length filter) and enough words left after the shared one (positional filter);
@@ -11,6 +12,8 @@ templates and the inverted index of prefixes are bounded by the template list, w
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,44 +68,107 @@ def prefix_index(ranks: dict[str, int], templates, containment: float) -> list[t
     return out
 
 
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _any(conditions) -> Column:
+    return reduce(or_, conditions, F.lit(False))
+
+
 def block_matches(df: DataFrame, text_col: str = "text", templates=TEMPLATES, containment: float = 0.9) -> Column:
-    """For each text the array of (label, score, longest) of the templates that one of its lines matches;
-    `longest` tells the line's longest templates from those that are parts of them.
+    """For each text the array of (label, score, longest) of the templates that it matches, one entry each: by the
+    words of a line, or by a window of consecutive words as long as the template, which a line break does not cut.
+    `longest` is false if wherever the template matches its words are part of those of a longer one.
 
     The inverted index of template prefixes is the small side of the join: its rows are fixed by
-    the template list, so it is folded into the plan and each line probes it in place."""
+    the template list, so it is folded into the plan and each block probes it in place."""
     ranks = word_ranks(df, text_col, templates)
     index = prefix_index(ranks, templates, containment)
     vocab = F.array(*[F.lit(w) for w in sorted(ranks, key=ranks.__getitem__)])
     prefix_words = sorted({x[0] for x in index})
     gate = r"(?i)(?<![0-9a-z\x{80}-\x{10FFFF}])(?:" + "|".join(prefix_words) + r")(?![0-9a-z\x{80}-\x{10FFFF}])"
-
-    def probe(line: Column) -> Column:
-        # array_intersect keeps the order of the first array: the line's template words, rarest first
-        own = F.array_intersect(vocab, tokens(line))
-
-        def by_template(no: int) -> Column:
-            label, size, need, words = next((x[2], x[4], x[5], x[6]) for x in index if x[1] == no)
-            sorted_words = F.array(*[F.lit(w) for w in words])
-
-            def at(i: int, w: str) -> Column:  # the shared prefix word stands at i in the template, at p in the line
-                p = F.array_position(own, F.lit(w))
-                return (p > 0) & (F.lit(size - i) >= need) & (F.size(own) - p + 1 >= need - i)
-            hit = at(0, words[0])
-            for i, w in enumerate(words[1: size - need + 1], 1):
-                hit = hit | at(i, w)
-            share = F.size(F.array_intersect(own, sorted_words))
-            return F.when((F.size(own) >= need) & hit & (share >= need),
-                          F.struct(F.lit(label).alias("label"), (share / F.lit(float(size))).alias("score"), F.lit(size).alias("size")))
-        return F.array_compact(F.array(*[by_template(no) for no in range(len(templates))]))
-
-    def longest(found: Column) -> Column:  # a longer notice that matches explains the shorter ones in its line
-        return F.transform(found, lambda m: F.struct(m["label"].alias("label"), m["score"].alias("score"),
-                                                     (m["size"] == F.array_max(found["size"])).alias("longest")))
-
-    # only lines that hold a prefix word can match
-    lines = F.filter(F.split(F.col(text_col), "\n", -1), lambda x: x.rlike(gate))
-    return F.when(F.col(text_col).rlike(gate), F.flatten(F.transform(lines, lambda x: longest(probe(x)))))
+    parts = {x[1]: (x[2], x[4], x[5], x[6]) for x in index}  # no -> label, size, needed, words in rank order
+    length = [len(t.split()) for _, t in templates]
+    # a longer template explains a match only if it has enough of the shorter one's words
+    longer = {no: [o for o, (_, m, _, ws) in parts.items() if m > size and len(set(words) & set(ws)) >= need]
+              for no, (_, size, need, words) in parts.items()}
+
+    def words_of(no: int) -> Column:
+        return F.array(*[F.lit(w) for w in parts[no][3]])
+
+    def in_line(own: Column, no: int) -> Column:
+        """Whether a line's template words, rarest first, hold enough of the template."""
+        _, size, need, words = parts[no]
+
+        def at(i: int, w: str) -> Column:  # the shared prefix word stands at i in the template, at p in the line
+            p = F.array_position(own, F.lit(w))
+            return (p > 0) & (F.lit(size - i) >= need) & (F.size(own) - p + 1 >= need - i)
+        hit = at(0, words[0])
+        for i, w in enumerate(words[1: size - need + 1], 1):
+            hit = hit | at(i, w)
+        return (F.size(own) >= need) & hit & (F.size(F.array_intersect(own, words_of(no))) >= need)
+
+    def windows(w: Column, no: int) -> Column:
+        """(at, n) of the windows of `w` that hold n words of the template, enough of them, and start with one."""
+        _, size, need, words = parts[no]
+        far, mine = length[no], words_of(no)
+        prefix = F.array(*[F.lit(x) for x in words[: size - need + 1]])
+        near = F.filter(F.transform(w, lambda x, i: F.when(F.array_contains(prefix, x), i)), lambda i: i.isNotNull())
+
+        def around(i: Column) -> Column:
+            lo = F.greatest(i - (far - 1), F.lit(0))
+            enough = F.size(F.array_intersect(F.slice(w, lo + 1, 2 * far - 1), mine)) >= need
+            starts = F.filter(F.sequence(lo, i), lambda s: F.array_contains(mine, F.get(w, s)))
+            counted = F.transform(starts, lambda s: F.struct(
+                s.alias("at"), F.size(F.array_intersect(F.slice(w, s + 1, far), mine)).alias("n")))
+            return F.when(enough, F.filter(counted, lambda x: x["n"] >= need)).otherwise(
+                F.array().cast("array<struct<at:int,n:int>>"))
+        # the words must be there at all before places are looked for
+        return F.when(F.size(F.array_intersect(w, mine)) >= need, F.array_distinct(F.flatten(F.transform(near, around)))).otherwise(
+            F.array().cast("array<struct<at:int,n:int>>"))
+
+    def whole(w: Column, found: Column, no: int) -> Column:
+        """Whether a window stands in no window of a longer template that has all its matched words."""
+        mine = words_of(no)
+
+        def within(p: Column, other: int) -> Column:
+            theirs = words_of(other)
+            return F.exists(windows(w, other), lambda q: F.forall(
+                F.sequence(p["at"], F.least(p["at"] + (length[no] - 1), F.size(w) - 1)),
+                lambda i: ~F.array_contains(mine, F.get(w, i)) | (
+                    (i >= q["at"]) & (i < q["at"] + length[other]) & F.array_contains(theirs, F.get(w, i)))))
+        return F.exists(found, lambda p: ~_any(within(p, o) for o in longer[no]))
+
+    def alone(line: Column, no: int) -> Column:
+        """Whether a line matches by words that neither stand together nor are all a longer template's."""
+        own = line["own"]
+        mine = F.array_intersect(own, words_of(no))
+        explained = _any(in_line(own, o) & (F.size(F.array_except(mine, words_of(o))) == 0) for o in longer[no])
+        return in_line(own, no) & ~explained & (F.size(windows(line["w"], no)) == 0)
+
+    def by_template(lines: Column, w: Column, no: int) -> Column:
+        label, size, _, _ = parts[no]
+        in_lines = F.transform(F.filter(lines, lambda x: in_line(x["own"], no)),
+                               lambda x: F.size(F.array_intersect(x["own"], words_of(no))))
+
+        def told(found: Column) -> Column:
+            most = F.array_max(F.concat(in_lines, found["n"]))
+            own = F.lit(True) if not longer[no] else whole(w, found, no) | F.exists(lines, lambda x: alone(x, no))
+            return F.when(most.isNotNull(), F.struct(F.lit(label).alias("label"), (most / F.lit(float(size))).alias("score"),
+                                                     own.alias("longest")))
+        return _let(windows(w, no), told)
+
+    def probe(text: Column) -> Column:
+        # only lines that hold a prefix word can match by themselves; array_intersect keeps the order of the
+        # first array: the line's template words, rarest first
+        lines = F.transform(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(gate)), lambda x: _let(
+            tokens(x), lambda w: F.struct(w.alias("w"), F.array_intersect(vocab, w).alias("own"))))
+        return _let(lines, lambda x: _let(tokens(text), lambda w: F.array_compact(
+            F.array(*[by_template(x, w, no) for no in range(len(templates))]))))
+
+    return F.when(F.col(text_col).rlike(gate), probe(F.col(text_col)))
 
 
 def scan(df: DataFrame, text_col: str = "text", phrases=PHRASES, templates=TEMPLATES,
@@ -112,8 +178,8 @@ def scan(df: DataFrame, text_col: str = "text", phrases=PHRASES, templates=TEMPL
     and labels (base ones and those of the longest matches).
 
     A null text counts as empty; empty texts have no words, hits or matches; words match across blanks and
-    punctuation, so phrases also match across lines, while templates match within a line.  Repeated rows
-    get equal results.  An empty table gives an empty one.  A column of `df` named like a result is replaced.
+    punctuation, so phrases also match across lines, and so do templates, whose words may also be spread over
+    one line.  Repeated rows get equal results.  An empty table gives an empty one.  A column of `df` named like a result is replaced.
     """
     df = df.drop("n_words", "base_hits", "base_labels", "matches", "labels")
     text = F.col(text_col)

@@ -82,6 +82,22 @@ def test_license_join_is_exact(spark):
             assert got[i] == want, (line, need)
 
 
+def _license_rows(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {x.doc_id: (x.labels, round(x.score, 9)) for x in license_scan.report(license_scan.scan(df)).collect()}
+
+
+def test_license_notices_over_line_breaks(spark):
+    prose = " ".join(WORDS * 20)
+    got = _license_rows(spark, [
+        f"{prose}\n * Redistribution and use in source and binary forms, with or without\n * modification, are permitted\n{prose}",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software",
+        f"This Source Code Form is subject to the terms of the Mozilla Public\r\n# License, v. 2.0. {prose}",
+        "Licensed under CC\nBY-NC 4.0", "Licensed\nunder\nCC\nBY\n4.0",
+        "Redistribution and use in source\n" + prose + "\nand binary forms, with or without modification, are permitted"])
+    assert got == {0: ("bsd", 1.0), 1: ("mit", 1.0), 2: ("mpl", 1.0), 3: ("cc-by-nc", 1.0), 4: ("cc-by", 1.0), 5: ("", 0.0)}
+
+
 @pytest.mark.parametrize("share", [Fraction(1, 2), Fraction(3, 4), Fraction(9, 10)])
 def test_divide_skip_equals_counting(share):
     r = random.Random(9)
