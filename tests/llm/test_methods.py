@@ -98,6 +98,17 @@ def test_license_notices_over_line_breaks(spark):
     assert got == {0: ("bsd", 1.0), 1: ("mit", 1.0), 2: ("mpl", 1.0), 3: ("cc-by-nc", 1.0), 4: ("cc-by", 1.0), 5: ("", 0.0)}
 
 
+def test_license_keeps_unlike_notices_of_a_line(spark):
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    got = _license_rows(spark, [
+        "Licensed under the Apache License, Version 2.0. Docs are licensed under CC BY-NC 4.0.", f"{mpl} {bsd}", f"{bsd}\n{mpl}",
+        "Licensed under CC BY-NC 4.0.", "Licensed under CC BY-SA 4.0. Licensed under CC BY 4.0.",
+        "Licensed under CC BY-NC 4.0\nand, for the figures, licensed under CC BY 4.0"])
+    assert {i: x[0] for i, x in got.items()} == {
+        0: "apache,cc-by-nc", 1: "bsd,mpl", 2: "bsd,mpl", 3: "cc-by-nc", 4: "cc-by,cc-by-sa", 5: "cc-by,cc-by-nc"}
+
+
 @pytest.mark.parametrize("share", [Fraction(1, 2), Fraction(3, 4), Fraction(9, 10)])
 def test_divide_skip_equals_counting(share):
     r = random.Random(9)
