@@ -19,10 +19,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import given_id, ordered_id, small_side, written
+from .common import given_id, ordered_id, row_key, small_side, written
 from .components import components
 from .ngrams import FREQUENT_MOST, Survey, batch_of, column, is_in, longs, shingles
 
@@ -181,12 +181,6 @@ def _joined(num: int, den: int):
     return run
 
 
-def row_key(id_col: str, text_col: str) -> Column:
-    """A row is known by its id and its text, so rows that share an id, or have none, are told apart."""
-    i, t = F.col(id_col), F.col(text_col)
-    return F.xxhash64(i.cast("string"), i.isNull(), t, t.isNull())  # nulls leave a hash as it is
-
-
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                  similarity: Fraction | float = Fraction(3, 4)) -> DataFrame:
     """(id, n_shingles long, component_id): component_id is the smallest id reachable by links of

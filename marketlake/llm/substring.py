@@ -6,7 +6,7 @@ kept.  Anchors that occur twice are nodes of the graph, and successive ones of a
 large that successive anchors overlap, so an edge fixes the words between.  Where all occurrences of a node
 follow the same node at the same distance, and both occur equally often, the path does not branch and is
 compacted: all windows inside share the fate of their anchor, whose source coordinates (document,
-place) tell its first occurrence.  Only windows across branches are compared one by one.
+row key, place) tell its first occurrence.  Only windows across branches are compared one by one.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import given_id, ordered_id, small_side, written
+from .common import given_id, ordered_id, row_key, small_side, written
 from .ngrams import FREQUENT_MOST, Survey, batch_of, column, is_in, longs, runs, word_hashes, words
 
 SPAN = 20
@@ -63,22 +63,23 @@ def _frequent(batches: Iterator[pa.RecordBatch], span: int, schema: pa.Schema):
 
 
 def _anchored(batches: Iterator[pa.RecordBatch], span: int, often: np.ndarray, schema: pa.Schema):
-    """A row for each anchor that is not frequent: hash, document, place, the anchor before and its distance."""
+    """A row for each anchor that is not frequent: hash, document, row key, place, the anchor before and its distance."""
     for b in batches:
-        ids, keys, places, before, gaps = [], [], [], [], []
-        for i, t in zip(b.column(0), b.column(1), strict=True):
+        ids, rows, keys, places, before, gaps = [], [], [], [], [], []
+        for i, r, t in zip(*b.columns, strict=True):
             g, at, _ = anchors(_hashes(t), span)
             if not len(at):
                 continue
             key = g[at]
             rare = ~is_in(key, often)
-            ids += [i] * int(rare.sum())
+            ids.append(np.full(int(rare.sum()), i.as_py(), np.int64))
+            rows.append(np.full(int(rare.sum()), r.as_py(), np.int64))
             keys.append(key[rare])
             places.append(at[rare])
             before.append(np.append(np.uint64(0), key[:-1])[rare])
             gaps.append(np.diff(at, prepend=at[0])[rare])  # 0: no anchor before
         if keys:
-            yield batch_of(schema, longs(np.concatenate(keys)), pa.array(ids, schema[1].type),
+            yield batch_of(schema, longs(np.concatenate(keys)), np.concatenate(ids), np.concatenate(rows),
                            np.concatenate(places).astype(np.int32), longs(np.concatenate(before)),
                            np.concatenate(gaps).astype(np.int8))
 
@@ -89,19 +90,19 @@ def _nodes(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
     got = [b for b in batches if b.num_rows]
     if not got:
         return
-    h, doc, at, before, gap = (column(got, i) for i in range(5))
-    order = np.lexsort((at, doc, h))
-    h, doc, at, before, gap = h[order], doc[order], at[order], before[order], gap[order]
+    h, doc, row, at, before, gap = (column(got, i) for i in range(6))
+    order = np.lexsort((at, row, doc, h))
+    h, doc, row, at, before, gap = h[order], doc[order], row[order], at[order], before[order], gap[order]
     start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
     count = np.diff(np.append(start, len(h)))
     group = np.repeat(np.arange(len(start)), count)
     odd = (before != before[start][group]) | (gap != gap[start][group]) | (gap == 0)
     one_way = np.bincount(group, weights=odd, minlength=len(start)) == 0
-    first = (doc == doc[start][group]) & (at == at[start][group])
+    first = (row == row[start][group]) & (at == at[start][group])
     fate = count[group].astype(np.int64) * 4 + one_way[group] * 2 + first
     keep = count[group] > 1
     if keep.any():
-        yield batch_of(schema, doc[keep], at[keep], fate[keep])
+        yield batch_of(schema, row[keep], at[keep], fate[keep])
 
 
 class Windows:
@@ -142,28 +143,29 @@ class Windows:
 def _opened(batches: Iterator[pa.RecordBatch], span: int, often: np.ndarray, schema: pa.Schema):
     """Hashes of the open windows; equal ones of a batch give their first only."""
     for b in batches:
-        ids, keys, places = [], [], []
-        for i, t, p, f in zip(*b.columns, strict=True):
+        ids, rows, keys, places = [], [], [], []
+        for i, r, t, p, f in zip(*b.columns, strict=True):
             w = Windows(t.as_py(), span, often, p.as_py(), f.as_py())
             if len(w.open):
                 ids.append(np.full(len(w.open), i.as_py(), np.int64))
+                rows.append(np.full(len(w.open), r.as_py(), np.int64))
                 keys.append(runs(w.h, span)[w.open])
                 places.append(w.open)
         if keys:
-            yield _firsts_of(np.concatenate(keys), np.concatenate(ids), np.concatenate(places), schema)
+            yield _firsts_of(*map(np.concatenate, (keys, ids, rows, places)), schema)
 
 
-def _firsts_of(key: np.ndarray, doc: np.ndarray, at: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
-    order = np.lexsort((at, doc, key))
-    key, doc, at = key[order], doc[order], at[order]
+def _firsts_of(key: np.ndarray, doc: np.ndarray, row: np.ndarray, at: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+    order = np.lexsort((at, row, doc, key))
+    key, doc, row, at = key[order], doc[order], row[order], at[order]
     new = np.append(True, key[1:] != key[:-1])
-    return batch_of(schema, longs(key[new]), doc[new], at[new].astype(np.int32))
+    return batch_of(schema, longs(key[new]), doc[new], row[new], at[new].astype(np.int32))
 
 
 def _firsts(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
     got = [b for b in batches if b.num_rows]
     if got:
-        yield _firsts_of(*(column(got, i) for i in range(3)), schema)
+        yield _firsts_of(*(column(got, i) for i in range(4)), schema)
 
 
 def _removed(batches: Iterator[pa.RecordBatch], span: int, often: np.ndarray, schema: pa.Schema):
@@ -192,13 +194,12 @@ def _removed(batches: Iterator[pa.RecordBatch], span: int, often: np.ndarray, sc
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
     """(id, n_words, n_removed, spans array<struct<start,end>>, kept): each row's words without those in
-    windows of `span` words that also start earlier: at a smaller id, or earlier in the same document.
+    windows of `span` words that also start earlier: at a smaller id, or earlier in the same row.
 
     `spans` are the removed runs of words, end exclusive; `kept` joins the other words by one space.  A null
-    text has no words; texts shorter than `span` words keep all.  Ids are integers, and rows of one id
-    have one text; they are one document at the same places, so a repeated row removes nothing from its twin.
-    Rows with a null id come after all others.  An empty table
-    gives an empty one.  Windows and k-mers are compared by 64-bit hashes.
+    text has no words; texts shorter than `span` words keep all.  Ids are integers; rows with a
+    null id come after all others, and rows of one id or none by a key of id and text.  Rows equal in both are
+    one document, so a repeated row removes nothing from its twin.  An empty table gives an empty one.  Windows and k-mers are compared by 64-bit hashes.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -207,29 +208,29 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         s = StructType.fromDDL(ddl)
         return s, to_arrow_schema(s)
 
-    docs = df.select(ordered_id(F.col(id_col)).alias("doc"), F.col(text_col).alias("text"))
+    docs = df.select(ordered_id(F.col(id_col)).alias("doc"), row_key(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
     spark = df.sparkSession
     fs, fa = typed("h long, c long")
     top = docs.select("text").mapInArrow(lambda it: _frequent(it, span, fa), fs).groupBy("h").agg(F.sum("c").alias("c")) \
         .orderBy(F.desc("c"), "h").limit(FREQUENT_MOST).select("h").collect()
     often = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64)))
 
-    s1, a1 = typed("h long, doc long, at int, before long, gap byte")
-    s2, a2 = typed("doc long, at int, fate long")
+    s1, a1 = typed("h long, doc long, row long, at int, before long, gap byte")
+    s2, a2 = typed("row long, at int, fate long")
     nodes = docs.mapInArrow(lambda it: _anchored(it, span, often.value, a1), s1).repartition("h").mapInArrow(
         lambda it: _nodes(it, a2), s2)
-    # two rows of one id give each place twice, with one fate
-    listed = written(nodes.groupBy(F.col("doc").alias("__n")).agg(
+    # equal rows give each place twice, with one fate
+    listed = written(nodes.groupBy(F.col("row").alias("__n")).agg(
         F.collect_list("at").alias("places"), F.collect_list("fate").alias("fates")), "nodes")
     n = listed.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0]
-    known = docs.join(small_side(listed, n, LIST_BOUND), F.col("doc") == F.col("__n"), "left")
+    known = docs.join(small_side(listed, n, LIST_BOUND), F.col("row") == F.col("__n"), "left")
 
-    s3, a3 = typed("h long, doc long, at int")
-    opened = known.select("doc", "text", "places", "fates").mapInArrow(lambda it: _opened(it, span, often.value, a3), s3)
+    s3, a3 = typed("h long, doc long, row long, at int")
+    opened = known.select("doc", "row", "text", "places", "fates").mapInArrow(lambda it: _opened(it, span, often.value, a3), s3)
     firsts = written(opened.repartition("h").mapInArrow(lambda it: _firsts(it, a3), s3).groupBy(
-        F.col("doc").alias("__f")).agg(F.collect_list("at").alias("first")), "firsts")
+        F.col("row").alias("__f")).agg(F.collect_list("at").alias("first")), "firsts")
     m = firsts.agg(F.coalesce(F.sum(F.size("first")), F.lit(0))).first()[0]
-    both = known.join(small_side(firsts, m, LIST_BOUND), F.col("doc") == F.col("__f"), "left")
+    both = known.join(small_side(firsts, m, LIST_BOUND), F.col("row") == F.col("__f"), "left")
     s4, a4 = typed("doc long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")
     return both.select("doc", "text", "places", "fates", "first").mapInArrow(
         lambda it: _removed(it, span, often.value, a4), s4).select(given_id(F.col("doc")).alias(id_col), "n_words", "n_removed", "spans", "kept")

@@ -225,6 +225,25 @@ def test_substring_spans(spark, span):
         assert len(gone) == got[i].n_removed
 
 
+def test_substring_rows_that_share_an_id_or_have_none(spark):
+    from brute import substring as plain
+
+    from marketlake.llm.common import row_key
+    r = random.Random(12)
+    passages = [[r.choice(WORDS) + str(r.randint(0, 400)) for _ in range(r.randint(20, 70))] for _ in range(4)]
+    rows = []
+    for n in range(60):
+        own = [r.choice(WORDS) + str(r.randint(0, 400)) for _ in range(r.choice([0, 0, 7, 25]))]
+        rows.append(((None, None, 5, n)[n % 4], " ".join(own + r.choice(passages) + own[:5] + r.choice(passages))))
+    rows += rows[:6]  # equal rows are one document
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = {(x.doc_id, x.text): x.k for x in df.withColumn("k", row_key("doc_id", "text")).collect()}
+    order = sorted(keys, key=lambda x: (x[0] is None, x[0] or 0, keys[x]))
+    want = plain([(n, x[1]) for n, x in enumerate(order)])
+    got = sorted((str(x.doc_id), x.n_words, x.n_removed, x.kept) for x in substring.remove_repeats(df).collect())
+    assert got == sorted((str(x[0]), *want[order.index(x)]) for x in rows)
+
+
 def test_best_fit_equals_one_by_one():
     r = random.Random(3)
     for _ in range(60):
