@@ -32,13 +32,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once as Parquet in the shared folder and return a scan of it: the
-    lineage ends there, so a lost executor re-reads files and recomputes nothing upstream."""
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """`df` written once as Parquet in the shared folder: a scan of it, and its place."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once as Parquet in the shared folder and return a scan of it: the
+    lineage ends there, so a lost executor re-reads files and recomputes nothing upstream."""
+    return written_at(df, name)[0]
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Remove a table of `written_at` that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def small_side(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:

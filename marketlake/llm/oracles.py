@@ -8,6 +8,7 @@ with brute force.
 from __future__ import annotations
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 _MIX = rf"""
 WITH docs AS (
@@ -206,5 +207,54 @@ LEFT JOIN (SELECT vec_id, MIN(other) AS least FROM reach GROUP BY vec_id) c ON v
 """
 
 
+_SEARCH = rf"""
+WITH docs AS (
+  SELECT ROW_NUMBER() OVER () AS r, doc_id, regexp_extract_all(translate(COALESCE(text, ''), {_AZ}), '{_TERM}') AS ws FROM documents
+), totals AS (SELECT COUNT(*) AS n, CAST(SUM(len(ws)) AS BIGINT) AS l FROM docs WHERE len(ws) > 0
+), items AS (SELECT ROW_NUMBER() OVER () AS q, item_id, regexp_extract_all(translate(COALESCE(text, ''), {_AZ}), '{_TERM}') AS ws FROM benchmark
+), asked AS (SELECT DISTINCT q, item_id, unnest(ws) AS term FROM items
+), occurrences AS (
+  SELECT r, term, COUNT(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM docs) SEMI JOIN asked USING (term) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, COUNT(*) AS df FROM occurrences GROUP BY term), totals
+), scored AS (
+  SELECT q, item_id, doc_id, r, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(ws) * n) // l)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN occurrences USING (term) JOIN docs USING (r), totals GROUP BY ALL
+), ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY q ORDER BY score DESC, doc_id, r) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def _clusters(rounds: int = 10) -> str:
+    whole = "CAST(floor(CAST(1024 AS DOUBLE) * CAST(x AS DOUBLE)) AS BIGINT)"
+    steps = [f"""kept AS MATERIALIZED (
+  SELECT ROW_NUMBER() OVER () AS r, vec_id, [{whole} FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+)""", """c0 AS MATERIALIZED (
+  SELECT no - 1 AS cluster, v FROM (SELECT v, ROW_NUMBER() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) AS no FROM kept) WHERE no <= 8
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, MIN({{'d': d, 'cluster': cluster}}) AS near FROM (
+    SELECT r, cluster, CAST(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(k.v, c.v)]) AS BIGINT) AS d FROM kept k, c{i} c) GROUP BY r
+)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT cluster, COALESCE(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY place) AS v FROM (
+      SELECT cluster, place, CAST(SUM(x) AS BIGINT) AS s, COUNT(*) AS n FROM (
+        SELECT near.cluster AS cluster, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{i} JOIN kept USING (r)) GROUP BY ALL)
+    GROUP BY cluster) m USING (cluster)
+)""")
+    return "WITH " + ", ".join(steps) + f"""
+SELECT k.vec_id, CAST(near.cluster AS INTEGER) AS cluster, near.d AS distance,
+       CAST(SUM(near.d) OVER (PARTITION BY near.cluster) AS BIGINT) AS cluster_inertia, CAST(SUM(near.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept k USING (r) JOIN c{rounds} c ON c.cluster = near.cluster
+"""
+
+
 ORACLE: dict[str, str] = {"op2_neardup": _NEAR, "op3_mixing": _MIX, "op4_quality": _QUALITY, "op6_jaccard": _JACCARD, "op7_line_dedup": _LINES,
-                          "op8_substring": _SUBSTRING, "op10_license": _license()}
+                          "op8_substring": _SUBSTRING, "op10_license": _license(), "op11_ranked_search": _SEARCH,
+                          "op12_clustering": _clusters()}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, license_scan, line_dedup, mixing, neardup, packing, pii, quality, substring, toxicity
+from . import (
+    clustering, jaccard, lexicon_bpe, license_scan, line_dedup, mixing, neardup, packing, pii, quality, ranked_search, substring, toxicity)
 from .common import read, word_count, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +68,19 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(license_scan.scan(read(spark, sf_dir, "documents")))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.report(clustering.cluster(read(spark, sf_dir, "embeddings")))
+
+
+@query
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return lexicon_bpe.report(lexicon_bpe.decode(lexicon_bpe.encode(docs)))
