@@ -16,6 +16,7 @@ from ..operators.adjust import action_factors
 from ..session import configure
 from ..sinks import lake as sink
 from ..sources import lake as src
+from . import daily
 
 CURATORS = {
     "ticks": curate.curate_ticks,
@@ -57,22 +58,21 @@ def _rejected(spark: SparkSession, root: str, stream: str, date: str | None) ->
     return (bad if date is None else bad.where(F.col("date") == F.lit(date).cast("date"))).count()
 
 
-def run_curate(spark: SparkSession, root: str, stream: str, date: str | None = None) -> dict:
+def run_curate(spark: SparkSession, root: str, stream: str, date: str | None = None, full: bool = False) -> dict:
     """L2: scan -> curate -> dynamic overwrite -> metrics, counted in the same pass.
+    Daily bars are curated by what has changed (plans/daily.py) unless `full`.
     `rejected` counts the stream's quarantined rows; a failure is told in `status`."""
     configure(spark)
     out = {"stream": stream, "date": date, "rows_in": 0, "rows_out": 0, "rejected": 0, "status": "ok"}
     try:
         if stream == "daily_ohlcv":
-            raw, ob_in = _observed(src.scan_daily_layouts(spark, root), "in")
-            curated = curate.curate_daily_ohlcv(raw, src.scan_raw(spark, root, "corp_actions")).withColumn("year", F.year("date"))
-        else:
-            raw, ob_in = _observed(src.scan_raw(spark, root, stream, date), "in")
-            curated = CURATORS[stream](raw)
-            if stream == "fundamentals":
-                curated = curated.withColumn("quarter", F.col("period"))
-            if stream == "corp_actions":
-                curated = curated.withColumn("year", F.year("ex_date"))
+            return out | daily.curate_daily(spark, root, date, full) | {"rejected": _rejected(spark, root, stream, date)}
+        raw, ob_in = _observed(src.scan_raw(spark, root, stream, date), "in")
+        curated = CURATORS[stream](raw)
+        if stream == "fundamentals":
+            curated = curated.withColumn("quarter", F.col("period"))
+        if stream == "corp_actions":
+            curated = curated.withColumn("year", F.year("ex_date"))
         curated, ob_out = _observed(curated, "out")
         sink.write_curated(curated, root, stream)
         out |= {"rows_in": _rows(ob_in), "rows_out": _rows(ob_out),

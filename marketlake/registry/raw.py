@@ -88,13 +88,7 @@ for _stream, _name in (("ticks", "validate_rows"), ("quotes_l1", "validate_quote
     f"FROM {v} WHERE reject_reason IS NOT NULL" for s, v in VALIDATED.items()))
 def q_quarantine_rejects(lk):
     """S4 over the four streams."""
-    parts = [_validated(lk, s).where(F.col("reject_reason").isNotNull()).select(
-        F.lit(s).alias("stream"), "msg_id", "symbol", "ts_event", F.to_date("ts_event").alias("date"), "reject_reason")
-        for s in VALIDATED]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return ingest.routed(lk.messages_raw).rejects()
 
 
 RECEIPTS_SQL = " UNION ALL ".join(
@@ -106,12 +100,7 @@ RECEIPTS_SQL = " UNION ALL ".join(
 
 def all_receipts(lk):
     """Receipts of the accepted rows of the four streams."""
-    out = None
-    for s in VALIDATED:
-        ok, _ = ingest.split_rejects(ingest.validated(lk.messages_raw, s))
-        rc = ingest.receipts(ok, s)
-        out = rc if out is None else out.unionByName(rc)
-    return out
+    return ingest.routed(lk.messages_raw).receipts()
 
 
 @query("write_receipts", RECEIPTS_SQL)
@@ -159,15 +148,16 @@ def q_read_equity_curve(lk):
     return jsonl.check_equity_curve(lk.equity_curve)
 
 
-@query("classify_symbol", f"""
-SELECT DISTINCT S AS symbol, {CLASSIFY} AS asset_class FROM decoded_tick WHERE S IS NOT NULL
-UNION SELECT DISTINCT symbol, CASE WHEN starts_with(symbol, 'VN30F') OR starts_with(symbol, 'GB') THEN 'future'
-      ELSE 'equity' END FROM futures_contracts
+@query("classify_symbol", """
+WITH wire AS (
+  SELECT S AS symbol FROM decoded_tick UNION SELECT S FROM decoded_l1 UNION SELECT S FROM decoded_l2
+  UNION SELECT symbol FROM futures_contracts)
+SELECT DISTINCT symbol, CASE WHEN starts_with(symbol, 'VN30F') OR starts_with(symbol, 'GB') THEN 'future' ELSE 'equity' END AS asset_class
+FROM wire WHERE symbol IS NOT NULL
 """)
 def q_classify_symbol(lk):
-    """P1 over every symbol seen on the wire and every listed future."""
-    wire = ingest.decode(lk.messages_raw, "tick").where(F.col("m.S").isNotNull()).select(
-        F.col("m.S").alias("symbol"))
-    fut = lk.futures_contracts.select("symbol")
-    syms = wire.unionByName(fut).distinct()
+    """P1 over every symbol seen on the wire, whatever its channel, and every listed future."""
+    m = ingest.decode(lk.messages_raw).select(F.col("m.tick.S").alias("a"), F.col("m.l1.S").alias("b"), F.col("m.l2.S").alias("c"))
+    wire = m.select(F.coalesce("a", "b", "c").alias("symbol")).where("symbol is not null")
+    syms = wire.unionByName(lk.futures_contracts.select("symbol")).distinct()
     return syms.select("symbol", classify_symbol(F.col("symbol")).alias("asset_class"))

@@ -68,6 +68,17 @@ def path_exists(spark, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def list_dir(spark, path: str) -> list[str]:
+    """Paths of the entries of a folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [str(x.getPath()) for x in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+
+
+def remove(spark, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "append",
                       max_records: int = MAX_RECORDS_PER_FILE, fmt: str = "parquet",
                       sort_cols: Sequence[str] = ()) -> None:

@@ -39,12 +39,15 @@ def scan_raw(spark: SparkSession, root: str, stream: str, date: str | None = Non
     return raw.drop("batch")
 
 
+DAILY_LAYOUTS = ("daily_ohlcv", "daily_ohlcv_backfill")
+
+
 def scan_daily_layouts(spark: SparkSession, root: str) -> DataFrame:
     """Daily bars landed by the nightly job (year/date) and by backfill
     (source/year/date): Spark refuses mixed layouts in one read, so each is
     read by itself and the two are unioned by name (U1)."""
     parts = []
-    for sub in ("daily_ohlcv", "daily_ohlcv_backfill"):
+    for sub in DAILY_LAYOUTS:
         p = f"{root}/raw/{sub}"
         if path_exists(spark, p):
             parts.append(spark.read.parquet(p))

@@ -1,4 +1,4 @@
-"""Structured Streaming jobs.
+"""Structured Streaming jobs (X1-X4, X6); operators with timers are in state.py.
 
 The source is any stream of (msg_id, channel, payload, ts_received): JSON
 files in tests, a message bus in production (same columns by configuration).
@@ -15,69 +15,59 @@ curation, which keeps one row per key.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
-from .. import schemas
 from ..operators import ingest
 from ..sinks import lake as sink
 
 MESSAGE_SCHEMA = "msg_id long, channel string, payload string, ts_received timestamp"
 
-ROUTES = {  # channel -> (stream, parser, validation rules)
-    "tick": ("ticks", ingest.parse_ticks, "ticks"),
-    "l1": ("quotes_l1", ingest.parse_quotes_l1, "quotes_l1"),
-    "l2": ("quotes_l2", ingest.parse_quotes_l2, "quotes_l2"),
-    "index": ("index_values", ingest.parse_indices, "index_values"),
-}
+#: A flush: at most so much input a micro-batch, at least one a minute.
+FLUSH_BYTES, FLUSH_INTERVAL = "50m", "60 seconds"
 
 
 def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                    max_bytes_per_trigger: str | None = None) -> DataFrame:
+    """Messages as they arrive, at most `max_files_per_trigger` files or `max_bytes_per_trigger` (FLUSH_BYTES unless
+    either is given) a micro-batch."""
     r = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    if max_bytes_per_trigger:
-        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    else:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger or FLUSH_BYTES)
     return r.json(path)
 
 
-def _partition_cols(df: DataFrame, stream: str) -> DataFrame:
-    out = df.withColumn("date", F.to_date("ts_event"))
-    return out.withColumnRenamed("msg_id", "ingest_seq")
-
-
 def land_batch(batch: DataFrame, root: str, epoch: int | str) -> dict:
-    """X1 + X3 for one micro-batch: route, parse, validate, land, quarantine, receipts.
-    Landing the same `epoch` again replaces what it wrote before."""
-    batch = batch.persist()
-    counts = {}
+    """X1 + X3 for one micro-batch: every message is decoded once; accepted rows, rejects, parse errors and receipts
+    are written from that.  Landing the same `epoch` again replaces what it wrote before."""
+    r = ingest.routed(batch)
+    r.tagged.persist()
     try:
-        for ch, (stream, parse, rules) in ROUTES.items():
-            v = ingest.validate_rows(parse(batch), rules)
-            ok, bad = ingest.split_rejects(v)
-            ok = _partition_cols(ok, stream).persist()
-            sink.land_stream(ok, root, stream, epoch)
-            sink.quarantine(bad.withColumn("date", F.to_date("ts_event")), root, stream, epoch)
-            sink.write_receipts(ingest.receipts(ok, stream, str(epoch)), root, epoch)
-            counts[stream] = ok.count()
-            ok.unpersist()
-        sink.quarantine_parse_errors(ingest.parse_errors(batch), root, epoch)
+        counts = {x["stream"]: x for x in r.counts().collect()}  # one row per stream
+        for stream in ingest.STREAMS:
+            if stream not in counts:
+                continue
+            rows = r.rows(stream).withColumn("date", F.to_date("ts_event"))
+            ok, bad = ingest.split_rejects(rows)
+            if counts[stream]["accepted"]:
+                sink.land_stream(ok.withColumnRenamed("msg_id", "ingest_seq"), root, stream, epoch)
+            if counts[stream]["rejected"]:
+                sink.quarantine(bad, root, stream, epoch)
+        sink.write_receipts(r.receipts(str(epoch)), root, epoch)
+        sink.quarantine_parse_errors(r.errors(), root, epoch)
     finally:
-        batch.unpersist()
-    return counts
+        r.tagged.unpersist()
+    return {s: counts[s]["accepted"] if s in counts else 0 for s in ingest.STREAMS}
 
 
 def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
-                 available_now: bool = False, interval: str = "60 seconds",
-                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None):
-    """Continuous landing.  Production triggers every 60 s and bounds a
-    micro-batch by files or bytes per trigger (deadline and size of the flush);
-    `available_now` drains what exists and stops."""
+                 available_now: bool = False, interval: str = FLUSH_INTERVAL,
+                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> StreamingQuery:
+    """Continuous landing.  A micro-batch is flushed every `interval` and bounded by bytes (FLUSH_BYTES) or,
+    if given, by files; `available_now` drains what exists and stops."""
     w = (message_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger).writeStream
          .foreachBatch(lambda df, epoch: land_batch(df, root, epoch))
          .option("checkpointLocation", checkpoint))
@@ -85,6 +75,14 @@ def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
     return w.start()
 
 
+def drain(query: StreamingQuery) -> None:
+    """Flush all that has arrived, then stop; nothing is acknowledged that was not written."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def dedup_stream(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Streaming dedup of ticks within the watermark.  Rows later than the
     watermark are dropped here; the nightly batch curation keeps them."""
@@ -92,43 +90,6 @@ def dedup_stream(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
             .dropDuplicatesWithinWatermark(["symbol", "ts_event", "trade_id"]))
 
 
-# ------------------------------------------------------------ alert suppression
-SUPPRESS_OUT = "alert_key string, alert_id long, ts timestamp, severity string, sent boolean"
-SUPPRESS_STATE = "expires_us long"
-
-
-def _ttl_us(sev: str) -> int:
-    return schemas.ALERT_TTL_SECONDS.get(sev, schemas.ALERT_TTL_DEFAULT) * 1_000_000
-
-
-def _suppress_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per alert key: the open window's expiry is the only state.  Rows of the
-    key in this micro-batch are taken in time order."""
-    expires = state.get[0] if state.exists else None
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "alert_id"])
-    ts_us = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()
-    sent = []
-    for t, sev in zip(ts_us, pdf["severity"].to_numpy()):
-        ttl = _ttl_us(sev)
-        if ttl <= 0:
-            sent.append(True)
-        elif expires is not None and expires > t:
-            sent.append(False)
-        else:
-            sent.append(True)
-            expires = int(t) + ttl
-    if expires is not None:
-        state.update((expires,))
-    yield pdf.assign(sent=sent)[["alert_key", "alert_id", "ts", "severity", "sent"]]
-
-
-def suppress_stream(alerts: DataFrame) -> DataFrame:
-    """X5 streaming: alerts (alert_key, alert_id, ts, severity) -> with `sent`."""
-    return (alerts.groupBy("alert_key")
-            .applyInPandasWithState(_suppress_group, SUPPRESS_OUT, SUPPRESS_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
-
-
 def coverage_stream(receipts: DataFrame, minutes: int = 5, delay: str = "10 minutes") -> DataFrame:
     """Receipts per stream per 5-minute window of newest-row time, with a watermark."""
     w = F.window("max_ts", f"{minutes} minutes")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketlake.bindings import TestLake
 from marketlake.operators import alerts as al
 from marketlake.streaming import jobs as st
+from marketlake.streaming import state
 from tests.conftest import SF_SMALL
 
 
@@ -71,7 +72,7 @@ def test_stream_suppression_equals_batch(spark):
     for i, f in enumerate(sorted(x for x in os.listdir(d) if x.startswith("part-"))):
         os.utime(f"{d}/{f}", (time.time() - 100 + i, time.time() - 100 + i))
     s = spark.readStream.schema(spark.read.parquet(d).schema).option("maxFilesPerTrigger", 1).parquet(d)
-    q = (st.suppress_stream(s).writeStream.format("memory").queryName("supp_out").outputMode("append")
+    q = (state.suppress_stream(s).writeStream.format("memory").queryName("supp_out").outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination(600)
     got = {r.alert_id: r.sent for r in spark.table("supp_out").collect()}
