@@ -110,7 +110,7 @@ def test_sql_twins(spark, tables, at, name):
 @pytest.mark.parametrize("name", sorted(set(ORACLE) - {"op3_mixing", "op7_line_dedup"}))
 def test_sql_twins_on_a_whole_table(spark, tables, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     rel = con.sql(ORACLE[name])
     cols = rel.columns
