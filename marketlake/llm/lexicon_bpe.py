@@ -22,7 +22,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import forget, shared_dir, written_at
 
 #: Words compiled at most, and their longest length in bytes: together they bound the automaton's size.
 LEXICON_MOST, WORD_BYTES = 1 << 17, 48
@@ -281,15 +281,33 @@ def _shipped(spark: SparkSession, data: bytes) -> str:
     return name
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[str]:
+    """All words of `counts` that occur at least so often that there are no more than `most` of them.
+
+    `counts` is read twice: give it materialised.  The driver sees a histogram by the logarithm of the count, some
+    hundred rows, and the words found.
+    """
+    step = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
+    taken, cut = 0, None
+    for r in counts.groupBy(step.alias("s")).count().orderBy(F.desc("s")).collect():
+        taken += r["count"]
+        if taken > most:
+            break
+        cut = r["s"]
+    return [] if cut is None else [r[0] for r in counts.where(step >= cut).select("word").collect()]
+
+
 def lexicon_for(df: DataFrame, text_col: str = "text", path: str | None = None, most: int = LEXICON_MOST) -> str:
-    """Compile the `most` frequent words of all texts, ship the automaton, and return its name.
+    """Compile the frequent words of all texts, `most` at most, ship the automaton, and return its name.
 
-    Counts cover every text; only `most` words of bounded length reach the driver.
+    Counts cover every text; only words of bounded number and length reach the driver.
     """
     path = path or tokenizer_file()
     tk = load(path)
-    top = word_counts(df, text_col, path).orderBy(F.desc("n"), "word").limit(most).select("word").collect()
-    return _shipped(df.sparkSession, compile_lexicon({r[0].encode(): tk.merged(r[0]) for r in top}))
+    counts, place = written_at(word_counts(df, text_col, path), "words")
+    words = frequent_words(counts, most)
+    forget(df.sparkSession, place)
+    return _shipped(df.sparkSession, compile_lexicon({w.encode(): tk.merged(w) for w in words}))
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, name: str, schema: pa.Schema):
