@@ -25,10 +25,16 @@ from pyspark.sql import functions as F
 from .common import forget, shared_dir, written_at
 
 #: Words compiled at most, and their longest length in bytes: together they bound the automaton's size.
-LEXICON_MOST, WORD_BYTES = 1 << 17, 48
+LEXICON_MOST, WORD_BYTES = 1 << 18, 48
 #: Distinct words a task counts before it passes them on, and exactly merged words it remembers.
 COUNTED_MOST, REMEMBERED_MOST = 1 << 18, 1 << 17
 
+#: Up to so many letters a word's pairs are looked through for each merge.
+SHORT = 256
+#: A merge is its rank and, in the lowest bits, the id it makes; NONE comes after all.
+_BITS = 24
+_ID, NONE = (1 << _BITS) - 1, 1 << 62
+
 # Texts of these characters are split here; both ways were compared character by character (tests).  All other
 # texts go through the tokenizer's own normaliser and splitter.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-ɏ‐-‧€]*")
@@ -72,7 +78,7 @@ class Tokenizer:
         self.merges = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.merges[vocab[a], vocab[b]] = rank << _BITS | vocab[a + b]
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.specials = re.compile("|".join(f"({re.escape(s)})" for s in self.special)) if self.special else None
         self.strings = {i: s for s, i in (vocab | self.special).items()}
@@ -101,19 +107,31 @@ class Tokenizer:
             return ()
         ids = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
         n = len(ids)
+        if n <= SHORT:
+            found = [merges.get(p, NONE) for p in zip(ids, ids[1:])]
+            while found and (best := min(found)) < NONE:
+                i = found.index(best)
+                ids[i: i + 2] = [best & _ID]
+                del found[i]
+                if i < len(found):
+                    found[i] = merges.get((ids[i], ids[i + 1]), NONE)
+                if i:
+                    found[i - 1] = merges.get((ids[i - 1], ids[i]), NONE)
+            return tuple(ids)
+        # the same with a queue of the pairs, for words whose pairs are too many to look through each time
         after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
 
         def offer(i: int) -> None:
-            if 0 <= i and after[i] < n and (m := merges.get((ids[i], ids[after[i]]))):
-                heapq.heappush(heap, (m[0], i, m[1]))
+            if 0 <= i and after[i] < n and (m := merges.get((ids[i], ids[after[i]]), NONE)) < NONE:
+                heapq.heappush(heap, (m, i))
         for i in range(n - 1):
             offer(i)
         while heap:
-            _, i, new = heapq.heappop(heap)
-            if ids[i] < 0 or after[i] >= n or merges.get((ids[i], ids[after[i]]), (0, -1))[1] != new:
+            m, i = heapq.heappop(heap)
+            if ids[i] < 0 or after[i] >= n or merges.get((ids[i], ids[after[i]])) != m:
                 continue  # a neighbour has changed since
             gone = after[i]
-            ids[i], ids[gone], after[i] = new, -1, after[gone]
+            ids[i], ids[gone], after[i] = m & _ID, -1, after[gone]
             if after[i] < n:
                 before[after[i]] = i
             offer(before[i])
