@@ -65,7 +65,8 @@ def _frequent(batches: Iterator[pa.RecordBatch], span: int, schema: pa.Schema):
 
 
 def _anchored(batches: Iterator[pa.RecordBatch], span: int, often: np.ndarray, schema: pa.Schema):
-    """A row for each anchor that is not frequent: hash, document, row key, place, the anchor before and its distance."""
+    """A row for each anchor that is not frequent: hash, document, row key, place, the anchor before and its distance;
+    and one with a negative distance for each document that has a frequent one."""
     for b in batches:
         ids, rows, keys, places, before, gaps = [], [], [], [], [], []
         for i, r, t in zip(*b.columns, strict=True):
@@ -80,6 +81,11 @@ def _anchored(batches: Iterator[pa.RecordBatch], span: int, often: np.ndarray, s
             places.append(at[rare])
             before.append(np.append(np.uint64(0), key[:-1])[rare])
             gaps.append(np.diff(at, prepend=at[0])[rare])  # 0: no anchor before
+            if not rare.all():
+                for column_, value in ((ids, i.as_py()), (rows, r.as_py()), (places, -1), (gaps, -1)):
+                    column_.append(np.array([value], np.int64))
+                keys.append(np.array([r.as_py()], np.int64).view(np.uint64))
+                before.append(np.zeros(1, np.uint64))
         if keys:
             yield batch_of(schema, longs(np.concatenate(keys)), np.concatenate(ids), np.concatenate(rows),
                            np.concatenate(places).astype(np.int32), longs(np.concatenate(before)),
@@ -88,11 +94,18 @@ def _anchored(batches: Iterator[pa.RecordBatch], span: int, often: np.ndarray, s
 
 def _nodes(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
     """Occurrences of the anchors that occur twice or more; a partition holds all of an anchor's.
-    `fate` packs the count, whether one way leads here, and whether this is the first occurrence."""
+    `fate` packs the count, whether one way leads here, and whether this is the first occurrence.  Documents with a
+    frequent anchor have place -1 and fate 0 besides, so that a document without any row here has no repeated window."""
     got = [b for b in batches if b.num_rows]
     if not got:
         return
     h, doc, row, at, before, gap = (column(got, i) for i in range(6))
+    mark = gap < 0
+    if mark.any():
+        yield batch_of(schema, row[mark], at[mark], np.zeros(int(mark.sum()), np.int64))
+        h, doc, row, at, before, gap = (x[~mark] for x in (h, doc, row, at, before, gap))
+        if not len(h):
+            return
     order = np.lexsort((at, row, doc, h))
     h, doc, row, at, before, gap = h[order], doc[order], row[order], at[order], before[order], gap[order]
     start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
@@ -147,6 +160,8 @@ def _opened(batches: Iterator[pa.RecordBatch], span: int, often: np.ndarray, sch
     for b in batches:
         ids, rows, keys, places = [], [], [], []
         for i, r, t, p, f in zip(*b.columns, strict=True):
+            if not p.is_valid:
+                continue
             w = Windows(t.as_py(), span, often, p.as_py(), f.as_py())
             if len(w.open):
                 ids.append(np.full(len(w.open), i.as_py(), np.int64))
@@ -174,6 +189,13 @@ def _removed(batches: Iterator[pa.RecordBatch], span: int, often: np.ndarray, sc
     for b in batches:
         n_words, n_removed, kept, spans = [], [], [], []
         for _, t, p, f, first in zip(*b.columns, strict=True):
+            if not p.is_valid:  # none of its windows can be repeated
+                ws = words(t.as_py())
+                n_words.append(len(ws))
+                n_removed.append(0)
+                kept.append(b" ".join(ws).decode("utf-8", "surrogatepass"))
+                spans.append([])
+                continue
             w = Windows(t.as_py(), span, often, p.as_py(), f.as_py())
             repeated = w.repeated
             if len(w.open):
