@@ -259,6 +259,12 @@ class TestLake:
     # ------------------------------------------------------------------- ops
     @cached_property
     def messages_raw(self) -> DataFrame:
+        """Wire messages as a bus holds them: written once, in as many files as there are tasks to read them."""
+        from .sinks.lake import staged
+        return staged(self._messages.repartition(2 * self.spark.sparkContext.defaultParallelism), "messages")
+
+    @cached_property
+    def _messages(self) -> DataFrame:
         """Wire messages for the four channels, some cut short, some invalid."""
         b = self._events_base
         eid = F.col("event_id")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import EXCHANGE_ZONE
-from .asof import asof_backward
+from .asof import asof_measured
 
 
 def atr_gap_range(daily: DataFrame, n: int = 14) -> DataFrame:
@@ -52,15 +52,12 @@ def sector_heatmap(daily: DataFrame, tickers: DataFrame) -> DataFrame:
 
 def futures_basis(future_ticks: DataFrame, index: DataFrame, index_code: str) -> DataFrame:
     """Future trade price (points) minus the underlying index level in force at
-    the trade, same day (M4; as-of inclusive, bucketed by hour)."""
+    the trade, same day (M4; as-of inclusive).  The level is the same for all symbols, so the day is the
+    key and its rows are cut into measured ranges."""
     day = F.to_date("ts_event")
     p = future_ticks.select("symbol", "ts_event", "trade_id", "price", day.alias("_d"))
-    # index rows are repeated for each symbol traded that day, so the as-of is keyed by symbol too
-    traded = p.select("symbol", "_d").distinct()
-    idx = index.where(F.col("index_code") == index_code).select(
-        day.alias("_d"), F.col("ts_event").alias("_its"), F.col("value").alias("index_value")).join(traded, "_d")
-    j = asof_backward(p, idx, by=["symbol", "_d"], left_key="ts_event", right_key="_its", values=["index_value"],
-                      strict=False, right_order=[], bucket=lambda c: F.date_trunc("HOUR", c))
+    idx = index.where(F.col("index_code") == index_code).select(day.alias("_d"), F.col("ts_event").alias("_its"), F.col("value").alias("index_value"))
+    j = asof_measured(p, idx, by=["_d"], left_key="ts_event", right_key="_its", values=["index_value"], strict=False)
     return j.select("symbol", "ts_event", "trade_id", "price", "index_value",
                     (F.col("price") / 100.0 - F.col("index_value")).alias("basis"))
 
@@ -85,6 +82,37 @@ def gap_filled(ticks: DataFrame, gaps: DataFrame, stream: str = "ticks") -> Data
     return counts.join(g, "date", "full")
 
 
+def merged_gaps(gaps: DataFrame, stream: str) -> DataFrame:
+    """(gap_start, gap_end, reasons): the recorded gaps of a stream with overlapping and adjoining ones merged.
+
+    Distinct gaps are swept in order of their start; a gap that starts more than a day after the greatest end so far
+    begins a new stretch.  Stretches are disjoint, so there are fewer of them than days.
+    """
+    end = F.coalesce("end", "start")
+    g = gaps.where((F.col("stream") == stream) & F.col("start").isNotNull() & (end >= F.col("start"))).select(
+        "start", end.alias("end"), F.coalesce("reason", F.lit("")).alias("reason"))
+    # one row per first day keeps the sweep's single task to the calendar's length
+    g = g.groupBy("start").agg(F.max("end").alias("end"), F.collect_set("reason").alias("reasons"))
+    sweep = Window.partitionBy(F.lit(1)).orderBy("start")
+    reach = F.max("end").over(sweep.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.when(reach.isNull() | (F.col("start") > F.date_add(reach, 1)), 1).otherwise(0)
+    g = g.withColumn("_new", new).withColumn("_no", F.sum("_new").over(sweep))
+    return g.groupBy("_no").agg(F.min("start").alias("gap_start"), F.max("end").alias("gap_end"), F.array_join(F.array_sort(
+        F.array_distinct(F.flatten(F.collect_list("reasons")))), "; ").alias("reasons")).drop("_no")
+
+
+def gap_filled_by_symbol(ticks: DataFrame, gaps: DataFrame, stream: str = "ticks") -> DataFrame:
+    """Ticks per symbol and day, with a null count for every day of a recorded gap within the symbol's own
+    span that has none (M6): (symbol, date, ticks, gap_start, gap_end, reasons)."""
+    counts = ticks.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("ticks"))
+    spans = counts.groupBy("symbol").agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
+    # disjoint stretches of days: bounded by the calendar
+    cut = spans.join(F.broadcast(merged_gaps(gaps, stream)), (F.col("gap_start") <= F.col("_hi")) & (F.col("gap_end") >= F.col("_lo")))
+    days = cut.select("symbol", F.explode(F.sequence(F.greatest("gap_start", "_lo"), F.least("gap_end", "_hi"))).alias("date"),
+                      "gap_start", "gap_end", "reasons")
+    return counts.join(days, ["symbol", "date"], "full")
+
+
 def plan_fetches(seen: DataFrame, streams: list[str]) -> DataFrame:
     """(stream, symbol, date): every day between a symbol's first and last, for each stream."""
     span = seen.groupBy("symbol").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from .asof import asof_backward
+from .asof import asof_measured
 
 TOB_COLS = ["symbol", "asset_class", "exchange", "date", "last_ts", "bid_price", "bid_size",
             "ask_price", "ask_size", "mid_price", "spread_bps"]
@@ -33,9 +33,8 @@ def l2_at(l2: DataFrame, probes: DataFrame, ts_col: str = "ts") -> DataFrame:
     """Newest book at or before each probe's timestamp, same symbol and day.
 
     Adds bid_px, bid_sz, ask_px, ask_sz as 10-element arrays; empty arrays
-    when the day has no earlier book.  The as-of runs per (symbol, date) and
-    is bucketed by hour with a carry inside the day, so one busy symbol-day
-    is spread over up to 24 tasks.
+    when the day has no earlier book.  The as-of runs per (symbol, date); a busy
+    symbol-day is cut at quantiles of its own rows and spread over many tasks.
     """
     books = l2.select("symbol", "date", F.col("ts_event").alias("_bts"),
                       *[_levels(s, w).alias(f"_{k}") for k, (s, w) in BOOK_ARRAYS.items()],
@@ -43,9 +42,7 @@ def l2_at(l2: DataFrame, probes: DataFrame, ts_col: str = "ts") -> DataFrame:
     p = probes.withColumn("_pdate", F.to_date(ts_col))
     books = books.withColumnRenamed("date", "_pdate")
     vals = [f"_{k}" for k in BOOK_ARRAYS] + ["_found"]
-    j = asof_backward(p, books, by=["symbol", "_pdate"], left_key=ts_col, right_key="_bts",
-                      values=vals, strict=False, right_order=[],
-                      bucket=lambda c: F.date_trunc("hour", c))
+    j = asof_measured(p, books, by=["symbol", "_pdate"], left_key=ts_col, right_key="_bts", values=vals, strict=False)
     empty = F.array().cast("array<bigint>")
     out = j
     for k in BOOK_ARRAYS:

@@ -42,15 +42,17 @@ def _as_text(t: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def _coerced(c: Column, t: T.DataType) -> Column:
-    """Text to the declared type: whole numbers may be quoted or carry a fraction, which is cut."""
+def _coerced(c: str, t: T.DataType) -> str:
+    """SQL from text to the declared type: whole numbers may be quoted or carry a fraction, which is cut."""
     if isinstance(t, T.StructType):
-        return F.when(c.isNotNull(), F.struct(*[_coerced(c[f.name], f.dataType).alias(f.name) for f in t.fields]))
+        fields = ", ".join(f"'{f.name}', {_coerced(f'{c}.`{f.name}`', f.dataType)}" for f in t.fields)
+        return f"if({c} is null, null, named_struct({fields}))"
     if isinstance(t, T.ArrayType):
-        return F.transform(c, lambda x: _coerced(x, t.elementType))
+        return f"transform({c}, x -> {_coerced('x', t.elementType)})"
     if isinstance(t, T.IntegralType):
-        return F.coalesce(c.try_cast("bigint"), c.try_cast("decimal(38,6)").try_cast("bigint")).try_cast(t)
-    return c if isinstance(t, T.StringType) else c.try_cast(t)
+        whole = f"coalesce(try_cast({c} as bigint), try_cast(try_cast({c} as decimal(38,6)) as bigint))"
+        return whole if isinstance(t, T.LongType) else f"try_cast({whole} as {t.simpleString()})"
+    return c if isinstance(t, T.StringType) else f"try_cast({c} as {t.simpleString()})"
 
 
 def _one_row(c: Column, name: str) -> Column:
@@ -78,15 +80,16 @@ def decode(messages: DataFrame, channels: str | Sequence[str] = tuple(CHANNELS),
     text = F.when(_is_object(F.col(payload)), F.from_json(F.col(payload), _wire(chs)))
     d = messages.select(*given, _one_row(text, "_t"))
 
-    def of(ch: str, c: Column) -> Column:
-        return F.when(F.col("channel") == ch, c) if len(chs) > 1 else c
-    d = d.select(*given, _one_row(F.struct(*[of(ch, _coerced(F.col("_t"), CHANNELS[ch])).alias(ch) for ch in chs]), "m"))
-    error = None
+    typed = ", ".join(f"'{ch}', " + (f"if(channel = '{ch}', {_coerced('_t', CHANNELS[ch])}, null)" if len(chs) > 1 else
+                                     _coerced("_t", CHANNELS[ch])) for ch in chs)
+    d = d.select(*given, _one_row(F.expr(f"named_struct({typed})"), "m"))
+    cases = []
     for ch in chs:
-        missing = F.concat_ws(",", F.array_compact(F.array(*[F.when(F.col("m")[ch][f].isNull(), F.lit(f)) for f in REQUIRED[ch]])))
-        case = F.when(F.col("m")[ch].isNull(), F.lit("unparsable")).when(missing != "", F.concat(F.lit("missing:"), missing))
-        error = F.when(F.col("channel") == ch, case) if error is None else error.when(F.col("channel") == ch, case)
-    return d.select("*", _one_row(error.otherwise(F.lit("unknown channel")), "parse_error"))
+        missing = ", ".join(f"if(m.{ch}.`{f}` is null, '{f}', null)" for f in REQUIRED[ch])
+        cases.append(f"when channel <> '{ch}' then null when m.{ch} is null then 'unparsable' else "
+                     f"nullif(concat('missing:', concat_ws(',', {missing})), 'missing:') end")
+    error = "case channel " + " ".join(f"when '{ch}' then case {c}" for ch, c in zip(chs, cases, strict=True)) + " else 'unknown channel' end"
+    return d.select("*", _one_row(F.expr(error), "parse_error"))
 
 
 def _exchange(m: Column) -> Column:
@@ -128,13 +131,10 @@ STREAMS = {"ticks": ("tick", _tick), "quotes_l1": ("l1", _quote), "quotes_l2": (
 
 def _flat_book(rows: DataFrame) -> DataFrame:
     """Bid and ask level arrays as 60 columns; levels past the book are null."""
-    cols = []
-    for side in ("bid", "ask"):
-        for i in range(schemas.BOOK_LEVELS):
-            level = F.get(F.col(side), i)
-            cols += [level["P"].alias(f"{side}_px_{i + 1}"), level["V"].alias(f"{side}_sz_{i + 1}"), level["N"].alias(f"{side}_n_{i + 1}")]
-    return rows.select(*[c for c in rows.columns if c not in ("bid", "ask", "reject_reason")], *cols,
-                       *[c for c in rows.columns if c == "reject_reason"])
+    levels = [f"get({side}, {i}).{k} as {side}_{c}_{i + 1}" for side in ("bid", "ask") for i in range(schemas.BOOK_LEVELS)
+              for c, k in (("px", "P"), ("sz", "V"), ("n", "N"))]
+    kept = [c for c in rows.columns if c not in ("bid", "ask")]
+    return rows.selectExpr(*[c for c in kept if c != "reject_reason"], *levels, *[c for c in kept if c == "reject_reason"])
 
 
 def _finished(rows: DataFrame, stream: str) -> DataFrame:

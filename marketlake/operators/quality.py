@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .asof import asof_backward
+from .asof import asof_measured
 
 
 def _since(df: DataFrame, days: int | None, as_of=None, col: str = "date") -> DataFrame:
@@ -112,19 +112,55 @@ def ack_lag(streams: dict[str, DataFrame], threshold_s: int = 180) -> DataFrame:
         F.count_if(F.col("_lag") > threshold_s * 1000000).alias("late_messages"))
 
 
+#: Rank error of a sketch of K items: the true rank of its answer is within this of the rank asked for, in 99 of 100 cases.
+SKETCH_K, SKETCH_ERROR = 800, 0.005
+
+
+def lag_sketches(streams: dict[str, DataFrame]) -> DataFrame:
+    """(stream, date, lags): a KLL sketch of the receive lags in microseconds, some kilobytes whatever the
+    number of messages; sketches of days or batches are merged by `lag_quantiles` (X8)."""
+    parts = None
+    for name, df in streams.items():
+        one = df.select(F.lit(name).alias("stream"), F.to_date("ts_event").alias("date"),
+                        (F.unix_micros("ts_received") - F.unix_micros("ts_event")).alias("_lag"))
+        parts = one if parts is None else parts.unionByName(one)
+    return parts.groupBy("stream", "date").agg(F.kll_sketch_agg_bigint("_lag", SKETCH_K).alias("lags"))
+
+
+def lag_quantiles(sketches: DataFrame, by: list[str], rank: float = 0.99) -> DataFrame:
+    """(by, messages, lag_us): the lag of `rank` over all sketches of a group."""
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_bigint("lags", SKETCH_K).alias("_s"))
+    return merged.select(*by, F.kll_sketch_get_n_bigint("_s").alias("messages"), F.kll_sketch_get_quantile_bigint("_s", F.lit(rank)).alias("lag_us"))
+
+
+def lag_rank_check(streams: dict[str, DataFrame], rank: float = 0.99, error: float = SKETCH_ERROR) -> DataFrame:
+    """(stream, date, messages, within): whether the sketched lag of each stream's day is within `error` of the rank
+    asked for, by counting the lags below and up to it."""
+    answers = lag_quantiles(lag_sketches(streams), ["stream", "date"], rank).withColumnRenamed("messages", "_n")
+    parts = None
+    for name, df in streams.items():
+        one = df.select(F.lit(name).alias("stream"), F.to_date("ts_event").alias("date"),
+                        (F.unix_micros("ts_received") - F.unix_micros("ts_event")).alias("_lag"))
+        parts = one if parts is None else parts.unionByName(one)
+    # one answer for each stream and day
+    c = parts.join(F.broadcast(answers), ["stream", "date"]).groupBy("stream", "date").agg(
+        F.count(F.lit(1)).alias("messages"), F.max("_n").alias("_n"), F.count_if(F.col("_lag") < F.col("lag_us")).alias("_below"),
+        F.count_if(F.col("_lag") <= F.col("lag_us")).alias("_upto"))
+    ok = (F.col("_n") == F.col("messages")) & (F.col("_below") / F.col("messages") <= rank + error) & (F.col("_upto") / F.col("messages") >= rank - error)
+    return c.select("stream", "date", "messages", ok.alias("within"))
+
+
 def stream_silence(flagged: DataFrame, threshold_s: int = 120) -> DataFrame:
     """Gaps longer than `threshold_s` between consecutive in-session messages of
     a symbol within the same session (X7).  `flagged` comes from `in_session`.
 
-    The previous message is a strict self as-of join bucketed by hour (with a
-    carry across hours), so one busy symbol-session is spread over many tasks
-    instead of one `lag` window; ticks sharing a timestamp yield the same gap,
-    kept once.
+    The previous message is a strict self as-of join over measured ranges, so one
+    busy symbol-session is spread over many tasks instead of one `lag` window;
+    ticks sharing a timestamp yield the same gap, kept once.
     """
     s = flagged.where("in_session").select("symbol", "local_date", "session_no", "ts_event")
-    prev = asof_backward(s, s.select("symbol", "local_date", "session_no", F.col("ts_event").alias("_pts")),
-                         by=["symbol", "local_date", "session_no"], left_key="ts_event", right_key="_pts",
-                         values=["_pts"], strict=True, bucket=lambda c: F.date_trunc("HOUR", c))
+    prev = asof_measured(s, s.select("symbol", "local_date", "session_no", F.col("ts_event").alias("_pts")),
+                         by=["symbol", "local_date", "session_no"], left_key="ts_event", right_key="_pts", values=["_pts"], strict=True)
     g = prev.where(F.col("_pts").isNotNull()).select(
         "symbol", "local_date", "session_no", F.col("_pts").alias("gap_start"), F.col("ts_event").alias("gap_end"))
     secs = (F.unix_micros("gap_end") - F.unix_micros("gap_start")) / 1000000.0

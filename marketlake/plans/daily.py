@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import curate, incremental
@@ -65,14 +65,14 @@ def _everything(spark: SparkSession, root: str) -> dict:
     """The full run, which later runs start from."""
     days = sink.staged(raw_days(spark, root), "days")
     actions = sink.staged(_actions(spark, root), "actions")
-    raw = src.scan_daily_layouts(spark, root)
+    read = Observation("raw")
+    raw = src.scan_daily_layouts(spark, root).observe(read, F.count(F.lit(1)).alias("rows"))
     whole = curate.curate_daily_ohlcv(raw, src.scan_raw(spark, root, "corp_actions")).withColumn("year", F.year("date"))
     sink.write_curated(whole, root, "daily_ohlcv")
     now = src.scan_curated(spark, root, "daily_ohlcv")
     _save(spark, root, days, incremental.factors_from(actions, now))
-    years = sorted(r[0] for r in now.select("year").distinct().collect())
-    return {"rows_in": raw.count(), "rows_out": now.count(), "mode": "full", "years": years,
-            "symbols": now.select("symbol").distinct().count()}
+    seen = now.agg(F.count(F.lit(1)).alias("rows"), F.sort_array(F.collect_set("year")).alias("years"), F.count_distinct("symbol").alias("symbols")).first()
+    return {"rows_in": read.get["rows"], "rows_out": seen["rows"], "mode": "full", "years": seen["years"], "symbols": seen["symbols"]}
 
 
 def curate_daily(spark: SparkSession, root: str, date: str | None = None, full: bool = False) -> dict:

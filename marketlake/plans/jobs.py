@@ -170,7 +170,7 @@ def run_backfill(spark: SparkSession, root: str, vendor_daily: DataFrame, start:
     gaps = spark.createDataFrame([(s, start, end, "no historical source", now) for s in unavailable],
                                  "stream string, start string, end string, reason string, recorded_at string")
     for s in unavailable:
-        sink.record_gaps(gaps.where(F.col("stream") == s), root, s)
+        sink.record_gaps(gaps.where(F.col("stream") == s), root, s, f"backfill-{start}-{end}")
     failed = {e["stream"]: e["error"] for e in errors}
     daily = chunks.select(F.lit("daily_ohlcv").alias("stream"), "chunk", "start", "end")
     daily = (daily.join(counted, "chunk", "left") if counted is not None else daily.withColumn("rows", F.lit(0))).select(
@@ -192,10 +192,16 @@ def _land_reference(vendor: DataFrame, root: str, table: str, snapshot: str) ->
 
 def run_reference(spark: SparkSession, root: str, vendor_tickers: DataFrame, vendor_futures: DataFrame,
                   snapshot: str) -> dict:
-    """L4: normalise and land both reference tables under one snapshot."""
+    """L4: normalise and land both reference tables under one snapshot (S12); rows of each, and the list of errors."""
     configure(spark)
-    return {"tickers": _land_reference(vendor_tickers, root, "tickers", snapshot),
-            "futures_contracts": _land_reference(vendor_futures, root, "futures_contracts", snapshot)}
+    out: dict = {"errors": []}
+    for table, vendor in (("tickers", vendor_tickers), ("futures_contracts", vendor_futures)):
+        try:
+            out[table] = _land_reference(vendor, root, table, snapshot)
+        except Exception as e:  # noqa: BLE001 - one table must not stop the other
+            out[table] = 0
+            out["errors"].append({"stream": table, "error": f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"})
+    return out
 
 
 def run_dq(spark: SparkSession, root: str, calendar: cal.Calendar) -> DataFrame:

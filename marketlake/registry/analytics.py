@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import analytics as an
 from ..operators import calendar as cal
+from ..operators import index as ix
 from ..operators.bars import latest_snapshot
 from ..sources import jsonl
 from . import query
@@ -132,3 +133,60 @@ def q_spread_decay(lk):
     """Quoted spread through the trading session."""
     return an.spread_decay(_flagged(lk, lk.curated_l1)).withColumn(
         "avg_spread_bps", F.round("avg_spread_bps", 9))
+
+
+@query("gap_filled_by_symbol", """
+WITH g0 AS (SELECT CASE WHEN coalesce(CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' END, false) THEN value END AS v FROM gap_lines),
+g AS (SELECT s, coalesce(e, s) AS e, reason FROM (
+        SELECT CAST(TRY_STRPTIME(json_extract_string(v, '$.start'), '%Y-%m-%d') AS DATE) AS s,
+               CAST(TRY_STRPTIME(json_extract_string(v, '$.end'), '%Y-%m-%d') AS DATE) AS e, json_extract_string(v, '$.reason') AS reason
+        FROM g0 WHERE json_extract_string(v, '$.stream') = 'ticks') WHERE s IS NOT NULL AND coalesce(e, s) >= s),
+days AS (SELECT DISTINCT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM g),
+islands AS (SELECT min(d) AS gap_start, max(d) AS gap_end FROM (SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS island FROM days) GROUP BY island),
+named AS (SELECT gap_start, gap_end, string_agg(DISTINCT coalesce(reason, ''), '; ' ORDER BY coalesce(reason, '')) AS reasons
+          FROM islands JOIN g ON s BETWEEN gap_start AND gap_end GROUP BY ALL),
+c AS (SELECT symbol, date, count(*) AS ticks FROM curated_ticks GROUP BY ALL),
+span AS (SELECT symbol, min(date) AS lo, max(date) AS hi FROM c GROUP BY symbol),
+due AS (SELECT symbol, d AS date, gap_start, gap_end, reasons FROM span JOIN days ON d BETWEEN lo AND hi JOIN named ON d BETWEEN gap_start AND gap_end)
+SELECT coalesce(c.symbol, due.symbol) AS symbol, coalesce(c.date, due.date) AS date, ticks, gap_start, gap_end, reasons
+FROM c FULL JOIN due ON c.symbol = due.symbol AND c.date = due.date
+""")
+def q_gap_filled_by_symbol(lk):
+    """M6: recorded gaps, overlapping ones counted once, against each symbol's own span."""
+    return an.gap_filled_by_symbol(lk.curated_ticks, jsonl.read_gaps(lk.gap_lines))
+
+
+@query("index_recompute", """
+WITH RECURSIVE b AS (
+  SELECT * FROM (SELECT symbol, date, close, lag(close) OVER (PARTITION BY symbol ORDER BY date) AS prev FROM curated_daily WHERE close > 0)
+  WHERE prev IS NOT NULL),
+held AS (SELECT b.symbol, b.date, b.close, b.prev, arg_max(f.market_cap, {'d': f.as_of_date, 'c': f.market_cap}) AS weight
+         FROM b JOIN curated_fundamentals f ON f.symbol = b.symbol AND f.as_of_date < b.date AND f.market_cap > 0 GROUP BY ALL),
+listed AS (SELECT symbol, sector_l1 AS index_code FROM tickers WHERE snapshot = (SELECT max(snapshot) FROM tickers)),
+moves AS (
+  SELECT index_code, date, count(*) AS constituents,
+         CAST(sum(CAST(weight AS HUGEINT) * close * 1000000 // prev) AS DOUBLE) / CAST(sum(CAST(weight AS HUGEINT) * 1000000) AS DOUBLE) AS ratio
+  FROM held JOIN listed USING (symbol) GROUP BY ALL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY index_code ORDER BY date) AS n FROM moves),
+chained(index_code, n, date, constituents, chain) AS (
+  SELECT index_code, n, date, constituents, ratio FROM numbered WHERE n = 1
+  UNION ALL SELECT m.index_code, m.n, m.date, m.constituents, c.chain * m.ratio
+  FROM chained c JOIN numbered m ON m.index_code = c.index_code AND m.n = c.n + 1),
+published AS (SELECT listed.index_code, d.date, CAST(max(d.close) AS DOUBLE) AS value
+              FROM curated_daily d JOIN listed USING (symbol) GROUP BY ALL),
+j AS (SELECT c.*, p.value FROM chained c LEFT JOIN published p USING (index_code, date)),
+base AS (SELECT index_code, arg_min(value, date) AS value, arg_min(chain, date) AS chain FROM j WHERE value IS NOT NULL GROUP BY index_code),
+leveled AS (SELECT j.index_code, date, constituents, j.chain * (base.value / base.chain) AS level, j.value AS published FROM j JOIN base USING (index_code))
+SELECT index_code, date, constituents, round(ln(level), 6) AS ln_level, published, round(abs(published - level) / level, 6) AS rel_diff,
+       abs(published - level) / level > 0.001 AS off
+FROM leveled
+""")
+def q_index_recompute(lk):
+    """M9: one index per sector, weighted by market cap, against the greatest close of the sector's day as the published
+    value (the level as its logarithm, as the bars' prices are random; rounded to 6 places)."""
+    listed = latest_snapshot(lk.tickers).select("symbol", F.col("sector_l1").alias("index_code"))
+    published = lk.curated_daily.join(listed, "symbol").groupBy("index_code", "date").agg(F.max("close").cast("double").alias("value"))
+    weights = lk.curated_fundamentals.select("symbol", "as_of_date", F.col("market_cap").alias("weight"))
+    out = ix.index_recompute(lk.curated_daily, weights, published, listed)
+    return out.select("index_code", "date", "constituents", F.round(F.log("level"), 6).alias("ln_level"), "published",
+                      F.round("rel_diff", 6).alias("rel_diff"), "off")

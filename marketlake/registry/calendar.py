@@ -179,6 +179,18 @@ def q_ack_lag(lk):
                             "quotes_l2": lk.quotes_l2_raw, "index_values": lk.index_raw})
 
 
+@query("ack_lag_sketch", """
+SELECT stream, date, count(*) AS messages, true AS within
+FROM (SELECT 'ticks' AS stream, CAST(ts_event AS DATE) AS date FROM ticks_raw UNION ALL SELECT 'quotes_l1', CAST(ts_event AS DATE) FROM quotes_l1_raw
+      UNION ALL SELECT 'quotes_l2', CAST(ts_event AS DATE) FROM quotes_l2_raw UNION ALL SELECT 'index_values', CAST(ts_event AS DATE) FROM index_raw)
+GROUP BY stream, date
+""")
+def q_ack_lag_sketch(lk):
+    """X8 by mergeable sketches: whether each day's 99th percentile is within the stated rank error."""
+    return quality.lag_rank_check({"ticks": lk.ticks_raw, "quotes_l1": lk.quotes_l1_raw,
+                                   "quotes_l2": lk.quotes_l2_raw, "index_values": lk.index_raw})
+
+
 @query("stream_silence", f"""
 WITH f AS ({SQL_IN_SESSION}),
 g AS (SELECT symbol, local_date, session_no,

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from ..functions.prices import l1_derived
 from ..operators import adjust, curate, dedup, factors
+from ..sinks import lake as sink
+from ..sources import lake as src
 from . import query
 
 
@@ -115,3 +119,34 @@ def q_factors(lk):
     return factors.factors_between(lk.curated_daily, "1997-01-01", "1998-12-31")
 
 
+@query("curate_daily_incremental", "SELECT * FROM curated_daily")
+def q_curate_daily_incremental(lk):
+    """L2 by what has changed: the bars and nine tenths of the actions are landed and curated, then the other actions are
+    landed and taken up; the table as it is then."""
+    from ..plans.daily import curate_daily
+    root = lk.scratch("incremental")
+    few = F.pmod(F.xxhash64("symbol", "ex_date", "action_type"), F.lit(10)) == 0
+    sink.land_daily(lk.daily_raw, root)
+    for part in (~few, few):
+        sink.land_corp_actions(lk.corp_actions_raw.where(part), root)
+        curate_daily(lk.spark, root)
+    return src.curated_columns(lk.spark, root, "daily_ohlcv")
+
+
+@query("land_ticks", "SELECT symbol, ts_event, trade_id, price, volume, ts_received FROM ticks_raw")
+def q_land_ticks(lk):
+    """A day's ticks landed, the same batch landed again, and read back with the declared schema."""
+    root = lk.scratch("landing")
+    for _ in range(2):
+        sink.land_stream(lk.ticks_raw, root, "ticks", "7")
+    return src.scan_raw(lk.spark, root, "ticks").select("symbol", "ts_event", "trade_id", "price", "volume", "ts_received")
+
+
+@query("land_corp_actions", "SELECT symbol, ex_date, action_type, ratio, amount FROM corp_actions_raw")
+def q_land_corp_actions(lk):
+    """Actions landed by key in two parts, the second of them twice, and read back."""
+    root = lk.scratch("landing")
+    some = F.pmod(F.xxhash64("symbol", "ex_date", "action_type"), F.lit(3)) == 0
+    for part in (some, ~some, ~some):
+        sink.land_corp_actions(lk.corp_actions_raw.where(part), root)
+    return src.scan_raw(lk.spark, root, "corp_actions").select("symbol", "ex_date", "action_type", "ratio", "amount")

@@ -7,7 +7,8 @@ Layout (relative to a lake root):
     _ops/rejected/<stream>/date=D/batch=B/ quarantine
     _ops/parse-errors/channel=C/date=D/batch=B/
     _ops/ingest-receipts/date=D/stream=S/batch=B/   JSON lines
-    _ops/permanent-gaps/stream=S/          JSON lines (append)
+    _ops/permanent-gaps/S.jsonl/run=R/     JSON lines
+    _ops/dead-letters/topic=T/run=R/       text lines
 
 Every overwrite names the dynamic mode itself, so it never depends on a session setting, and
 nothing outside the partitions of the data at hand is touched.  A micro-batch or job run that is repeated
@@ -151,16 +152,18 @@ def write_receipts(receipts: DataFrame, root: str, batch: str) -> None:
     write_partitioned(out, f"{root}/_ops/ingest-receipts", ["day", "of", "batch"], "overwrite", fmt="json")
 
 
-def record_gaps(gaps: DataFrame, root: str, stream: str) -> None:
-    """Append gap records (stream, start, end, reason, recorded_at) as JSON lines."""
+def record_gaps(gaps: DataFrame, root: str, stream: str, run: str = "0") -> None:
+    """Gap records (stream, start, end, reason, recorded_at) of one job run as JSON lines (S6); the same run again
+    replaces its own records."""
     out = gaps.select("stream", F.col("start").cast("string").alias("start"), F.col("end").cast("string").alias("end"),
-                      "reason", F.col("recorded_at").cast("string").alias("recorded_at"))
-    out.write.mode("append").json(f"{root}/_ops/permanent-gaps/{stream}.jsonl")
+                      "reason", F.col("recorded_at").cast("string").alias("recorded_at"), F.lit(run).alias("run"))
+    write_partitioned(out, f"{root}/_ops/permanent-gaps/{stream}.jsonl", ["run"], "overwrite", fmt="json")
 
 
-def export_dead_letters(lines: DataFrame, root: str) -> DataFrame:
-    """Dead-letter lines (topic, value) as text files by topic; returns messages per topic."""
-    lines.hint("rebalance", F.col("topic")).write.mode("append").partitionBy("topic").text(f"{root}/_ops/dead-letters")
+def export_dead_letters(lines: DataFrame, root: str, run: str = "0") -> DataFrame:
+    """Dead-letter lines (topic, value) as text files by topic and job run; the same run again replaces its own files.
+    Returns messages per topic (S7)."""
+    write_partitioned(lines.withColumn("run", F.lit(run)), f"{root}/_ops/dead-letters", ["topic", "run"], "overwrite", fmt="text")
     return lines.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
 
