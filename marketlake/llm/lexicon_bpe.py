@@ -84,20 +84,28 @@ class Tokenizer:
         self.strings = {i: s for s, i in (vocab | self.special).items()}
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def words(self, text: str | None) -> list[str]:
-        """The pieces that are encoded each by itself; special tokens' strings are pieces of their own."""
+    def tokens(self, text: str | None) -> list[str]:
+        """Runs between blanks, or single pieces after a NUL where this module does not split the text itself."""
         text = text or ""
         parts = [p for p in self.specials.split(text) if p] if "<|" in text and self.specials else [text]
         out: list[str] = []
         for part in parts:
             if part in self.special:
-                out.append(part)
+                out.append("\0" + part)
             elif self.plain and _PLAIN.fullmatch(part):
-                out += _SPLIT.findall(part.lower())
+                out += part.lower().split()
             else:
-                out += [bytes(map(self.byte_of.__getitem__, p)).decode() for p, _ in self.split(self.normalise(part))]
+                out += ["\0" + bytes(map(self.byte_of.__getitem__, p)).decode() for p, _ in self.split(self.normalise(part))]
         return out
 
+    def pieces(self, token: str) -> list[str]:
+        """The pieces of one of `tokens`; no piece holds a blank, so runs between blanks can be split each by itself."""
+        return [token[1:]] if token[0] == "\0" else _SPLIT.findall(token)
+
+    def words(self, text: str | None) -> list[str]:
+        """The pieces that are encoded each by itself; special tokens' strings are pieces of their own."""
+        return [w for t in self.tokens(text) for w in self.pieces(t)]
+
     def merged(self, word: str) -> tuple[int, ...]:
         """The ids of one piece: the pair of lowest rank, leftmost first, is merged until none is left."""
         if word in self.special:
@@ -264,11 +272,15 @@ def _counted(batches: Iterator[pa.RecordBatch], path: str, schema: pa.Schema):
     tk, seen = load(path), Counter()
 
     def out():
-        words = [w for w in seen if w not in tk.special and len(w.encode()) <= WORD_BYTES]
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())], schema=schema)
+        n = Counter()
+        for t, c in seen.items():
+            for w in tk.pieces(t):
+                n[w] += c
+        words = [w for w in n if w not in tk.special and len(w.encode()) <= WORD_BYTES]
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([n[w] for w in words], pa.int64())], schema=schema)
     for b in batches:
         for t in b.column(0):
-            seen.update(tk.words(t.as_py()))
+            seen.update(tk.tokens(t.as_py()))
         if len(seen) >= COUNTED_MOST:
             yield out()
             seen.clear()
@@ -328,12 +340,19 @@ def lexicon_for(df: DataFrame, text_col: str = "text", path: str | None = None,
     return _shipped(df.sparkSession, compile_lexicon({w.encode(): tk.merged(w) for w in words}))
 
 
+def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of runs one after another."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, name: str, schema: pa.Schema):
     tk, lex = load(path), _lexicon(name)
     for b in batches:
-        code: dict[str, int] = {}
-        docs = [[code.setdefault(w, len(code)) for w in tk.words(t.as_py())] for t in b.column(b.num_columns - 1)]
-        words = list(code)
+        token: dict[str, int] = {}
+        docs = [[token.setdefault(t, len(token)) for t in tk.tokens(text.as_py())] for text in b.column(b.num_columns - 1)]
+        word: dict[str, int] = {}
+        parts = [[word.setdefault(w, len(word)) for w in tk.pieces(t)] for t in token]
+        words = list(word)
         numbers = lex.numbers([w.encode() for w in words])
         # ids of the distinct words one after another: those of the lexicon, then the exactly merged ones
         seen = numbers >= 0
@@ -344,11 +363,15 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, name: str, schema: pa
         size[seen] = lex.run[numbers[seen] + 1] - first[seen]
         size[~seen] = [len(r) for r in rest]
         first[~seen] = len(lex.ids) + np.cumsum(size[~seen]) - size[~seen]
+        # the same for the distinct tokens
+        flat = np.fromiter((w for p in parts for w in p), np.int64)
+        table = table[_spread(first[flat], size[flat])]
+        size = np.bincount(np.repeat(np.arange(len(parts)), [len(p) for p in parts]), size[flat], len(parts)).astype(np.int64)
+        first = np.cumsum(size) - size
         n_ids, blobs = [], []
         for doc in docs:
             d = np.asarray(doc, np.int64)
-            n = size[d]
-            ids = table[np.repeat(first[d] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            ids = table[_spread(first[d], size[d])]
             n_ids.append(len(ids))
             blobs.append(ids.astype("<u4", copy=False).tobytes())
         yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n_ids, pa.int64()), pa.array(blobs, pa.binary())], schema=schema)
