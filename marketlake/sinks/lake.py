@@ -80,6 +80,12 @@ def remove(spark, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def move(spark, path: str, to: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).rename(p, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "append",
                       max_records: int = MAX_RECORDS_PER_FILE, fmt: str = "parquet",
                       sort_cols: Sequence[str] = ()) -> None:

@@ -25,11 +25,11 @@ from ..sinks import lake as sink
 MESSAGE_SCHEMA = "msg_id long, channel string, payload string, ts_received timestamp"
 
 #: A flush: at most so much input a micro-batch, at least one a minute.
-FLUSH_BYTES, FLUSH_INTERVAL = "50m", "60 seconds"
+FLUSH_BYTES, FLUSH_INTERVAL = 50 << 20, "60 seconds"
 
 
 def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                   max_bytes_per_trigger: str | None = None) -> DataFrame:
+                   max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Messages as they arrive, at most `max_files_per_trigger` files or `max_bytes_per_trigger` (FLUSH_BYTES unless
     either is given) a micro-batch."""
     r = spark.readStream.schema(MESSAGE_SCHEMA)
@@ -65,7 +65,7 @@ def land_batch(batch: DataFrame, root: str, epoch: int | str) -> dict:
 
 def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
                  available_now: bool = False, interval: str = FLUSH_INTERVAL,
-                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> StreamingQuery:
     """Continuous landing.  A micro-batch is flushed every `interval` and bounded by bytes (FLUSH_BYTES) or,
     if given, by files; `available_now` drains what exists and stops."""
     w = (message_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger).writeStream
@@ -75,12 +75,11 @@ def start_ingest(spark: SparkSession, source: str, root: str, checkpoint: str,
     return w.start()
 
 
-def drain(query: StreamingQuery) -> None:
-    """Flush all that has arrived, then stop; nothing is acknowledged that was not written."""
-    try:
-        query.processAllAvailable()
-    finally:
-        query.stop()
+def drain(query: StreamingQuery, spark: SparkSession, source: str, root: str, checkpoint: str) -> None:
+    """Stop an ingest and flush all that has arrived by a last run over the same checkpoint.  A micro-batch that the
+    stop has cut short is landed again under its own batch; nothing is acknowledged that was not written."""
+    query.stop()
+    start_ingest(spark, source, root, checkpoint, available_now=True).awaitTermination()
 
 
 def dedup_stream(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:

@@ -60,5 +60,10 @@ def test_projection_pruned(spark):
     assert "props" not in p.split("ReadSchema")[1].split("\n")[0]
 
 
+@pytest.mark.parametrize("name", ["write_receipts", "quarantine_rejects", "quarantine_parse_errors", "classify_symbol"])
+def test_messages_of_all_channels_are_decoded_once(spark, name):
+    assert plan(spark, name).split("== Initial Plan ==")[0].count("from_json(") == 1
+
+
 def test_sql_binds_parameters(spark):
     assert queries()["sql"](spark, SF_SMALL).count() > 0

@@ -168,6 +168,6 @@ def test_drain_flushes_what_has_arrived(spark):
     src, root, ck = (tempfile.mkdtemp(prefix=p) for p in ("msg-", "lake-", "ckpt-"))
     lk.messages_raw.coalesce(2).write.mode("overwrite").json(src)
     q = jobs.start_ingest(spark, src, root, ck, interval="1 hour")
-    jobs.drain(q)
+    jobs.drain(q, spark, src, root, ck)
     assert not q.isActive
     assert spark.read.parquet(f"{root}/raw/ticks").count() == lk.accepted_ticks.count()
