@@ -35,6 +35,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it; a cluster that installs it needs nothing."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's `spark.checkpoint.dir`.
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from .. import schemas
+from ..session import share_package
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -212,6 +213,7 @@ class Suppress(StatefulProcessor):
 
 def _applied(df: DataFrame, key: str, processor: StatefulProcessor, out: str, time_mode: str, initial: DataFrame | None = None) -> DataFrame:
     with_state_store(df.sparkSession)
+    share_package(df.sparkSession)
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=out, outputMode="Append", timeMode=time_mode,
         initialState=None if initial is None else initial.groupBy(key))
@@ -247,6 +249,9 @@ def coverage_alerts(receipts: DataFrame, start=None, streams=schemas.STREAMS, mi
 
 
 def suppress_stream(alerts: DataFrame, keep_s: float = max(schemas.ALERT_TTL_SECONDS.values()) + 3600) -> DataFrame:
-    """Alerts (alert_key, alert_id, ts, severity) -> with `sent`."""
+    """Alerts (alert_key, alert_id, ts, severity) -> with `sent`.
+
+    State that expires by the clock keeps a query busy with empty micro-batches; a run with the trigger availableNow ends
+    only where spark.sql.streaming.noDataMicroBatches.enabled is false."""
     return _applied(alerts, "alert_key", Suppress(keep_s), "alert_key string, alert_id long, ts timestamp, severity string, sent boolean",
                     "ProcessingTime")

@@ -42,9 +42,13 @@ def started(df, **trigger):
     return w.trigger(**trigger).start(), name
 
 
-def result(spark, df):
-    q, name = started(df, availableNow=True)
-    q.awaitTermination(300)
+def result(spark, df, empty_batches="true"):
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", empty_batches)
+    try:
+        q, name = started(df, availableNow=True)
+        assert q.awaitTermination(200)
+    finally:
+        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
     return sorted(tuple(r) for r in spark.table(name).collect())
 
 
@@ -132,7 +136,7 @@ def test_suppression_over_triggers(spark, triggers):
     n = len(rows) // triggers
     for t in range(triggers):
         src.put(rows[t * n: (t + 1) * n])
-    got = result(spark, state.suppress_stream(src.stream()))
+    got = result(spark, state.suppress_stream(src.stream()), "false")
     assert {r[1]: r[4] for r in got} == sequential(rows)
 
 

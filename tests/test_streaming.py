@@ -72,9 +72,13 @@ def test_stream_suppression_equals_batch(spark):
     for i, f in enumerate(sorted(x for x in os.listdir(d) if x.startswith("part-"))):
         os.utime(f"{d}/{f}", (time.time() - 100 + i, time.time() - 100 + i))
     s = spark.readStream.schema(spark.read.parquet(d).schema).option("maxFilesPerTrigger", 1).parquet(d)
-    q = (state.suppress_stream(s).writeStream.format("memory").queryName("supp_out").outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(600)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        q = (state.suppress_stream(s).writeStream.format("memory").queryName("supp_out").outputMode("append")
+             .trigger(availableNow=True).start())
+        assert q.awaitTermination(200)
+    finally:
+        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
     got = {r.alert_id: r.sent for r in spark.table("supp_out").collect()}
     exp = {r.alert_id: r.sent for r in al.suppress(spark.read.parquet(d)).collect()}
     assert got == exp
