@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import curate, incremental
 from ..operators.dedup import dedup_first
+from ..sinks import commits
 from ..sinks import lake as sink
 from ..sources import lake as src
 
@@ -28,7 +29,8 @@ def raw_days(spark: SparkSession, root: str) -> DataFrame:
     if not parts:
         raise FileNotFoundError(f"no daily bars under {root}/raw")
     # the content column is not selected, so no file is opened
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(parts)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(
+        [x for p in parts for x in commits.live_folders(spark, p)])
     day = F.regexp_extract("path", "/date=([0-9-]+)/", 1).try_cast("date")
     return files.select(day.alias("date"), F.xxhash64("path", "modificationTime", "length").alias("h")).where("date is not null").groupBy(
         "date").agg(F.xxhash64(F.array_sort(F.collect_list("h"))).alias("files"))

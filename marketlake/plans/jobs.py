@@ -14,6 +14,7 @@ from ..operators import calendar as cal
 from ..operators import curate, quality, refdata
 from ..operators.adjust import action_factors
 from ..session import configure
+from ..sinks import commits
 from ..sinks import lake as sink
 from ..sources import lake as src
 from . import daily
@@ -146,12 +147,11 @@ def run_backfill(spark: SparkSession, root: str, vendor_daily: DataFrame, start:
     counted = None
     try:
         if sink.path_exists(spark, landed):
-            present = spark.read.parquet(landed).select("symbol", "date").distinct()
+            present = commits.read(spark, landed).select("symbol", "date").distinct()
             bars = bars.join(present, ["symbol", "date"], "left_anti")
-        tagged = refdata.gate_by_chunk(bars, chunks, "date").withColumn("source", F.lit("backfill"))
-        tagged = sink.staged(tagged.withColumn("year", F.year("date")), "backfill")
+        tagged = sink.staged(refdata.gate_by_chunk(bars, chunks, "date"), "backfill")
         counted = tagged.groupBy("chunk").agg(F.count(F.lit(1)).alias("rows"))
-        sink.merge_by_key(tagged.drop("chunk"), landed, ["source", "year", "date"], ["symbol", "date"])
+        sink.land_backfill(tagged.drop("chunk"), root)
     except Exception as e:  # noqa: BLE001
         errors.append({"stream": "daily_ohlcv", "error": f"{type(e).__name__}: {str(e).splitlines()[0]}"})
     rows = {}

@@ -162,3 +162,21 @@ ALERT_BODY = T.StructType([
     T.StructField("body", T.StringType()), T.StructField("scope", T.StringType()),
     T.StructField("source", T.StringType()),
 ])
+
+# Pulled tables as landed: the entity, the landing order and the partition columns
+_DAILY = ("date date, symbol string, asset_class string, exchange string, open bigint, high bigint, low bigint, close bigint, volume bigint, "
+          "value bigint, foreign_buy_vol bigint, foreign_sell_vol bigint, ingest_seq bigint")
+_TYPES = {"date": T.DateType(), "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType()}
+PULLED = {t: T.StructType([T.StructField(n, _TYPES[k]) for n, k in (c.split() for c in cols.split(","))]) for t, cols in {
+    "daily_ohlcv": f"{_DAILY}, year int",
+    "daily_ohlcv_backfill": f"{_DAILY}, source string, year int",
+    "fundamentals": "as_of_date date, symbol string, period string, pe double, pb double, eps double, bvps double, roe double, roa double, "
+                    "debt_to_equity double, market_cap bigint, revenue bigint, net_income bigint, total_assets bigint, total_equity bigint, "
+                    "ingest_seq bigint, quarter string",
+    "corp_actions": "ex_date date, record_date date, payment_date date, symbol string, action_type string, ratio double, amount double, "
+                    "ingest_seq bigint, year int",
+    "tickers": "symbol string, name string, exchange string, asset_class string, sector_l1 string, sector_l2 string, industry string, "
+               "status string, listed_date date, lot_size bigint, tick_size bigint, foreign_room_pct double, snapshot date",
+    "futures_contracts": "symbol string, underlying_index string, expiry_date date, contract_size bigint, tick_size bigint, margin_pct double, "
+                         "snapshot date",
+}.items()}

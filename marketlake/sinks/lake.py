@@ -2,7 +2,7 @@
 
 Layout (relative to a lake root):
     raw/<stream>/date=D/.../batch=B/       market streams: a batch replaces itself only
-    raw/<table>/<partition dirs>/          daily bars, fundamentals, actions, reference: merged by key
+    raw/<table>/commit=C/<partition dirs>/ daily bars, fundamentals, actions, reference: merged by key (commits.py)
     curated/<stream>/<partition dirs>/     partitions present in the result are replaced (idempotent re-runs)
     _ops/rejected/<stream>/date=D/batch=B/ quarantine
     _ops/parse-errors/channel=C/date=D/batch=B/
@@ -26,7 +26,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..session import checkpoint_dir
+from . import commits
+from .fs import list_dir, move, path_exists, remove
+
+__all__ = ["list_dir", "move", "path_exists", "remove"]
 
 RAW_LAYOUT = {
     "ticks": ["date", "asset_class", "batch"],
@@ -48,6 +53,7 @@ CURATED_LAYOUT = {
 # keys by which a landing replaces rows of earlier landings
 LANDING_KEYS = {
     "daily_ohlcv": ["symbol", "date"],
+    "daily_ohlcv_backfill": ["symbol", "date"],
     "fundamentals": ["symbol", "period", "as_of_date"],
     "corp_actions": ["symbol", "ex_date", "action_type"],
     "tickers": ["symbol", "snapshot"],
@@ -55,6 +61,7 @@ LANDING_KEYS = {
 }
 LANDING_LAYOUT = {
     "daily_ohlcv": ["year", "date"],
+    "daily_ohlcv_backfill": ["source", "year", "date"],
     "fundamentals": ["quarter"],
     "corp_actions": ["year"],
     "tickers": ["snapshot"],
@@ -63,29 +70,6 @@ LANDING_LAYOUT = {
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def path_exists(spark, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def list_dir(spark, path: str) -> list[str]:
-    """Paths of the entries of a folder."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return [str(x.getPath()) for x in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
-
-
-def remove(spark, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def move(spark, path: str, to: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).rename(p, spark._jvm.org.apache.hadoop.fs.Path(to)):
-        raise OSError(f"cannot move {path} to {to}")
-
-
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "append",
                       max_records: int = MAX_RECORDS_PER_FILE, fmt: str = "parquet",
                       sort_cols: Sequence[str] = ()) -> None:
@@ -110,20 +94,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(aside)
 
 
-def merge_by_key(df: DataFrame, path: str, partition_cols: Sequence[str], keys: Sequence[str]) -> None:
-    """Land rows so that they replace earlier rows of equal `keys` in the same partitions and keep
-    all others.  Only partitions present in `df` are read (dynamic pruning) and
-    written; the merged rows are written aside first, as a table cannot be read while it is replaced.
-    One writer at a time per table, as for any overwrite."""
-    spark = df.sparkSession
-    if path_exists(spark, path):
-        old = spark.read.parquet(path)
-        touched = df.select(*partition_cols).distinct()
-        rest = old.join(touched, list(partition_cols), "left_semi").join(df.select(*keys).distinct(), list(keys), "left_anti")
-        df = staged(rest.unionByName(df, allowMissingColumns=True), "landing")
-    write_partitioned(df, path, partition_cols, "overwrite")
-
-
 def _with_batch(df: DataFrame, batch: str) -> DataFrame:
     return df.withColumn("batch", F.lit(str(batch)))
 
@@ -173,24 +143,31 @@ def export_dead_letters(lines: DataFrame, root: str, run: str = "0") -> DataFram
     return lines.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
 
-def land_table(df: DataFrame, root: str, table: str) -> None:
-    """Pulled rows of a table: they replace earlier rows of their keys, others stay."""
-    merge_by_key(df, f"{root}/raw/{table}", LANDING_LAYOUT[table], LANDING_KEYS[table])
+def land_table(df: DataFrame, root: str, table: str, keep: int = 0) -> int:
+    """Pulled rows of a table: they replace earlier rows of their keys, others stay (S9-S12).  Returns the version committed;
+    rows that do not fit the table's schema are refused, see `commits`."""
+    return commits.merge(df, f"{root}/raw/{table}", LANDING_LAYOUT[table], LANDING_KEYS[table], schemas.PULLED[table], keep)
 
 
-def land_daily(bars: DataFrame, root: str) -> None:
+def land_daily(bars: DataFrame, root: str, keep: int = 0) -> int:
     """Daily bars by (year, date) (S9).  Symbol is not a directory level: ~1,600
     tiny files a day would be the result."""
-    land_table(bars.withColumn("year", F.year("date")), root, "daily_ohlcv")
+    return land_table(bars.withColumn("year", F.year("date")), root, "daily_ohlcv", keep)
+
+
+def land_backfill(bars: DataFrame, root: str, source: str = "backfill", keep: int = 0) -> int:
+    """Daily bars of a backfill by (source, year, date)."""
+    rows = bars.withColumns({"source": F.lit(source), "year": F.year("date")})
+    return land_table(rows, root, "daily_ohlcv_backfill", keep)
 
 
-def land_fundamentals(df: DataFrame, root: str) -> None:
-    land_table(df if "quarter" in df.columns else df.withColumn("quarter", F.col("period")), root, "fundamentals")
+def land_fundamentals(df: DataFrame, root: str, keep: int = 0) -> int:
+    return land_table(df if "quarter" in df.columns else df.withColumn("quarter", F.col("period")), root, "fundamentals", keep)
 
 
-def land_corp_actions(df: DataFrame, root: str) -> None:
-    land_table(df.withColumn("year", F.year("ex_date")), root, "corp_actions")
+def land_corp_actions(df: DataFrame, root: str, keep: int = 0) -> int:
+    return land_table(df.withColumn("year", F.year("ex_date")), root, "corp_actions", keep)
 
 
-def land_reference(df: DataFrame, root: str, table: str) -> None:
-    land_table(df, root, table)
+def land_reference(df: DataFrame, root: str, table: str, keep: int = 0) -> int:
+    return land_table(df, root, table, keep)

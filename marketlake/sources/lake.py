@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import curate
+from ..sinks import commits
 from ..sinks.lake import CURATED_LAYOUT, path_exists
 
 _LANDED = [T.StructField("ingest_seq", T.LongType()), T.StructField("date", T.DateType()),
@@ -24,19 +25,17 @@ CURATED_COLS = {
 }
 
 
-def scan_raw(spark: SparkSession, root: str, stream: str, date: str | None = None) -> DataFrame:
-    """Raw Parquet of one stream, one day (partition-pruned) or all days.  The market
-    streams are read with their declared schema, nothing is inferred."""
+def scan_raw(spark: SparkSession, root: str, stream: str, date: str | None = None, version: int | None = None) -> DataFrame:
+    """Raw Parquet of one stream or pulled table, one day (partition-pruned) or all days.  The market
+    streams are read with their declared schema, pulled tables with that of their newest version (or an earlier one
+    that is kept); nothing is inferred."""
     base = f"{root}/raw/{stream}"
-    reader = spark.read
-    if stream in RAW_SCHEMAS:
-        reader = reader.schema(RAW_SCHEMAS[stream])
-    raw = reader.parquet(base)
+    raw = spark.read.schema(RAW_SCHEMAS[stream]).parquet(base) if stream in RAW_SCHEMAS else commits.read(spark, base, version)
     if date is not None:
         raw = raw.where(F.col("date") == F.lit(str(date)).cast("date"))
     if stream == "quotes_l2":
         raw = raw.withColumn("hour", F.hour("ts_event"))
-    return raw.drop("batch")
+    return raw.drop("batch") if stream in RAW_SCHEMAS else raw
 
 
 DAILY_LAYOUTS = ("daily_ohlcv", "daily_ohlcv_backfill")
@@ -50,7 +49,7 @@ def scan_daily_layouts(spark: SparkSession, root: str) -> DataFrame:
     for sub in DAILY_LAYOUTS:
         p = f"{root}/raw/{sub}"
         if path_exists(spark, p):
-            parts.append(spark.read.parquet(p))
+            parts.append(commits.read(spark, p))
     if not parts:
         raise FileNotFoundError(f"no daily bars under {root}/raw")
     out = parts[0]
