@@ -1,10 +1,12 @@
 """Texts full of matches: the same spans, in time that grows about as the text does."""
 
+import random
+import re
 import time
 
 from brute import pii as plain
 
-from marketlake.llm import pii
+from marketlake.llm import line_dedup, pii
 
 WORDS = "alpha beta gamma delta"
 
@@ -29,3 +31,36 @@ def test_detection_of_thousands_of_spans(spark):
     large, row = seconds(spark, text(8000))  # 650 KB, 24,000 spans
     assert row.n_email == row.n_ip == row.n_phone == 8000
     assert large < 30 and large < 10 * max(small, 0.5)
+
+
+def plain_text(html):
+    """The same text by patterns that search anew for each opening."""
+    text = re.sub(r"(?is)<(script|style)\b[^>]*>.*?</\1[ \t\n\x0b\f\r]*>|<!--.*?-->", "\n", html)
+    return re.sub(r"[ \t\n\x0b\f\r]*<[^>]*>[ \t\n\x0b\f\r]*", "\n", text)
+
+
+def page_texts(spark, htmls):
+    df = spark.createDataFrame([(i, "http://a.example/", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    return [r.text for r in line_dedup.page_texts(df).orderBy("page_id").collect()]
+
+
+def test_page_texts_of_any_mixture(spark):
+    r = random.Random(5)
+    bits = ["<script>", "<SCRIPT x=1>", "</script>", "</Script  >", "<style>", "</style>", "<!--", "-->", "<!-->", "<p>", "</p>", "<", ">", "  ", "\n", "word",
+            "<script", "scripts", "<scripted>", "\ue000", "<\ue000bscript>", "a", "b", "\U0001f600", "</script"]
+    htmls = ["".join(r.choice(bits) for _ in range(r.randrange(30))) for _ in range(3000)]
+    assert page_texts(spark, [*htmls, None]) == [*map(plain_text, htmls), None]
+
+
+def test_page_texts_of_openings_that_never_close(spark):
+    """A megabyte each; a search to the end for every opening would take hours."""
+    n = 150_000
+    hard = ["<script>" * n, "<script>" * n + "-->", "<!-- " * n + "</script></style>", "<style" * n, "<" * 8 * n, "x" + " " * 8 * n + "x", "</script " * n,
+            "<script>a</script>" * n]
+    began = time.perf_counter()
+    got = page_texts(spark, hard)
+    assert time.perf_counter() - began < 60
+    assert got[4] == hard[4] and got[5] == hard[5] and got[6] == hard[6] and got[7] == "\n" * n
+    df = spark.createDataFrame([(1, "h", "a" + " " * 8 * n + "b\nc")], "page_id long, host string, text string")
+    row = line_dedup.drop_lines(df).collect()[0]
+    assert (row.n_lines, row.n_dropped) == (2, 0) and time.perf_counter() - began < 90
