@@ -29,9 +29,10 @@ def lines_of(text: Column) -> Column:
 
 
 def boilerplate(df: DataFrame, host_col: str = "host", text_col: str = "text",
-                max_ratio: float = 0.2, min_pages: int = 10) -> DataFrame:
+                max_ratio: float = 0.2, min_pages: int = 3) -> DataFrame:
     """(host, drops array<long>): the keys of the lines that stand on more than `max_ratio` of the
-    host's pages and on `min_pages` at least.  A host has at most (mean lines a page / max_ratio) of them.
+    host's pages and on `min_pages` at least, the least that tells a habit of the host from a line quoted once: it
+    decides for hosts of fewer than `min_pages` / `max_ratio` pages.  A host has at most (mean lines a page / max_ratio) of them.
     Counted with map-side partial sums, so a line or host in a third of all rows costs one row a task."""
     host = F.col(host_col).alias("host")
     keys = F.array_distinct(F.array_compact(F.transform(lines_of(F.col(text_col)), line_key)))
@@ -48,7 +49,7 @@ def boilerplate(df: DataFrame, host_col: str = "host", text_col: str = "text",
 
 
 def drop_lines(df: DataFrame, host_col: str = "host", text_col: str = "text",
-               max_ratio: float = 0.2, min_pages: int = 10) -> DataFrame:
+               max_ratio: float = 0.2, min_pages: int = 3) -> DataFrame:
     """`df` with the boilerplate lines taken out of `text_col`, plus n_lines long (lines
     with a word) and n_dropped long.
 

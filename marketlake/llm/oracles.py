@@ -67,7 +67,7 @@ WITH texts AS (
 ), totals AS (SELECT host, COUNT(*) AS pages FROM numbered GROUP BY host
 ), often AS (
   SELECT l.host, l.line FROM (SELECT host, line, COUNT(DISTINCT page) AS n FROM lines WHERE line <> '' GROUP BY ALL) l
-  JOIN totals t ON l.host IS NOT DISTINCT FROM t.host WHERE n >= 10 AND n > CAST(0.2 AS DOUBLE) * pages
+  JOIN totals t ON l.host IS NOT DISTINCT FROM t.host WHERE n >= 3 AND n > CAST(0.2 AS DOUBLE) * pages
 ), marked AS (
   SELECT l.*, o.line IS NOT NULL AS gone FROM lines l
   LEFT JOIN often o ON l.line = o.line AND l.host IS NOT DISTINCT FROM o.host

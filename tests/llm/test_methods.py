@@ -303,3 +303,12 @@ def test_long_texts_are_featurised_whole(monkeypatch):
     whole = toxicity.features(text)
     monkeypatch.setattr(toxicity, "CHUNK", 50)
     assert (toxicity.features(text) == whole).all()
+
+
+def test_a_small_host_loses_its_common_line(spark):
+    rows = [("small", f"menu\nown {i}") for i in range(3)] + [("pair", f"menu\nmine {i}") for i in range(2)] + [("many", f"quote\nline {i}" if i < 3 else f"line {i}") for i in range(20)]
+    out = line_dedup.drop_lines(spark.createDataFrame(rows, "host string, text string"))
+    got = {h: sorted(r.text for r in out.where(F.col("host") == h).collect()) for h in ("small", "pair", "many")}
+    assert got["small"] == [f"own {i}" for i in range(3)]
+    assert got["pair"] == [f"menu\nmine {i}" for i in range(2)]
+    assert sum("quote" in t for t in got["many"]) == 3

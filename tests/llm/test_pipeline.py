@@ -48,7 +48,7 @@ def test_stages(spark, tmp_path):
     pages, seen = Counter(s for _, _, _, s, _ in before), Counter()
     for _, t, _, s, _ in before:
         seen.update({(s, x.strip(" \t\n\v\f\r")) for x in t.split("\n")})
-    common = {x for x, n in seen.items() if x[1] and n >= 10 and n > 0.2 * pages[x[0]]}
+    common = {x for x, n in seen.items() if x[1] and n >= 3 and n > 0.2 * pages[x[0]]}
     want = Counter()
     for i, t, lang, s, _ in before:
         text = "\n".join(x for x in t.split("\n") if (s, x.strip(" \t\n\v\f\r")) not in common)
