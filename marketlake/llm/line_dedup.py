@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import same, small_side, written
 
-# a run of blanks is tried from its start only, so long runs cost their length
-EDGES = r"^[\x20\x09-\x0D]++|(?<![\x20\x09-\x0D])[\x20\x09-\x0D]++$"
+BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 # (opening, closing) of what is no text; an opening after the last closing opens nothing
 HIDDEN = ((r"<(script\b)", r"</script\s*+>"), (r"<(style\b)", r"</style\s*+>"), (r"<(!--)", r"-->"))
 MARK = "\ue000"
@@ -20,7 +19,7 @@ MARK = "\ue000"
 
 def line_key(line: Column) -> Column:
     """Hash of a line without the blanks at its ends; null for a blank line."""
-    bare = F.regexp_replace(line, EDGES, "")
+    bare = F.btrim(line, F.lit(BLANKS))
     return F.when(bare != "", F.xxhash64(bare))
 
 
@@ -73,28 +72,34 @@ def drop_lines(df: DataFrame, host_col: str = "host", text_col: str = "text",
         n.alias("n_lines"), (n - worded(F.col("__kept"))).alias("n_dropped"))
 
 
-def _closed(html: Column) -> Column:
-    """`html` with MARK inside every opening that stands after the last closing of its kind, so that no search for a
-    closing runs to the end in vain.  A MARK of the text itself is written as MARK and "a"."""
-    out = F.replace(html, F.lit(MARK), F.lit(MARK + "a"))
+def _closed(pages: DataFrame) -> DataFrame:
+    """`pages` with MARK inside every opening in `html` that stands after the last closing of its kind, so that no search for a
+    closing runs to the end in vain.  A MARK of the text itself is written as MARK and "a".  Steps are projections
+    of their own, as each uses the one before it more than once."""
+    rest = [c for c in pages.columns if c != "html"]
+    pages = pages.select(*rest, F.replace("html", F.lit(MARK), F.lit(MARK + "a")).alias("html"))
     for opening, closing in HIDDEN:
-        head = F.length(F.regexp_extract(out, f"(?is)^.*{closing}", 0))
-        tail = F.substr(out, head + 1)
-        out = F.when(tail.rlike(f"(?i){opening}"), F.concat(F.substr(out, F.lit(1), head), F.regexp_replace(
-            tail, f"(?i){opening}", f"<{MARK}b$1"))).otherwise(out)
-    return out
+        # the end of the last closing; pages without the opening need no search
+        head = F.when(F.col("html").rlike(f"(?i){opening}"), F.length(F.regexp_extract("html", f"(?is)^.*{closing}", 0)))
+        pages = pages.select(*rest, "html", head.alias("__head"))
+        tail = F.substr("html", F.col("__head") + 1)
+        marked = F.concat(F.substr("html", F.lit(1), F.col("__head")), F.regexp_replace(tail, f"(?i){opening}", f"<{MARK}b$1"))
+        pages = pages.select(*rest, F.when(F.col("__head") < F.length("html"), marked).otherwise(F.col("html")).alias("html"))
+    return pages
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
     """(page_id, host, text): the host of the URL in lower case, null without one, and the HTML's text with
     a line for each element.  The time grows as the HTML does, also for openings that are never closed."""
-    text = F.regexp_replace(_closed(F.col("html")), r"(?is)<(script|style)\b[^>]*+>.*?</\1\s*+>|<!--.*?-->", "\n")
+    text = F.regexp_replace("html", r"(?is)<(?:(script|style)\b[^>]*+>.*?</\1\s*+>|!--.*?-->)", "\n")
     text = F.replace(F.replace(text, F.lit(f"<{MARK}b"), F.lit("<")), F.lit(MARK + "a"), F.lit(MARK))
-    pages = pages.select("page_id", "url", text.alias("__html"))
+    pages = _closed(pages.select("page_id", "url", "html")).select("page_id", "url", text.alias("__html"))
     # after the last ">" and its blanks there is no element
     last = F.length(F.regexp_extract("__html", r"(?s)^.*>\s*+", 0))
-    text = F.concat(F.regexp_replace(F.substr("__html", F.lit(1), last), r"(?:\G|(?<!\s))\s*+<[^>]*+>\s*+", "\n"),
-                    F.substr("__html", last + 1))
+    pages = pages.select("page_id", "url", "__html", last.alias("__last"))
+    # blanks before an element go with it; a run of them is tried from its start only
+    strip = r"(?:<|(?=\s)(?:\G|(?<!\s))\s++<)[^>]*+>\s*+"
+    text = F.concat(F.regexp_replace(F.substr("__html", F.lit(1), F.col("__last")), strip, "\n"), F.substr("__html", F.col("__last") + 1))
     host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1)
     return pages.select("page_id", F.when(host != "", F.lower(host)).alias("host"), text.alias("text"))
 

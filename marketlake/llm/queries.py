@@ -52,7 +52,8 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.report(line_dedup.drop_lines(line_dedup.page_texts(read(spark, sf_dir, "pages"))))
+    return line_dedup.report(line_dedup.drop_lines(
+        written(line_dedup.page_texts(read(spark, sf_dir, "pages")), "page-texts")))
 
 
 @query
