@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .asof import asof_measured
+from .asof import asof_backward, asof_measured
 
 
 def _since(df: DataFrame, days: int | None, as_of=None, col: str = "date") -> DataFrame:
@@ -66,8 +66,9 @@ def corp_actions_applied_fixed(daily: DataFrame, factors: DataFrame, days: int |
     must carry an adjusted close; flag when adj_close == close."""
     f = factors.where(F.col("action_type").isin(CHECKED_ACTIONS) & (F.col("factor") != 1.0))
     f = _since(f, days, as_of, col="ex_date")
-    prev = daily.select("symbol", F.col("date").alias("prev_date"), F.col("close").alias("prev_close"),
-                        F.col("adj_close").alias("prev_adj_close"))
+    # a null symbol or date is no bar's key, as in a join
+    prev = daily.where("symbol is not null and date is not null").select(
+        "symbol", F.col("date").alias("prev_date"), F.col("close").alias("prev_close"), F.col("adj_close").alias("prev_adj_close"))
     j = asof_backward(f.select("symbol", "ex_date", "action_type"), prev, by=["symbol"],
                       left_key="ex_date", right_key="prev_date",
                       values=["prev_date", "prev_close", "prev_adj_close"], strict=True,
