@@ -86,8 +86,8 @@ def asof_backward(
     return found.select(*[F.col(c) for c in lcols], *[F.col("_m")[v].alias(v) for v in values])
 
 
-#: Ranges that a task gets on average, the fewest rows of a range, and splitters of one key at most.
-RANGES_PER_TASK, LEAST_ROWS, SPLITTERS_MOST = 8, 50_000, 4096
+#: Ranges that a task gets on average, the fewest and the most rows of a range, and splitters of one key at most.
+RANGES_PER_TASK, LEAST_ROWS, MOST_ROWS, SPLITTERS_MOST = 8, 50_000, 200_000, 4096
 
 
 class _Ranges:
@@ -98,7 +98,9 @@ class _Ranges:
         per_key = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         total = 0 if rows_per_range else per_key.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-        target = rows_per_range or max(least_rows, -(-total // (RANGES_PER_TASK * tasks)))
+        # what a task sorts and a window holds does not grow with the table
+        target = rows_per_range or max(least_rows, min(MOST_ROWS, -(-total // (RANGES_PER_TASK * tasks))))
+        self.tasks = -(-total // MOST_ROWS)
         hot = per_key.where(F.col("_n") > target).collect()  # at most total / target keys
         self.by, self.rows, self.frame, self.every = by, [], None, None
         if not hot:
@@ -175,5 +177,7 @@ def asof_measured(left: DataFrame, right: DataFrame, by: Sequence[str], left_key
     if forward:
         ords = [o.desc() for o in ords]
     running = Window.partitionBy(*by, "_b").orderBy(F.col("_carry").desc(), *ords).rowsBetween(Window.unboundedPreceding, 0)
+    if ranges.tasks > 1:  # by counted rows: repeated values shuffle as few bytes, but are sorted whole
+        u = u.repartition(ranges.tasks, *by, "_b")
     found = u.withColumn("_m", F.last("_v", ignorenulls=True).over(running)).where("_is_left")
     return found.select(*[F.col(c) for c in lcols], *[F.when(F.col("_k").isNotNull(), F.col("_m")[v]).alias(v) for v in values])
