@@ -69,3 +69,19 @@ def adjusted_close(later: str = "later") -> Column:
     """trunc(close * product of the factors with ex_date > date)."""
     next_ = F.get(F.filter(F.col(later), lambda x: (x["ex_date"] > F.col("date")) & x["product"].isNotNull()), F.lit(0))
     return (F.coalesce(next_["product"], F.lit(1.0)) * F.col("close")).cast("long")
+
+
+def readjusted(rows: DataFrame, factors: DataFrame, again: Column) -> DataFrame:
+    """`rows` (symbol, date, close, adj_close, ...) with the adjusted close found anew where `again` holds.
+
+    Bars and the products of their symbol meet in one window over (symbol, date), where a bar takes the next product after
+    it, so its cost does not grow with the number of actions.  A factor of 1 changes no product and needs no row.
+    """
+    some = factors.where(F.col("symbol").isNotNull() & F.col("ex_date").isNotNull() & ~F.col("factor").eqNullSafe(F.lit(1.0)))
+    later = suffix_products(some).select("symbol", F.posexplode("later").alias("_i", "_p")).select(
+        "symbol", F.col("_p.ex_date").alias("_k"), F.lit(0).alias("_side"), "_i", F.col("_p.product").alias("_product"))
+    # actions sort before bars at equal dates: an action does not adjust the bar of its own ex_date
+    u = rows.withColumns({"_again": again, "_k": F.col("date"), "_side": F.lit(1)}).unionByName(later, allowMissingColumns=True)
+    u = u.withColumn("_next", F.expr("lead(_product, 1) IGNORE NULLS OVER (PARTITION BY symbol ORDER BY _k, _side, _i)")).where("_side = 1")
+    product = F.coalesce(F.when(F.col("symbol").isNotNull() & F.col("date").isNotNull(), F.col("_next")), F.lit(1.0))
+    return u.withColumn("adj_close", F.when(F.col("_again"), (product * F.col("close")).cast("long")).otherwise(F.col("adj_close"))).select(*rows.columns)

@@ -119,13 +119,12 @@ def curate_daily(spark: SparkSession, root: str, date: str | None = None, full:
     years = sorted(r[0] for r in earlier.unionByName(changed.select(F.year("date").alias("year"))).distinct().collect())
     out |= {"years": years, "symbols": moved.count()}
     if years:
-        later = incremental.suffix_products(factors.join(
-            moved.select("symbol").unionByName(changed.select("symbol")).distinct(), "symbol", "left_semi"))
+        theirs = factors.join(moved.select("symbol").unionByName(changed.select("symbol")).distinct(), "symbol", "left_semi")
         new = fresh.join(changed, ["symbol", "date"], "left_semi").select(*cols, F.lit(True).alias("_new"))
         rest = old.where(F.col("year").isin(years)).join(changed, ["symbol", "date"], "left_anti").select(*cols, "adj_close", F.lit(False).alias("_new"))
-        rows = rest.unionByName(new, allowMissingColumns=True).join(moved, "symbol", "left").join(later, "symbol", "left")
+        rows = rest.unionByName(new, allowMissingColumns=True).join(moved, "symbol", "left")
         again = F.col("_new") | F.coalesce(F.col("date") < F.col("until"), F.lit(False))
-        rows = rows.withColumn("adj_close", F.when(again, incremental.adjusted_close()).otherwise(F.col("adj_close")))
+        rows = incremental.readjusted(rows, theirs, again)
         rows = sink.staged(rows.select(*cols, "adj_close", F.year("date").alias("year")), "curated")
         out["rows_out"] = rows.count()
         sink.write_curated(rows, root, "daily_ohlcv")
