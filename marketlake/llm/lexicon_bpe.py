@@ -22,12 +22,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import forget, shared_dir, written_at
+from .common import forget, shared_dir, written, written_at
 
 #: Words compiled at most, and their longest length in bytes: together they bound the automaton's size.
 LEXICON_MOST, WORD_BYTES = 1 << 18, 48
 #: Distinct words a task counts before it passes them on, and exactly merged words it remembers.
-COUNTED_MOST, REMEMBERED_MOST = 1 << 18, 1 << 17
+COUNTED_MOST, REMEMBERED_MOST = 1 << 16, 1 << 16
 
 #: Up to so many letters a word's pairs are looked through for each merge.
 SHORT = 256
@@ -281,9 +281,9 @@ def _counted(batches: Iterator[pa.RecordBatch], path: str, schema: pa.Schema):
     for b in batches:
         for t in b.column(0):
             seen.update(tk.tokens(t.as_py()))
-        if len(seen) >= COUNTED_MOST:
-            yield out()
-            seen.clear()
+            if len(seen) >= COUNTED_MOST:
+                yield out()
+                seen.clear()
     if seen:
         yield out()
 
@@ -396,6 +396,12 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     return df.select(id_col, text_col).mapInArrow(lambda it: _encoded(it, path, name, arrow), schema)
 
 
+def encoded_at(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, lexicon: str | None = None) -> DataFrame:
+    """`encode`, with the ids written once in the shared folder: what reads them, such as `decode`, runs in tasks of its own,
+    so an executor holds one Python worker for each of its cores and not one for each step."""
+    return written(encode(df, id_col, text_col, path, lexicon), "ids")
+
+
 def decode(df: DataFrame, ids_col: str = "ids", path: str | None = None) -> DataFrame:
     """`df` with a column `decoded`: the text of the ids as the library's decode(ids, skip_special_tokens=False)
     gives it.  Null ids give null, no ids an empty text; a column `decoded` of `df` is replaced."""

@@ -84,4 +84,4 @@ def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return lexicon_bpe.report(lexicon_bpe.decode(lexicon_bpe.encode(docs)))
+    return lexicon_bpe.report(lexicon_bpe.decode(lexicon_bpe.encoded_at(docs)))
