@@ -13,11 +13,11 @@ import heapq
 import json
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +26,9 @@ from .common import forget, shared_dir, written, written_at
 
 #: Words compiled at most, and their longest length in bytes: together they bound the automaton's size.
 LEXICON_MOST, WORD_BYTES = 1 << 18, 48
-#: Distinct words a task counts before it passes them on, and exactly merged words it remembers.
-COUNTED_MOST, REMEMBERED_MOST = 1 << 16, 1 << 16
-
-#: Up to so many letters a word's pairs are looked through for each merge.
+#: Up to so many letters a word's pairs are looked through for each merge, and up to so many words merge side by side.
 SHORT = 256
+TOGETHER, TOGETHER_MOST = 64, 1 << 13
 #: A merge is its rank and, in the lowest bits, the id it makes; NONE comes after all.
 _BITS = 24
 _ID, NONE = (1 << _BITS) - 1, 1 << 62
@@ -39,7 +37,13 @@ _ID, NONE = (1 << _BITS) - 1, 1 << 62
 # texts go through the tokenizer's own normaliser and splitter.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-ɏ‐-‧€]*")
 _NUMBERS = "0-9²³¹¼-¾"
-_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[^\W_{_NUMBERS}]+|[{_NUMBERS}]|(?:[^\w\s]|_)+")
+_ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+_SPLIT = re.compile(rf"{_ENDINGS}|[^\W_{_NUMBERS}]+|[{_NUMBERS}]|(?:[^\w\s]|_)+")
+# The same for whole Arrow arrays.  U+0130 is left to Python, which lowers it to two characters.
+_BLANKS = "\t\n\r\x20\xa0"
+_NOT_PLAIN = "[^\t\n\r\x20-\x7e\xa0-\u012f\u0131-\u024f\u2010-\u2027\u20ac]"
+_LETTERS = "".join(c for c in sorted({d for c in map(chr, range(0x250)) for d in c + c.lower()}) if re.fullmatch(rf"[^\W_{_NUMBERS}]", c))
+_SPLIT_ALL = rf"({_ENDINGS}|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}{_BLANKS}]+)"
 
 
 def tokenizer_file() -> str:
@@ -56,6 +60,24 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def _true(flags: pa.Array) -> np.ndarray:
+    return flags.to_numpy(zero_copy_only=False)
+
+
+def _together(here: np.ndarray, lists: pa.Array, rest: list[list[str]]) -> pa.Array:
+    """`lists` where `here` is true and `rest` elsewhere, each in order."""
+    if not rest:
+        return lists
+    place = np.where(here, np.cumsum(here) - 1, len(lists) + np.cumsum(~here) - 1)
+    return pa.concat_arrays([lists, pa.array(rest, lists.type)]).take(pa.array(place))
+
+
+def _numbered(lists: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct strings of all lists, the number of each string among them, and how many each list has."""
+    coded = lists.flatten().dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), pc.list_value_length(lists).to_numpy().astype(np.int64)
+
+
 class Tokenizer:
     """A byte-level BPE with word ends, read from a file of the tokenizers library: its own normaliser and splitter,
     exact merges, and the tokens' strings."""
@@ -79,10 +101,14 @@ class Tokenizer:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[vocab[a], vocab[b]] = rank << _BITS | vocab[a + b]
+        # the same sorted by both ids, for the words of a batch
+        pairs, made = np.asarray(list(self.merges), np.int64).reshape(-1, 2), np.fromiter(self.merges.values(), np.int64)
+        order = np.argsort(pairs[:, 0] << _BITS | pairs[:, 1])
+        self.pairs, self.made = (pairs[:, 0] << _BITS | pairs[:, 1])[order], made[order]
+        self.byte_ids = np.asarray([self.inner, self.last], np.int64)
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.specials = re.compile("|".join(f"({re.escape(s)})" for s in self.special)) if self.special else None
         self.strings = {i: s for s, i in (vocab | self.special).items()}
-        self.known: dict[str, tuple[int, ...]] = {}
 
     def tokens(self, text: str | None) -> list[str]:
         """Runs between blanks, or single pieces after a NUL where this module does not split the text itself."""
@@ -106,6 +132,27 @@ class Tokenizer:
         """The pieces that are encoded each by itself; special tokens' strings are pieces of their own."""
         return [w for t in self.tokens(text) for w in self.pieces(t)]
 
+    def tokens_of(self, texts: pa.Array) -> pa.Array:
+        """`tokens` of each text, as lists; an empty token, which has no pieces, may stand between blanks."""
+        texts = texts.cast(pa.string()).fill_null("")
+        here = np.full(len(texts), self.plain)
+        if self.plain:
+            here &= ~_true(pc.match_substring_regex(texts, _NOT_PLAIN))
+            if self.special:
+                here &= ~_true(pc.match_substring(texts, "<|"))
+        lower = pc.utf8_lower(texts.filter(pa.array(here)))
+        for blank in _BLANKS.replace(" ", ""):
+            lower = pc.replace_substring(lower, blank, " ")
+        rest = [self.tokens(texts[i].as_py()) for i in np.flatnonzero(~here).tolist()]
+        return _together(here, pc.split_pattern(lower, " "), rest)
+
+    def pieces_of(self, tokens: pa.Array) -> pa.Array:
+        """`pieces` of each token, as lists; an empty piece, which has no ids, may be among them."""
+        here = ~_true(pc.starts_with(tokens, "\0"))
+        spaced = pc.replace_substring_regex(tokens.filter(pa.array(here)), _SPLIT_ALL, r"\1 ")
+        rest = [self.pieces(tokens[i].as_py()) for i in np.flatnonzero(~here).tolist()]
+        return _together(here, pc.split_pattern(pc.ascii_rtrim(spaced, " "), " "), rest)
+
     def merged(self, word: str) -> tuple[int, ...]:
         """The ids of one piece: the pair of lowest rank, leftmost first, is merged until none is left."""
         if word in self.special:
@@ -146,21 +193,64 @@ class Tokenizer:
             offer(i)
         return tuple(x for x in ids if x >= 0)
 
-    def exact(self, word: str) -> tuple[int, ...]:
-        """`merged`, remembering what it found."""
-        ids = self.known.get(word)
-        if ids is None:
-            if len(self.known) >= REMEMBERED_MOST:
-                self.known.clear()
-            ids = self.merged(word)
-            if len(word) <= WORD_BYTES:
-                self.known[word] = ids
-        return ids
+    def _merges(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The merge of each pair of ids, or NONE."""
+        key = left << _BITS | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.made[at], NONE)
+
+    def merged_together(self, words: list[str]) -> list[list[int]]:
+        """`merged` for each of `words`: those of like lengths merge one pair each at a time, side by side."""
+        out: list = [None] * len(words)
+        raw = [w.encode() for w in words]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        alone = (size < 2) | (size > TOGETHER) | np.fromiter((not self.merges or w in self.special for w in words), bool, len(words))
+        for i in np.flatnonzero(alone).tolist():
+            out[i] = list(self.merged(words[i]))
+        rows = np.flatnonzero(~alone)
+        rows = rows[np.argsort(size[rows], kind="stable")]
+        for at in range(0, len(rows), TOGETHER_MOST):
+            self._side_by_side(raw, size, rows[at: at + TOGETHER_MOST], out)
+        return out
+
+    def _side_by_side(self, raw: list[bytes], size: np.ndarray, rows: np.ndarray, out: list) -> None:
+        """Put the ids of the words `rows` of two letters at least into `out`."""
+        n, wide = size[rows], int(size[rows].max())
+        letters = np.frombuffer(b"".join(raw[i].ljust(wide, b"\0") for i in rows.tolist()), np.uint8).reshape(len(rows), wide)
+        place = np.arange(wide)
+        ids = np.where(place == n[:, None] - 1, self.byte_ids[1][letters], self.byte_ids[0][letters])
+        found = self._merges(ids[:, :-1], ids[:, 1:])
+        found[place[1:] >= n[:, None]] = NONE
+        found = np.concatenate([found, np.full((len(rows), 1), NONE)], axis=1)  # no pair starts at the last place
+        while True:
+            i = found.argmin(axis=1)  # the leftmost of the lowest rank
+            best = found[np.arange(len(rows)), i]
+            on = best < NONE
+            for row, x, k in zip(rows[~on].tolist(), ids[~on].tolist(), n[~on].tolist()):
+                out[row] = x[:k]
+            if not on.any():
+                return
+            rows, ids, found, n, i, best = rows[on], ids[on], found[on], n[on] - 1, i[on, None], best[on]
+            # what follows the pair moves up by one place
+            here, end = np.arange(len(rows)), ids.shape[1] - 1
+            moved = place[:end] > i
+            ids[:, :-1] = np.where(moved, ids[:, 1:], ids[:, :-1])
+            found[:, :-1] = np.where(place[:end] >= i, found[:, 1:], found[:, :-1])
+            i = i[:, 0]
+            ids[here, i] = best & _ID
+            after = np.flatnonzero(i + 1 < n)
+            found[after, i[after]] = self._merges(ids[after, i[after]], ids[after, i[after] + 1])
+            before = np.flatnonzero(i > 0)
+            found[before, i[before] - 1] = self._merges(ids[before, i[before] - 1], ids[before, i[before]])
+            wide = int(n.max())
+            ids, found, place = ids[:, :wide], found[:, :wide], place[:wide]
 
     def decoded(self, ids: np.ndarray) -> str:
         """Tokens' strings joined by a space, as the library does without a decoder; unknown ids are left out."""
-        found = map(self.strings.get, ids.tolist())
-        return " ".join(s for s in found if s is not None)
+        try:
+            return " ".join(map(self.strings.__getitem__, ids.tolist()))
+        except KeyError:
+            return " ".join(s for s in map(self.strings.get, ids.tolist()) if s is not None)
 
 
 _loaded: dict[str, Tokenizer] = {}
@@ -225,6 +315,13 @@ def compile_lexicon(entries: dict[bytes, tuple[int, ...]]) -> bytes:
     return head + b"".join(x.tobytes() + b"\0" * (-x.nbytes % 8) for x in data)
 
 
+def _bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all strings, and where each starts and how many it has."""
+    _, ends, text = strings.buffers()
+    ends = np.frombuffer(ends, "<i4")[strings.offset: strings.offset + len(strings) + 1].astype(np.int64) if len(strings) else np.zeros(1, np.int64)
+    return np.frombuffer(text, np.uint8) if text else np.zeros(0, np.uint8), ends[:-1], np.diff(ends)
+
+
 class Lexicon:
     """A compiled transducer, memory-mapped."""
 
@@ -237,10 +334,12 @@ class Lexicon:
             at += size + -size % 8
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word in the lexicon, or -1; all words are walked a byte at a time together."""
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        text = np.frombuffer(b"".join(words), np.uint8)
-        start = np.cumsum(size) - size
+        """The number of each word in the lexicon, or -1."""
+        return self.numbers_of(pa.array(words, pa.binary()))
+
+    def numbers_of(self, words: pa.Array) -> np.ndarray:
+        """The same for an Arrow array of strings or binaries; all words are walked a byte at a time together."""
+        text, start, size = _bytes_of(words)
         state = np.full(len(words), len(self.final) - 1, np.int64)
         number = np.zeros(len(words), np.int64)
         on = np.arange(len(words)) if len(self.arcs) else np.zeros(0, np.int64)
@@ -269,23 +368,14 @@ def _lexicon(name: str) -> Lexicon:
 
 
 def _counted(batches: Iterator[pa.RecordBatch], path: str, schema: pa.Schema):
-    tk, seen = load(path), Counter()
-
-    def out():
-        n = Counter()
-        for t, c in seen.items():
-            for w in tk.pieces(t):
-                n[w] += c
-        words = [w for w in n if w not in tk.special and len(w.encode()) <= WORD_BYTES]
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([n[w] for w in words], pa.int64())], schema=schema)
+    tk = load(path)
     for b in batches:
-        for t in b.column(0):
-            seen.update(tk.tokens(t.as_py()))
-            if len(seen) >= COUNTED_MOST:
-                yield out()
-                seen.clear()
-    if seen:
-        yield out()
+        tokens, at, _ = _numbered(tk.tokens_of(b.column(0)))
+        words, piece, many = _numbered(tk.pieces_of(tokens))
+        n = np.bincount(piece, np.repeat(np.bincount(at, minlength=len(tokens)), many), len(words)).astype(np.int64)
+        size = _bytes_of(words)[2]
+        taken = (size > 0) & (size <= WORD_BYTES) & ~_true(pc.is_in(words, pa.array(tk.special, pa.string())))
+        yield pa.RecordBatch.from_arrays([words.filter(pa.array(taken)), pa.array(n[taken])], schema=schema)
 
 
 def word_counts(df: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -348,29 +438,26 @@ def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, name: str, schema: pa.Schema):
     tk, lex = load(path), _lexicon(name)
     for b in batches:
-        token: dict[str, int] = {}
-        docs = [[token.setdefault(t, len(token)) for t in tk.tokens(text.as_py())] for text in b.column(b.num_columns - 1)]
-        word: dict[str, int] = {}
-        parts = [[word.setdefault(w, len(word)) for w in tk.pieces(t)] for t in token]
-        words = list(word)
-        numbers = lex.numbers([w.encode() for w in words])
+        tokens, at, length = _numbered(tk.tokens_of(b.column(b.num_columns - 1)))
+        words, piece, many = _numbered(tk.pieces_of(tokens))
+        found = lex.numbers_of(words)
         # ids of the distinct words one after another: those of the lexicon, then the exactly merged ones
-        seen = numbers >= 0
-        rest = [tk.exact(words[i]) for i in np.flatnonzero(~seen).tolist()]
+        seen = found >= 0
+        rest = tk.merged_together(words.filter(pa.array(~seen)).to_pylist())
         table = np.concatenate([lex.ids, np.fromiter((x for r in rest for x in r), "<u4")])
         first, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
-        first[seen] = lex.run[numbers[seen]]
-        size[seen] = lex.run[numbers[seen] + 1] - first[seen]
+        first[seen] = lex.run[found[seen]]
+        size[seen] = lex.run[found[seen] + 1] - first[seen]
         size[~seen] = [len(r) for r in rest]
         first[~seen] = len(lex.ids) + np.cumsum(size[~seen]) - size[~seen]
         # the same for the distinct tokens
-        flat = np.fromiter((w for p in parts for w in p), np.int64)
-        table = table[_spread(first[flat], size[flat])]
-        size = np.bincount(np.repeat(np.arange(len(parts)), [len(p) for p in parts]), size[flat], len(parts)).astype(np.int64)
+        table = table[_spread(first[piece], size[piece])]
+        size = np.bincount(np.repeat(np.arange(len(tokens)), many), size[piece], len(tokens)).astype(np.int64)
         first = np.cumsum(size) - size
-        n_ids, blobs = [], []
-        for doc in docs:
-            d = np.asarray(doc, np.int64)
+        n_ids, blobs, end = [], [], 0
+        for k in length.tolist():
+            d = at[end: end + k]
+            end += k
             ids = table[_spread(first[d], size[d])]
             n_ids.append(len(ids))
             blobs.append(ids.astype("<u4", copy=False).tobytes())

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -82,3 +84,49 @@ def test_decode_nulls_and_unknown_ids(spark):
     got = dict(L.decode(spark.createDataFrame([(i, None if b is None else bytearray(b)) for i, b in rows], "i long, ids binary")).select("i", "decoded").collect())
     tk = L.load(L.tokenizer_file())
     assert got == {1: f"{tk.strings[320]} {tk.strings[518]}", 2: None, 3: "", 4: tk.strings[518]}
+
+
+def test_whole_arrays_split_as_single_texts():
+    tk = L.load(L.tokenizer_file())
+    chars = [chr(i) for i in range(0x250)] + [chr(i) for i in range(0x2000, 0x2070)] + list("€™日̇ͅſK")
+    texts = hard_texts() + [t for c in chars for t in (c, f" a{c}b ", f"{c}{c}1{c}", f"I{c}'s  {c}_\n", f"{c}́", f"x<|endoftext|>{c}")]
+    lists = tk.tokens_of(pa.array(texts, pa.string()))
+    assert [[t for t in x if t] for x in lists.to_pylist()] == [tk.tokens(t) for t in texts]
+    tokens = pa.array(sorted({t for x in texts for t in tk.tokens(x)} | {"\0 a b"}))
+    assert [[w for w in x if w] for x in tk.pieces_of(tokens).to_pylist()] == [tk.pieces(t) for t in tokens.to_pylist()]
+    assert len(tk.tokens_of(pa.array([], pa.string()))) == len(tk.pieces_of(pa.array([], pa.string()))) == 0
+
+
+def test_words_merge_together_as_they_do_alone():
+    tk, r = L.load(L.tokenizer_file()), random.Random(6)
+    words = ["".join(r.choice("etaoinshr'éß1.") for _ in range(r.choice([1, 2, 3, 9, 30, 70]))) for _ in range(5000)]
+    words += ["", "\0\0", "aaaaaaaa", "<|endoftext|>", "中文", "the"] + ["ab" * 30] * 3
+    assert tk.merged_together(words) == [list(tk.merged(w)) for w in words]
+    assert tk.merged_together([]) == []
+
+
+def test_counting_costs_less_than_plain_splitting_and_counting():
+    r = random.Random(3)
+    parts = ["ti", "on", "the", "er", "an", "is", "ou", "en", "é", "wh"]
+    texts = [" ".join("".join(r.choice(parts) for _ in range(r.choice([1, 1, 1, 2, 4]))) + r.choice(["", "", ",", "."])
+                      for _ in range(500)) for _ in range(2000)]
+    batches = [pa.record_batch([pa.array(texts[i: i + 500])], ["text"]) for i in range(0, len(texts), 500)]
+    schema, tk, took = pa.schema([("word", pa.string()), ("n", pa.int64())]), L.load(L.tokenizer_file()), [[], []]
+    for _ in range(3):
+        start = time.process_time()
+        plain = Counter()
+        for t in texts:
+            plain.update(t.lower().split())
+        took[0].append(time.process_time() - start)
+        start = time.process_time()
+        counted = list(L._counted(iter(batches), L.tokenizer_file(), schema))
+        took[1].append(time.process_time() - start)
+    got = Counter()
+    for b in counted:
+        got.update(dict(zip(*(c.to_pylist() for c in b.columns))))
+    want = Counter()
+    for t, n in plain.items():
+        for w in tk.pieces(t):
+            want[w] += n
+    assert got == want
+    assert min(took[1]) < 1.3 * min(took[0])
