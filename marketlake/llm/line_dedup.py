@@ -72,15 +72,23 @@ def drop_lines(df: DataFrame, host_col: str = "host", text_col: str = "text",
         n.alias("n_lines"), (n - worded(F.col("__kept"))).alias("n_dropped"))
 
 
+def _may_be_open(html: Column, lower: Column) -> Column:
+    """Whether the last opening of a kind is followed by no closing, found without patterns; a closing with blanks counts as none."""
+    kinds = ((lower, "<script", "</script>"), (lower, "<style", "</style>"), (html, "<!--", "-->"))
+    found = [F.contains(t, F.lit(o)) & ~F.contains(F.substring_index(t, o, -1), F.lit(c)) for t, o, c in kinds]
+    return found[0] | found[1] | found[2]
+
+
 def _closed(pages: DataFrame) -> DataFrame:
     """`pages` with MARK inside every opening in `html` that stands after the last closing of its kind, so that no search for a
-    closing runs to the end in vain.  A MARK of the text itself is written as MARK and "a".  Steps are projections
-    of their own, as each uses the one before it more than once."""
+    closing runs to the end in vain.  A MARK of the text itself is written as MARK and "a".  Only pages with `__open` are changed:
+    `_may_be_open` is true for all that have such an opening.  Steps are projections of their own, as each uses the one before it more than once."""
     rest = [c for c in pages.columns if c != "html"]
-    pages = pages.select(*rest, F.replace("html", F.lit(MARK), F.lit(MARK + "a")).alias("html"))
+    escaped = F.when(F.col("__open"), F.replace("html", F.lit(MARK), F.lit(MARK + "a"))).otherwise(F.col("html"))
+    pages = pages.select(*rest, escaped.alias("html"))
     for opening, closing in HIDDEN:
         # the end of the last closing; pages without the opening need no search
-        head = F.when(F.col("html").rlike(f"(?i){opening}"), F.length(F.regexp_extract("html", f"(?is)^.*{closing}", 0)))
+        head = F.when(F.col("__open") & F.col("html").rlike(f"(?i){opening}"), F.length(F.regexp_extract("html", f"(?is)^.*{closing}", 0)))
         pages = pages.select(*rest, "html", head.alias("__head"))
         tail = F.substr("html", F.col("__head") + 1)
         marked = F.concat(F.substr("html", F.lit(1), F.col("__head")), F.regexp_replace(tail, f"(?i){opening}", f"<{MARK}b$1"))
@@ -91,15 +99,19 @@ def _closed(pages: DataFrame) -> DataFrame:
 def page_texts(pages: DataFrame) -> DataFrame:
     """(page_id, host, text): the host of the URL in lower case, null without one, and the HTML's text with
     a line for each element.  The time grows as the HTML does, also for openings that are never closed."""
+    pages = pages.select("page_id", "url", "html", F.lower("html").alias("__lower"))
+    pages = _closed(pages.select("page_id", "url", "html", _may_be_open(F.col("html"), F.col("__lower")).alias("__open")))
     text = F.regexp_replace("html", r"(?is)<(?:(script|style)\b[^>]*+>.*?</\1\s*+>|!--.*?-->)", "\n")
-    text = F.replace(F.replace(text, F.lit(f"<{MARK}b"), F.lit("<")), F.lit(MARK + "a"), F.lit(MARK))
-    pages = _closed(pages.select("page_id", "url", "html")).select("page_id", "url", text.alias("__html"))
-    # after the last ">" and its blanks there is no element
-    last = F.length(F.regexp_extract("__html", r"(?s)^.*>\s*+", 0))
+    pages = pages.select("page_id", "url", "__open", text.alias("__html"))
+    back = F.replace(F.replace("__html", F.lit(f"<{MARK}b"), F.lit("<")), F.lit(MARK + "a"), F.lit(MARK))
+    pages = pages.select("page_id", "url", F.when(F.col("__open"), back).otherwise(F.col("__html")).alias("__html"))
+    # after the last ">" and its blanks there is no element; where no "<" stands there, none is looked for
+    last = F.when(F.contains(F.substring_index("__html", ">", -1), F.lit("<")), F.length(F.regexp_extract("__html", r"(?s)^.*>\s*+", 0)))
     pages = pages.select("page_id", "url", "__html", last.alias("__last"))
     # blanks before an element go with it; a run of them is tried from its start only
-    strip = r"(?:<|(?=\s)(?:\G|(?<!\s))\s++<)[^>]*+>\s*+"
-    text = F.concat(F.regexp_replace(F.substr("__html", F.lit(1), F.col("__last")), strip, "\n"), F.substr("__html", F.col("__last") + 1))
+    strip = r"[<\x20\t\n\x0B\f\r](?:(?<=<)|(?<!\s\s)\s*+<)[^>]*+>\s*+"
+    text = F.when(F.col("__last").isNull(), F.regexp_replace("__html", strip, "\n")).otherwise(
+        F.concat(F.regexp_replace(F.substr("__html", F.lit(1), F.col("__last")), strip, "\n"), F.substr("__html", F.col("__last") + 1)))
     host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1)
     return pages.select("page_id", F.when(host != "", F.lower(host)).alias("host"), text.alias("text"))
 
